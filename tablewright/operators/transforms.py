@@ -277,6 +277,9 @@ class FittedTable:
                     outputCols=[n if kind == "label" else f"{n}_code" for _, _, n in group],
                     handleInvalid=unseen,
                 ).transform(out)
+                if kind == "label":  # a code is a number to the models, not a nominal attribute
+                    for _, _, n in group:
+                        out = out.withMetadata(n, {})
         for b, t, n in joined:
             codes = self.tables[b.name].select(F.col("text").alias(t), F.col("code").cast("double").alias(f"{n}_code"))
             out = out.join(codes, t, "left")
@@ -304,7 +307,7 @@ class FittedTable:
         with_text = df.withColumn("__y", category_text(df, target))
         if b.categories is not None:
             indexer = StringIndexerModel.from_labels(b.categories, inputCol="__y", outputCol=name, handleInvalid="error")
-            return indexer.transform(with_text).drop("__y")
+            return indexer.transform(with_text).drop("__y").withMetadata(name, {})
         codes = self.tables[TARGET].select(F.col("text").alias("__y"), F.col("code").cast("double").alias(name))
         stop = F.raise_error(F.concat(F.lit("Unseen class: "), F.col("__y"))).cast("double")
         return with_text.join(codes, "__y", "left").withColumn(name, F.coalesce(F.col(name), stop)).drop("__y")

@@ -45,6 +45,9 @@ TRAINING_RANGES: dict[str, tuple[type, float | None, float | None]] = {
     "min_df": (int, 1, None),
 }
 
+# Training parameters handed on to the model.
+ITERATION_KEYS = ("epochs", "batch_size", "learning_rate", "early_stopping", "early_stopping_patience", "validation_split")
+
 MODELS_BY_TASK = {
     "classification": ("random_forest", "logistic_regression", "svm", "xgboost"),
     "regression": ("random_forest", "linear_regression", "svm", "xgboost"),
