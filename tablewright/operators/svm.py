@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 EPSILON = 0.1  # fixed value: width of the regressor's tube
-SMOOTHING = 1e-3  # the loss is quadratic over this share of the target's deviation, so gradients exist
+SMOOTHING = (0.1, 0.01, 0.001)  # the loss is quadratic over these shares of the target's deviation, in turn
 MEMORY = 10  # past steps the optimiser keeps
 
 
@@ -60,23 +60,27 @@ def fit_svr(
     max_iter: int = 100,
     tol: float = 1e-6,
 ) -> LinearRegressionModel:
-    """Minimises |w|^2/2 + C * sum(max(0, |y - wx - b| - epsilon)) by L-BFGS. Each step is one pass in which every
-    task reduces its rows to one (loss, gradient) row. Columns are centred inside, which
-    conditions the intercept; the returned coefficients are for the original columns."""
+    """Minimises |w|^2/2 + C * sum(max(0, |y - wx - b| - epsilon)) by L-BFGS on ever less smoothed losses. Each step
+    is one pass in which every task reduces its rows to one (loss, gradient) row. Inside, columns are standardised
+    (the penalty stays that of the original ones); the returned coefficients are for the original columns."""
     base = df.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))
     about = df.agg(
-        Summarizer.mean(F.col(features)).alias("m"), F.avg(label).alias("y"), F.stddev_pop(label).alias("s"), F.count(F.lit(1)).alias("n")
+        Summarizer.metrics("mean", "variance").summary(F.col(features)).alias("x"),
+        F.avg(label).alias("y"),
+        F.stddev_pop(label).alias("s"),
+        F.count(F.lit(1)).alias("n"),
     ).first()
-    center, rows = about.m.toArray(), about.n
-    mu = SMOOTHING * (about.s or 1.0)
-    width = len(center) + 1
+    center, spread = about.x.mean.toArray(), np.sqrt(about.x.variance.toArray())
+    unit = np.where(spread > 0, spread, 1.0)
+    rows, width = about.n, len(center) + 1
+    shrink = np.append(1.0 / unit**2, 0.0) / (C * rows)  # mean loss, so numbers do not grow with the rows
 
-    def objective(w: np.ndarray) -> tuple[float, np.ndarray]:
+    def objective(w: np.ndarray, mu: float) -> tuple[float, np.ndarray]:
         def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = np.zeros(width + 1)
             for pdf in batches:
                 if len(pdf):
-                    x = np.stack(pdf["x"].to_list()) - center
+                    x = (np.stack(pdf["x"].to_list()) - center) / unit
                     r = x @ w[:-1] + w[-1] - pdf["y"].to_numpy()
                     out = np.maximum(np.abs(r) - epsilon, 0.0)
                     small = out < mu
@@ -88,16 +92,18 @@ def fit_svr(
 
         parts = base.mapInPandas(reduce, "v array<double>")
         v = parts.agg(Summarizer.sum(array_to_vector("v")).alias("v")).first().v.toArray()
-        penalty = np.append(w[:-1], 0.0)
-        scale = 1.0 / (C * rows)  # same minimum as the sum form, in numbers that do not grow with the rows
-        return v[0] / rows + scale * 0.5 * penalty @ penalty, v[1:] / rows + scale * penalty
+        return v[0] / rows + 0.5 * (shrink * w) @ w, v[1:] / rows + shrink * w
 
-    w = _minimise(objective, np.append(np.zeros(width - 1), about.y), max_iter, tol)
-    return linear_model(df, w[:-1], w[-1] - center @ w[:-1])
+    w = np.append(np.zeros(width - 1), about.y)
+    for share in SMOOTHING:
+        mu = share * (about.s or 1.0)
+        w = _minimise(lambda at, mu=mu: objective(at, mu), w, about.s or 1.0, max(max_iter // len(SMOOTHING), 1), tol)
+    coefficients = w[:-1] / unit
+    return linear_model(df, coefficients, w[-1] - center @ coefficients)
 
 
-def _minimise(objective, w: np.ndarray, max_iter: int, tol: float) -> np.ndarray:
-    """L-BFGS with backtracking; only the parameter vector lives on the driver."""
+def _minimise(objective, w: np.ndarray, scale: float, max_iter: int, tol: float) -> np.ndarray:
+    """L-BFGS with backtracking; only the parameter vector lives on the driver. ``scale`` sizes the first step."""
     value, grad = objective(w)
     steps: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(max_iter):
@@ -111,21 +117,26 @@ def _minimise(objective, w: np.ndarray, max_iter: int, tol: float) -> np.ndarray
         if steps:
             s, y = steps[-1]
             direction = direction * (s @ y) / (y @ y)
+        else:
+            direction = direction * (0.1 * scale / np.linalg.norm(grad))
         for (s, y), a in zip(steps, reversed(coefs), strict=True):
             direction = direction + (a - (y @ direction) / (y @ s)) * s
-        rate, slope = 1.0, grad @ direction
-        while True:
+        rate, slope, better = 1.0, grad @ direction, None
+        while rate > 1e-6:
             new = w + rate * direction
             new_value, new_grad = objective(new)
-            if new_value <= value + 1e-4 * rate * slope or rate < 1e-8:
+            if new_value <= value + 1e-4 * rate * slope:
+                better = new
                 break
-            rate *= 0.5
-        s, y = new - w, new_grad - grad
-        if s @ y > 1e-12:
+            rate *= 0.3
+        if better is None:
+            break
+        s, y = better - w, new_grad - grad
+        if s @ y > 1e-12 * (s @ s):
             steps = [*steps[-(MEMORY - 1) :], (s, y)]
-        done = abs(value - new_value) <= tol * 1e-3 * max(abs(value), 1.0)
-        w, value, grad = new, new_value, new_grad
-        if done:
+        still = value - new_value <= tol * max(abs(value), 1e-12)
+        w, value, grad = better, new_value, new_grad
+        if still:
             break
     return w
 
