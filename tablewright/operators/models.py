@@ -52,6 +52,8 @@ def _forest_params(p: dict[str, Any], seed: int, every_feature: bool) -> dict[st
         "maxDepth": DEEPEST if merged["max_depth"] is None else min(int(merged["max_depth"]), DEEPEST),
         "featureSubsetStrategy": str(merged.get("max_features", "all" if every_feature else "sqrt")),
         "minInstancesPerNode": leaf,
+        "bootstrap": bool(merged.get("bootstrap", True)),
+        "subsamplingRate": float(merged.get("max_samples") or 1.0),
         "maxBins": int(merged.get("max_bins", 32)),
         "seed": seed,
     }

@@ -268,18 +268,10 @@ class FittedTable:
                 new[name] = scalars[b.name]
                 order.append(name)
         out = df.withColumns(new) if new else df
-        for kind, unseen in (("label", "error"), ("onehot", "keep")):
-            group = [(b, t, n) for b, t, n in constant if b.kind == kind]
-            if group:
-                out = StringIndexerModel.from_arrays_of_labels(
-                    [b.categories for b, _, _ in group],
-                    inputCols=[t for _, t, _ in group],
-                    outputCols=[n if kind == "label" else f"{n}_code" for _, _, n in group],
-                    handleInvalid=unseen,
-                ).transform(out)
-                if kind == "label":  # a code is a number to the models, not a nominal attribute
-                    for _, _, n in group:
-                        out = out.withMetadata(n, {})
+        for b, t, n in constant:
+            code, unseen = (n, "error") if b.kind == "label" else (f"{n}_code", "keep")
+            indexer = StringIndexerModel.from_labels(b.categories, inputCol=t, outputCol=code, handleInvalid=unseen)
+            out = indexer.transform(out).withMetadata(code, {})  # a code is a number to the models
         for b, t, n in joined:
             codes = self.tables[b.name].select(F.col("text").alias(t), F.col("code").cast("double").alias(f"{n}_code"))
             out = out.join(codes, t, "left")
