@@ -19,7 +19,7 @@ from tablewright.operators.split import assign_folds
 from tablewright.operators.transforms import fit_transforms
 from tablewright.plans.score import score
 from tablewright.plans.train import sweep, train, train_iterations
-from tablewright.sources.files import sample_rows
+from tablewright.sources.files import sample_rows, spread
 from tablewright.streaming.score import quarantine_stream, score_stream
 
 # Settings small enough for a query; the library's defaults are the full-size ones.

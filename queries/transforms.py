@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from queries.common import HOLED, feature, holed_orders, query, rnd, spec, sql_mode, table
 from queries.sources import ASSEMBLED, LINE_SPEC, assembled
 from tablewright.operators.transforms import fit_transforms
+from tablewright.sources.files import spread
 
 
 def _one(name: str, features: list[dict], columns: list[str], sql: str, digits: int = 6):
@@ -85,7 +86,7 @@ TEXT = feature("text", "text")
 
 
 def _weights(spark, sf_dir, kind: str):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"), 100)
     fitted = fit_transforms(docs, spec([feature("text", "text", kind)], ("n_chars", "continuous")), with_target=False)
     names = F.array(*[F.lit(t) for t in fitted.fitted["text"].terms])
     long = fitted.transform(docs).select("doc_id", F.posexplode(vector_to_array("features")).alias("i", "w"))

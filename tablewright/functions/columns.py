@@ -86,15 +86,18 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def row_text(df: DataFrame, columns: Sequence[str]) -> Column:
-    return F.concat_ws("|", *[F.coalesce(ref(c).cast("string"), F.lit("\u0000")) for c in columns])
-
-
 def key_text(df: DataFrame, key: str | Sequence[str] | None) -> Column:
-    """What identifies a row: one column, several, or (without a key) the whole row."""
+    """What identifies a row: one column, several, or (without a key) a 64-bit digest of the whole row. Rows that
+    share an identity are told apart by the operators that must, so a digest need not be unique."""
     if isinstance(key, str):
         return F.coalesce(ref(key).cast("string"), F.lit("\u0000"))
-    return row_text(df, key or df.columns)
+    if key:
+        return F.concat_ws("|", *[F.coalesce(ref(c).cast("string"), F.lit("\u0000")) for c in key])
+    return F.xxhash64(*[hashable(df, c) for c in df.columns]).cast("string")
+
+
+def hashable(df: DataFrame, name: str) -> Column:
+    return ref(name).cast("string") if dtype(df, name).typeName() in ("map", "variant") else ref(name)
 
 
 def portable_hash(key: Column, seed: int) -> Column:

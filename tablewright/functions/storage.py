@@ -24,9 +24,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tablewright/{name}-{uuid.uuid4().hex}"
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Boosted trees and cut lineages write checkpoints; give them the shared folder if none is set yet."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: partitions and row order are fixed, and survive a lost executor."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
+    ensure_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)

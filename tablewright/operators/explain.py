@@ -6,6 +6,7 @@ regression, the class probability for forests, the log-odds for boosted trees an
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from math import factorial
@@ -44,8 +45,7 @@ def importance(values: DataFrame) -> DataFrame:
 
 
 def _names(trained: Trained, width: int) -> Column:
-    names = trained.feature_names or [f"f{i}" for i in range(width)]
-    return F.array(*[F.lit(n) for n in names])
+    return _constant(trained.feature_names or [f"f{i}" for i in range(width)], "array<string>")
 
 
 # ---------------------------------------------------------------------------------------------- linear
@@ -65,7 +65,7 @@ def explain_linear(trained: Trained, df: DataFrame, background: DataFrame, keep:
     x = vector_to_array("features")
 
     def of_class(c: int) -> Column:
-        w, m = (F.array(*[F.lit(float(v)) for v in values]) for values in (coefs[c], mean))
+        w, m = (_constant([float(v) for v in values], "array<double>") for values in (coefs[c], mean))
         phi = F.transform(x, lambda v, i: F.get(w, i) * (v - F.get(m, i)))
         return F.struct(F.lit(c).alias("class"), phi.alias("phi"))
 
@@ -224,17 +224,16 @@ def explain_by_scoring(
     picked = [v.toArray().tolist() for v in rows_behind]
     width = len(picked[0])
     plan = _coalitions(width, permutations, seed)
-    masks = F.array(*[F.struct(F.lit(i).alias("mask_id"), F.array(*[F.lit(bool(b)) for b in m]).alias("mask")) for i, (m, _) in enumerate(plan)])
-    others = F.array(*[F.array(*[F.lit(float(v)) for v in p]) for p in picked])
-    # (row, coalition, background) mixtures, in two explodes of constants
+    share = [{"mask": list(map(bool, m)), "e": [float(v) / len(picked) for v in e]} for m, e in plan]
+    masks = _constant(share, "array<struct<mask: array<boolean>, e: array<double>>>")
+    others = _constant(picked, "array<array<double>>")
     mixed = (
         df.select(*keep, vector_to_array("features").alias("__x"))
         .select("*", F.inline(masks))
         .select("*", F.explode(others).alias("__b"))
         .withColumn("features", array_to_vector(F.transform("mask", lambda m, i: F.when(m, F.get("__x", i)).otherwise(F.get("__b", i)))))
     )
-    effects = F.array(*[F.array(*[F.lit(float(e) / len(picked)) for e in effect]) for _, effect in plan])
-    scored = trained.predict(mixed).select(*keep, F.get(effects, F.col("mask_id")).alias("e"), F.col(output).alias("v"))
+    scored = trained.predict(mixed).select(*keep, "e", F.col(output).alias("v"))
     sums = [F.sum(F.get("e", F.lit(j)) * F.col("v")).alias(f"p{j}") for j in range(width)]
     phi = F.array(*[F.col(f"p{j}") for j in range(width)]).alias("phi")
     rows = scored.groupBy(*keep).agg(*sums).select(*keep, F.lit(0).alias("class"), phi)
@@ -244,6 +243,11 @@ def explain_by_scoring(
     return Explanation(_long(rows, keep, _names(trained, width)), [float(base)])
 
 
+def _constant(value, ddl: str) -> Column:
+    """A nested constant as one expression, folded before the query runs."""
+    return F.from_json(F.lit(json.dumps(value)), ddl)
+
+
 def _background(df: DataFrame, n: int, seed: int) -> list:
     """At most ``n`` background rows, the same ones each time."""
     return [r.features for r in sample_rows(df.select("features"), n, None, seed).collect()]

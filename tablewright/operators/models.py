@@ -15,6 +15,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.functions.storage import ensure_checkpoints
 from tablewright.operators.svm import EPSILON, RandomFeatures, fit_svr, scale_gamma
 from tablewright.spec import ITERATION_KEYS, MODELS_BY_TASK
 
@@ -118,6 +119,7 @@ class Learner:
     def fit(self, df: DataFrame, feature_names: list[str] | None = None, rows: int | None = None, classes: int | None = None) -> Trained:
         """Fit on columns ``features`` and ``label``."""
         started = time.time()
+        ensure_checkpoints(df.sparkSession)
         if rows is None or (classes is None and self.task == "classification"):
             facts = df.agg(F.count(F.lit(1)).alias("n"), F.max("label").alias("top")).first()
             rows, classes = facts.n, classes if classes is not None else int(facts.top) + 1 if facts.top is not None else 0

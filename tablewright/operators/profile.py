@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions.columns import as_category, as_number, dtype, is_numeric, present
 from tablewright.operators.stats import histogram, value_text
@@ -34,13 +35,21 @@ def summary(df: DataFrame, approximate: bool = False) -> DataFrame:
     ]
     out = wide.select(F.inline(F.array(*lines)))
     if not approximate:
-        hist = histogram(df, {c: as_category(df, c) for c in df.columns})
+        hist = histogram(df, {c: _identity(df, c) for c in df.columns})
         counts = hist.groupBy("feature").agg(F.count(F.lit(1)).alias("distinct"))
         out = out.join(counts, F.col("column") == F.col("feature"), "left").drop("feature")
     pct = F.when(F.col("rows") > 0, F.col("missing") / F.col("rows") * 100).alias("missing_pct")
     return out.select("position", "column", "dtype", "rows", "missing", pct, F.coalesce("distinct", F.lit(0)).alias("distinct"))
 
 
+def _identity(df: DataFrame, name: str) -> Column:
+    """The value, or for long texts a 256-bit digest, so that counting documents does not move them."""
+    value = as_category(df, name)
+    if isinstance(df.select(value.alias("v")).schema["v"].dataType, T.StringType):
+        return F.when(F.length(value) > 64, F.sha2(value, 256)).otherwise(value)
+    return value
+
+
 def numeric_stats(df: DataFrame) -> DataFrame:
     """(column, low, high, mean, std, missing, missing_pct) for numeric columns: one pass. ``std`` is the sample one."""
     names = [c for c in df.columns if is_numeric(dtype(df, c))]

@@ -15,7 +15,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.functions.columns import key_text, portable_hash, ref
+from tablewright.functions.columns import hashable, key_text, portable_hash, ref
 from tablewright.functions.storage import cut_lineage
 
 COARSE_SHIFT = 20  # the first count looks at the top 12 of 32 hash bits
@@ -124,7 +124,7 @@ def _number_ties(rows: DataFrame, size: int) -> DataFrame:
     """1..size for rows that share stratum, hash and key. Big groups are spread over salts first, whose
     counts then give each salt its offset; the checkpoint fixes which row has which salt."""
     data = [c for c in rows.columns if c not in (_S, _H, _K)]
-    order = F.xxhash64(*[ref(c).cast("string") for c in data]) if data else F.lit(0)
+    order = F.xxhash64(*[hashable(rows, c) for c in data]) if data else F.lit(0)
     if size <= LOCAL_ROWS:
         return rows.withColumn("__tie", F.row_number().over(Window.partitionBy(_S, _H, _K).orderBy(order)).cast("long"))
     salts = ceil(size / LOCAL_ROWS) * 4

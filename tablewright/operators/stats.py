@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,7 +21,7 @@ class Moments:
     var: float | None
     low: float | None
     high: float | None
-    distinct: int
+    distinct: int | None = None  # a sketch's estimate, if asked for
 
     def filled(self, fill: float) -> Moments:
         """The moments after every missing value is replaced by ``fill``, without another pass."""
@@ -35,19 +35,21 @@ class Moments:
         )
 
 
-def moments(df: DataFrame, columns: Mapping[str, Column]) -> dict[str, Moments]:
-    """Count, mean, population variance, range and (roughly) the distinct values of each column: one pass."""
+def moments(df: DataFrame, columns: Mapping[str, Column], sketch: Collection[str] = ()) -> dict[str, Moments]:
+    """Count, mean, population variance and range of each column, and of those in ``sketch`` roughly the number
+    of distinct values: one pass."""
     if not columns:
         return {}
     aggs = [F.count(F.lit(1)).alias("rows")]
-    for i, col in enumerate(columns.values()):
+    for i, (name, col) in enumerate(columns.items()):
+        distinct = F.approx_count_distinct(col) if name in sketch else F.lit(None)
         aggs += [
             F.count(col).alias(f"n{i}"),
             F.avg(col).alias(f"mean{i}"),
             F.var_pop(col).alias(f"var{i}"),
             F.min(col).alias(f"low{i}"),
             F.max(col).alias(f"high{i}"),
-            F.approx_count_distinct(col).alias(f"distinct{i}"),
+            distinct.alias(f"distinct{i}"),
         ]
     row = df.agg(*aggs).first()
     return {

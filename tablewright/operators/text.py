@@ -28,11 +28,12 @@ class Vocabulary:
 def term_counts(df: DataFrame, text: Column) -> DataFrame:
     """(term, total, containing) over all texts. Each text is tokenised once and adds its terms' counts to the
     task's partial sums, so documents are never regrouped and a very common term is one row per task."""
-    words = tokens(text)
+    words = F.col("words")
     all_words = F.transform(words, lambda w: F.struct(w.alias("term"), F.lit(1).alias("t"), F.lit(0).alias("d")))
     each_once = F.transform(F.array_distinct(words), lambda w: F.struct(w.alias("term"), F.lit(0).alias("t"), F.lit(1).alias("d")))
     return (
-        df.select(F.explode(F.concat(all_words, each_once)).alias("x"))
+        df.select(tokens(text).alias("words"))
+        .select(F.explode(F.concat(all_words, each_once)).alias("x"))
         .groupBy("x.term")
         .agg(F.sum("x.t").alias("total"), F.sum("x.d").alias("containing"))
     )

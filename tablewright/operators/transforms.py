@@ -17,13 +17,16 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssemble
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.functions.columns import as_category, as_flag, as_number, as_time, category_text, is_numeric, present, ref
+from tablewright.functions.columns import as_category, as_flag, as_number, as_time, category_text, is_numeric, key_text, present, ref
 from tablewright.functions.storage import cut_lineage
 from tablewright.operators.stats import exact_medians, histogram, modes, moments, value_text
 from tablewright.operators.text import MAX_TERMS, Vocabulary, fit_vocabulary, weigh
 from tablewright.spec import FeatureSpec, TableSpec
 
 CONSTANT_VOCABULARY = 100_000  # larger category sets are joined, not held as constants
+BROADCAST_VOCABULARY = 1_000_000  # up to here the joined table goes to every task
+HOT_CATEGORIES = 1_000  # commonest categories of a larger one, looked up as constants
+SALTS = 4_096
 TARGET = "__target__"
 MISSING_TEXT, MISSING_NUMBER = "missing_value", 0  # fixed values: constant imputation
 
@@ -39,6 +42,7 @@ class Fitted:
     scale: float = 1.0
     categories: list[str] | None = None  # in code order; None if kept as a table
     size: int = 0
+    hot: dict[str, int] = field(default_factory=dict)  # codes of the commonest categories kept as a table
     terms: list[str] = field(default_factory=list)
     documents: int = 0
     containing: list[int] = field(default_factory=list)
@@ -102,6 +106,7 @@ def fit_transforms(df: DataFrame, spec: TableSpec, with_target: bool = True, onl
     common: dict[str, Any] = {}
     sizes: dict[str, int] = {}
     vocabularies: dict[str, list[str]] = {}
+    hot: dict[str, dict[str, int]] = {}
     if discrete:
         hist = histogram(df, discrete).persist()
         try:
@@ -116,16 +121,19 @@ def fit_transforms(df: DataFrame, spec: TableSpec, with_target: bool = True, onl
                     vocabularies.setdefault(r.feature, []).append(r.t)
             for c in coded:
                 if sizes.get(c, 0) > CONSTANT_VOCABULARY:
-                    tables[c] = _ranked(hist.where(F.col("feature") == c))
+                    mine = hist.where(F.col("feature") == c)
+                    tables[c] = _ranked(mine)
+                    hot[c] = _hot_codes(mine, tables[c])
         finally:
             hist.unpersist()
 
     numbers = {f.name: as_number(df, f.name) for f in features if f.type == "numeric"}
-    stats = moments(df, numbers)
+    by_median = [n for n in numbers if spec.feature(n).imputation == "median"]
+    stats = moments(df, numbers, sketch=by_median)
     for name, m in stats.items():
         if m.count == 0 and spec.feature(name).imputation != "constant":
             raise ValueError(f"Column '{name}' has no values to learn from")
-    medians = exact_medians(df, {n: c for n, c in numbers.items() if spec.feature(n).imputation == "median"}, stats)
+    medians = exact_medians(df, {n: numbers[n] for n in by_median}, stats)
 
     for f in features:
         if f.type == "numeric":
@@ -141,14 +149,21 @@ def fit_transforms(df: DataFrame, spec: TableSpec, with_target: bool = True, onl
             if f.type == "categorical":
                 fill = _constant(df, f) if f.imputation == "constant" else _plain(value)
                 fitted[f.name] = Fitted(
-                    f.name, f.kind, fill=str(fill), categories=vocabularies.get(f.name), size=sizes[f.name]
+                    f.name,
+                    f.kind,
+                    fill=str(fill),
+                    categories=vocabularies.get(f.name),
+                    size=sizes[f.name],
+                    hot=hot.get(f.name, {}),
                 )
             else:
                 fitted[f.name] = Fitted(f.name, f.kind, fill=value.i)
     if classes:
         if TARGET not in sizes:
             raise ValueError(f"Target column '{spec.target_name}' has no values")
-        fitted[TARGET] = Fitted(TARGET, "label", categories=vocabularies.get(TARGET), size=sizes[TARGET])
+        fitted[TARGET] = Fitted(
+            TARGET, "label", categories=vocabularies.get(TARGET), size=sizes[TARGET], hot=hot.get(TARGET, {})
+        )
     return FittedTable(spec, fitted, tables, [f.name for f in features])
 
 
@@ -180,6 +195,12 @@ def _ranked(hist: DataFrame) -> DataFrame:
     return placed.select("text", (start + place).alias("code"))
 
 
+def _hot_codes(hist: DataFrame, codes: DataFrame) -> dict[str, int]:
+    """The commonest categories with their codes."""
+    top = hist.orderBy(F.desc("n"), "value").limit(HOT_CATEGORIES).select(value_text().alias("text"))
+    return {r.text: r.code for r in codes.join(F.broadcast(top), "text").collect()}
+
+
 def _fit_number(f: FeatureSpec, m, median: float | None, mode) -> Fitted:
     fill = {"mean": m.mean, "median": median, "most_frequent": mode.d if mode else None, "constant": float(MISSING_NUMBER)}[f.imputation]
     if m.count == 0:
@@ -273,8 +294,7 @@ class FittedTable:
             indexer = StringIndexerModel.from_labels(b.categories, inputCol=t, outputCol=code, handleInvalid=unseen)
             out = indexer.transform(out).withMetadata(code, {})  # a code is a number to the models
         for b, t, n in joined:
-            codes = self.tables[b.name].select(F.col("text").alias(t), F.col("code").cast("double").alias(f"{n}_code"))
-            out = out.join(codes, t, "left")
+            out = self._join_codes(out, b, t, f"{n}_code")
             if b.kind == "onehot":
                 out = out.withColumn(f"{n}_code", F.coalesce(f"{n}_code", F.lit(float(b.size))))
             else:
@@ -300,9 +320,25 @@ class FittedTable:
         if b.categories is not None:
             indexer = StringIndexerModel.from_labels(b.categories, inputCol="__y", outputCol=name, handleInvalid="error")
             return indexer.transform(with_text).drop("__y").withMetadata(name, {})
-        codes = self.tables[TARGET].select(F.col("text").alias("__y"), F.col("code").cast("double").alias(name))
+        coded = self._join_codes(with_text, b, "__y", name)
         stop = F.raise_error(F.concat(F.lit("Unseen class: "), F.col("__y"))).cast("double")
-        return with_text.join(codes, "__y", "left").withColumn(name, F.coalesce(F.col(name), stop)).drop("__y")
+        return coded.withColumn(name, F.coalesce(F.col(name), stop)).drop("__y")
+
+    def _join_codes(self, df: DataFrame, b: Fitted, text: str, name: str) -> DataFrame:
+        """Adds the code of ``text`` (NULL if unseen) from a vocabulary kept as a table.
+
+        Beyond broadcast size the rows move by category. Rows of the commonest categories, of which one may be a
+        third of the table, take their codes from constants instead and are spread over salts that match nothing.
+        """
+        codes = self.tables[b.name].select(F.col("text").alias("__k"), F.col("code").cast("double").alias(name))
+        if b.size <= BROADCAST_VOCABULARY:
+            return df.join(F.broadcast(codes), F.col(text) == F.col("__k"), "left").drop("__k")
+        common = F.from_json(F.lit(json.dumps(b.hot, ensure_ascii=False)), "map<string,bigint>")
+        salt = F.concat(F.lit("\u0000"), F.pmod(key_text(df, None).cast("long"), F.lit(SALTS)).cast("string"))
+        spread = df.withColumn("__hot", F.try_element_at(common, F.col(text)).cast("double"))
+        spread = spread.withColumn("__m", F.when(F.col("__hot").isNull(), F.col(text)).otherwise(salt))
+        out = spread.join(codes, F.col("__m") == F.col("__k"), "left")
+        return out.withColumn(name, F.coalesce("__hot", name)).drop("__hot", "__m", "__k")
 
     def transform(self, df: DataFrame, features: str = "features", label: str | None = None) -> DataFrame:
         """``df`` plus the feature vector and, if ``label`` is named, the numeric target. Parameters are applied,
@@ -317,7 +353,7 @@ class FittedTable:
         if b is None:
             return df.withColumn(name, F.col(code))
         if b.categories is not None:
-            names = F.array(*[F.lit(c) for c in b.categories])
+            names = F.from_json(F.lit(json.dumps(b.categories, ensure_ascii=False)), "array<string>")
             return df.withColumn(name, F.try_element_at(names, (F.col(code) + 1).cast("int")))
         codes = self.tables[TARGET].select(F.col("text").alias(name), F.col("code").cast("double").alias("__code"))
         return df.join(codes, F.col(code) == F.col("__code"), "left").drop("__code")

@@ -10,10 +10,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.columns import key_text
+from tablewright.functions.columns import key_text, ref
 from tablewright.operators.contract import drop_null_target, validate
 from tablewright.operators.split import split
 from tablewright.operators.transforms import FittedTable, fit_transforms
+from tablewright.sources.files import spread
 from tablewright.spec import TableSpec
 
 KEY = "row_key"
@@ -23,18 +24,20 @@ KEY = "row_key"
 class Prepared:
     table: DataFrame  # row_key, features, label, split
     fitted: FittedTable
+    source: DataFrame | None = None  # kept rows, of a table too small for the cores it has
 
     def side(self, name: str) -> DataFrame:
         return self.table.where(F.col("split") == name)
 
     def release(self) -> None:
         self.table.unpersist()
+        if self.source is not None:
+            self.source.unpersist()
 
 
 def keyed(df: DataFrame, key: str | Sequence[str] | None) -> DataFrame:
-    """Adds a short row identity: the key's text, or a digest of the whole row."""
-    text = key_text(df, key)
-    return df.withColumn(KEY, text if key else F.md5(text))
+    """Adds a row identity: the key's text, or a digest of the whole row."""
+    return df.withColumn(KEY, key_text(df, key))
 
 
 def prepare(
@@ -50,13 +53,17 @@ def prepare(
     iterative fits that follow; a lost part is recomputed."""
     if check_first:
         validate(df, spec)
-    rows = keyed(drop_null_target(df, spec), key)
     names = [KEY, *spec.columns]
+    given = keyed(drop_null_target(df, spec), key).select(*[ref(c) for c in names])
+    rows = spread(given)
+    small = rows is not given
+    if small:
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
     parts = split(
-        rows.select(*names), spec.target_name, spec.target_type, config["test_size"], config["stratify"], KEY, config["random_state"]
+        rows, spec.target_name, spec.target_type, config["test_size"], config["stratify"], KEY, config["random_state"]
     )
     if fitted is None:
         source = parts.where(F.col("split") == "train") if config.get("fit_on", "all") == "train" else rows
         fitted = fit_transforms(source, spec)
     table = fitted.transform(parts, label="label").select(KEY, "features", "label", "split")
-    return Prepared(table.persist(StorageLevel.MEMORY_AND_DISK), fitted)
+    return Prepared(table.persist(StorageLevel.MEMORY_AND_DISK), fitted, rows if small else None)

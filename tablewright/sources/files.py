@@ -107,3 +107,12 @@ def sample_rows(df: DataFrame, n: int = 5, key: str | Sequence[str] | None = Non
     """
     text = key_text(df, key)
     return df.orderBy(portable_hash(text, seed), text).limit(n)
+
+
+def spread(df: DataFrame, least_rows: int = 10_000) -> DataFrame:
+    """One partition per core for a table that arrives in fewer, such as one file of one row group. A table with
+    enough partitions, as any large one has, stays as it is and is not shuffled. Looks at row counts only."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    where = df.select(F.spark_partition_id().alias("p"))
+    facts = where.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("p").alias("parts")).first()
+    return df.repartition(cores) if facts.rows >= least_rows and facts.parts < cores else df
