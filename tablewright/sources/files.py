@@ -83,7 +83,8 @@ def infer_types(df: DataFrame) -> DataFrame:
     """Text columns to BIGINT, DOUBLE or BOOLEAN where every present value reads as one.
     One pass over the data for all columns; an empty column becomes DOUBLE."""
     names = df.columns
-    whole = [F.every(F.coalesce(ref(c).rlike(r"^\s*[+-]?\d+\s*$") & F.trim(ref(c)).try_cast("long").isNotNull(), ref(c).isNull())) for c in names]
+    integral = r"^\s*[+-]?\d+\s*$"
+    whole = [F.every(ref(c).isNull() | (ref(c).rlike(integral) & F.trim(ref(c)).try_cast("long").isNotNull())) for c in names]
     real = [F.every(F.coalesce(ref(c).rlike(NUMBER_PATTERN), F.lit(True))) for c in names]
     flag = [F.every(F.coalesce(ref(c).isin("True", "False", "TRUE", "FALSE", "true", "false"), F.lit(True))) for c in names]
     filled = [F.count(ref(c)) > 0 for c in names]
