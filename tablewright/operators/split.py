@@ -22,6 +22,7 @@ COARSE_SHIFT = 20  # the first count looks at the top 12 of 32 hash bits
 LOCAL_ROWS = 1_000_000  # up to here one task may number a group of equal keys
 LITERAL_CUTS = 200  # up to here cuts are constants of one expression, beyond it a joined table
 BROADCAST_CUTS = 100_000
+SALTS = 64
 
 _S, _H, _K = "__stratum", "__hash", "__key"
 
@@ -158,9 +159,14 @@ def _apply(keyed: DataFrame, cuts: list[Cut], out: str) -> DataFrame:
 
 def _apply_joined(keyed: DataFrame, cuts: DataFrame, n_cuts: int, out: str) -> DataFrame:
     """One cut per stratum, too many strata for constants: join the cuts by stratum. A stratum without a cut
-    lies wholly behind it."""
+    lies wholly behind it. Beyond broadcast size each cut is repeated per salt, and rows take theirs from their
+    hash, so a stratum of a third of the rows is still many small groups."""
     c = cuts.select(F.col("stratum").alias(_S), F.col("hash").alias("__ch"), F.col("key").alias("__ck"), "take", "ties")
-    joined = keyed.join(_hint(c, n_cuts), _S, "left")
+    if n_cuts <= BROADCAST_CUTS:
+        joined = keyed.join(F.broadcast(c), _S, "left")
+    else:
+        salted = c.withColumn("__z", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        joined = keyed.withColumn("__z", F.col(_H) % SALTS).join(salted, [_S, "__z"], "left").drop("__z")
     at_cut = F.coalesce((F.col(_H) == F.col("__ch")) & (F.col(_K) == F.col("__ck")), F.lit(False))
     tied = at_cut & (F.col("take") < F.col("ties"))
     rest = joined.where(~tied).withColumn("__tie", F.lit(None).cast("long"))

@@ -97,12 +97,13 @@ def histogram(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
 
 
 def modes(hist: DataFrame) -> DataFrame:
-    """(feature, value, n, distinct): the commonest value, the smallest one on ties."""
+    """(feature, value, n, distinct, chars): the commonest value, the smallest one on ties; how many distinct
+    values there are, and how many characters they take together."""
     best = F.min(F.struct((-F.col("n")).alias("m"), F.col("value"))).alias("best")
     return (
         hist.groupBy("feature")
-        .agg(best, F.count(F.lit(1)).alias("distinct"))
-        .select("feature", F.col("best.value").alias("value"), (-F.col("best.m")).alias("n"), "distinct")
+        .agg(best, F.count(F.lit(1)).alias("distinct"), F.sum(F.length(value_text())).alias("chars"))
+        .select("feature", F.col("best.value").alias("value"), (-F.col("best.m")).alias("n"), "distinct", "chars")
     )
 
 

@@ -24,8 +24,10 @@ from tablewright.operators.text import MAX_TERMS, Vocabulary, fit_vocabulary, we
 from tablewright.spec import FeatureSpec, TableSpec
 
 CONSTANT_VOCABULARY = 100_000  # larger category sets are joined, not held as constants
-BROADCAST_VOCABULARY = 1_000_000  # up to here the joined table goes to every task
-HOT_CATEGORIES = 1_000  # commonest categories of a larger one, looked up as constants
+CONSTANT_CHARS = 16_000_000  # and so are those whose texts are longer than this together
+BROADCAST_VOCABULARY = 1_000_000  # up to here, and
+BROADCAST_CHARS = 100_000_000  # up to here, the joined table goes to every task
+HOT_CATEGORIES, HOT_CHARS = 1_000, 1_000  # commonest categories (and longest text) looked up as constants
 SALTS = 4_096
 TARGET = "__target__"
 MISSING_TEXT, MISSING_NUMBER = "missing_value", 0  # fixed values: constant imputation
@@ -42,6 +44,7 @@ class Fitted:
     scale: float = 1.0
     categories: list[str] | None = None  # in code order; None if kept as a table
     size: int = 0
+    chars: int = 0  # of all categories together
     hot: dict[str, int] = field(default_factory=dict)  # codes of the commonest categories kept as a table
     terms: list[str] = field(default_factory=list)
     documents: int = 0
@@ -105,6 +108,7 @@ def fit_transforms(df: DataFrame, spec: TableSpec, with_target: bool = True, onl
         discrete[TARGET] = as_category(df, spec.target_name)
     common: dict[str, Any] = {}
     sizes: dict[str, int] = {}
+    chars: dict[str, int] = {}
     vocabularies: dict[str, list[str]] = {}
     hot: dict[str, dict[str, int]] = {}
     if discrete:
@@ -112,15 +116,16 @@ def fit_transforms(df: DataFrame, spec: TableSpec, with_target: bool = True, onl
         try:
             for r in modes(hist).collect():
                 common[r.feature] = r.value
-                sizes[r.feature] = r.distinct
+                sizes[r.feature], chars[r.feature] = r.distinct, r.chars
             coded = [f.name for f in features if f.type == "categorical"] + ([TARGET] if classes else [])
-            small = [c for c in coded if 0 < sizes.get(c, 0) <= CONSTANT_VOCABULARY]
+            coded = [c for c in coded if c in sizes]
+            small = [c for c in coded if sizes[c] <= CONSTANT_VOCABULARY and chars[c] <= CONSTANT_CHARS]
             if small:
                 rows = hist.where(F.col("feature").isin(small)).select("feature", "value", value_text().alias("t")).collect()
                 for r in sorted(rows, key=lambda r: (r.feature, _order(r.value))):
                     vocabularies.setdefault(r.feature, []).append(r.t)
             for c in coded:
-                if sizes.get(c, 0) > CONSTANT_VOCABULARY:
+                if c not in small:
                     mine = hist.where(F.col("feature") == c)
                     tables[c] = _ranked(mine)
                     hot[c] = _hot_codes(mine, tables[c])
@@ -154,6 +159,7 @@ def fit_transforms(df: DataFrame, spec: TableSpec, with_target: bool = True, onl
                     fill=str(fill),
                     categories=vocabularies.get(f.name),
                     size=sizes[f.name],
+                    chars=chars[f.name],
                     hot=hot.get(f.name, {}),
                 )
             else:
@@ -162,7 +168,12 @@ def fit_transforms(df: DataFrame, spec: TableSpec, with_target: bool = True, onl
         if TARGET not in sizes:
             raise ValueError(f"Target column '{spec.target_name}' has no values")
         fitted[TARGET] = Fitted(
-            TARGET, "label", categories=vocabularies.get(TARGET), size=sizes[TARGET], hot=hot.get(TARGET, {})
+            TARGET,
+            "label",
+            categories=vocabularies.get(TARGET),
+            size=sizes[TARGET],
+            chars=chars[TARGET],
+            hot=hot.get(TARGET, {}),
         )
     return FittedTable(spec, fitted, tables, [f.name for f in features])
 
@@ -197,7 +208,8 @@ def _ranked(hist: DataFrame) -> DataFrame:
 
 def _hot_codes(hist: DataFrame, codes: DataFrame) -> dict[str, int]:
     """The commonest categories with their codes."""
-    top = hist.orderBy(F.desc("n"), "value").limit(HOT_CATEGORIES).select(value_text().alias("text"))
+    short = hist.where(F.length(value_text()) <= HOT_CHARS)
+    top = short.orderBy(F.desc("n"), "value").limit(HOT_CATEGORIES).select(value_text().alias("text"))
     return {r.text: r.code for r in codes.join(F.broadcast(top), "text").collect()}
 
 
@@ -331,7 +343,7 @@ class FittedTable:
         third of the table, take their codes from constants instead and are spread over salts that match nothing.
         """
         codes = self.tables[b.name].select(F.col("text").alias("__k"), F.col("code").cast("double").alias(name))
-        if b.size <= BROADCAST_VOCABULARY:
+        if b.size <= BROADCAST_VOCABULARY and b.chars <= BROADCAST_CHARS:
             return df.join(F.broadcast(codes), F.col(text) == F.col("__k"), "left").drop("__k")
         common = F.from_json(F.lit(json.dumps(b.hot, ensure_ascii=False)), "map<string,bigint>")
         salt = F.concat(F.lit("\u0000"), F.pmod(key_text(df, None).cast("long"), F.lit(SALTS)).cast("string"))

@@ -24,15 +24,18 @@ KEY = "row_key"
 class Prepared:
     table: DataFrame  # row_key, features, label, split
     fitted: FittedTable
-    source: DataFrame | None = None  # kept rows, of a table too small for the cores it has
+    kept: list[DataFrame]  # what is held on the executors meanwhile
 
     def side(self, name: str) -> DataFrame:
         return self.table.where(F.col("split") == name)
 
     def release(self) -> None:
-        self.table.unpersist()
-        if self.source is not None:
-            self.source.unpersist()
+        for df in self.kept:
+            df.unpersist()
+
+    def resplit(self, spec: TableSpec, config: dict[str, Any]) -> Prepared:
+        """The same features under another seed or test share."""
+        return Prepared(_split(self.table.drop("split"), "label", spec, config), self.fitted, self.kept)
 
 
 def keyed(df: DataFrame, key: str | Sequence[str] | None) -> DataFrame:
@@ -40,30 +43,37 @@ def keyed(df: DataFrame, key: str | Sequence[str] | None) -> DataFrame:
     return df.withColumn(KEY, key_text(df, key))
 
 
+def _split(df: DataFrame, target: str, spec: TableSpec, config: dict[str, Any]) -> DataFrame:
+    return split(df, target, spec.target_type, config["test_size"], config["stratify"], KEY, config["random_state"])
+
+
 def prepare(
     df: DataFrame,
     spec: TableSpec,
     config: dict[str, Any],
     key: str | Sequence[str] | None = None,
     check_first: bool = True,
-    fitted: FittedTable | None = None,
 ) -> Prepared:
-    """Check, drop rows without a target, split by key, learn the transforms (from all rows, or with
-    ``fit_on='train'`` from the training rows only) and apply them. The feature table is kept for the
-    iterative fits that follow; a lost part is recomputed."""
+    """Check, drop rows without a target, learn the transforms, apply them, and split by key.
+
+    The feature table is kept for the split and the iterative fits that follow; a lost part is recomputed. With
+    ``fit_on='train'`` the split comes first and the transforms are learned from the training rows only.
+    """
     if check_first:
         validate(df, spec)
     names = [KEY, *spec.columns]
     given = keyed(drop_null_target(df, spec), key).select(*[ref(c) for c in names])
     rows = spread(given)
-    small = rows is not given
-    if small:
-        rows.persist(StorageLevel.MEMORY_AND_DISK)
-    parts = split(
-        rows, spec.target_name, spec.target_type, config["test_size"], config["stratify"], KEY, config["random_state"]
-    )
-    if fitted is None:
-        source = parts.where(F.col("split") == "train") if config.get("fit_on", "all") == "train" else rows
-        fitted = fit_transforms(source, spec)
-    table = fitted.transform(parts, label="label").select(KEY, "features", "label", "split")
-    return Prepared(table.persist(StorageLevel.MEMORY_AND_DISK), fitted, rows if small else None)
+    kept = []
+    if rows is not given:  # fewer partitions than cores: small enough to hold while it is read repeatedly
+        kept.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
+    if config.get("fit_on", "all") == "train":
+        parts = _split(rows, spec.target_name, spec, config)
+        fitted = fit_transforms(parts.where(F.col("split") == "train"), spec)
+        table = fitted.transform(parts, label="label").select(KEY, "features", "label", "split")
+        kept.append(table.persist(StorageLevel.MEMORY_AND_DISK))
+        return Prepared(table, fitted, kept)
+    fitted = fit_transforms(rows, spec)
+    table = fitted.transform(rows, label="label").select(KEY, "features", "label")
+    kept.append(table.persist(StorageLevel.MEMORY_AND_DISK))
+    return Prepared(_split(table, "label", spec, config), fitted, kept)

@@ -107,28 +107,33 @@ def train_iterations(
     key: str | Sequence[str] | None = None,
     **kwargs: Any,
 ) -> tuple[list[TrainResult], DataFrame]:
-    """``n`` runs with seeds one apart, and (metric, mean, std, runs) over them. The table is checked and the
-    transforms are learned once. A failing first run is an error; later ones are left out with a warning."""
+    """``n`` runs with seeds one apart, and (metric, mean, std, runs) over them. The table is checked, and its
+    features made, once; only the split and the fit repeat. A failing first run is an error; later ones are left out with a warning."""
     check_model_fits(model_type, spec)
     validate(df, spec)
     cfg = merged_config(spec, config)
+    once = cfg.get("fit_on", "all") == "all"
     results: list[TrainResult] = []
-    fitted: FittedTable | None = None
-    for i in range(n):
-        try:
+    shared: Prepared | None = None
+    try:
+        for i in range(n):
             seeded = {**cfg, "random_state": cfg["random_state"] + i}
-            prepared = prepare(df, spec, seeded, key, check_first=False, fitted=fitted)
-            if cfg.get("fit_on", "all") == "all":
-                fitted = prepared.fitted
+            prepared = None
             try:
-                run = _run(prepared, spec, model_type, seeded, kwargs.get("output"), kwargs.get("experiment", "default"), kwargs.get("tune_model", False), i)
+                prepared = shared.resplit(spec, seeded) if shared else prepare(df, spec, seeded, key, check_first=False)
+                shared = prepared if once else None
+                where = kwargs.get("output"), kwargs.get("experiment", "default")
+                results.append(_run(prepared, spec, model_type, seeded, *where, kwargs.get("tune_model", False), i))
+            except Exception as err:
+                if i == 0:
+                    raise
+                warnings.warn(f"run {i + 1} failed and is left out: {err}", stacklevel=2)
             finally:
-                prepared.release()
-            results.append(run)
-        except Exception as err:
-            if i == 0:
-                raise
-            warnings.warn(f"run {i + 1} failed and is left out: {err}", stacklevel=2)
+                if prepared and not once:
+                    prepared.release()
+    finally:
+        if shared:
+            shared.release()
     rows = [(r.run["iteration"], m, v) for r in results for m, v in r.metrics.items()]
     long = df.sparkSession.createDataFrame(rows, "iteration int, metric string, value double")
     return results, iteration_summary(long)

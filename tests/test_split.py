@@ -38,9 +38,10 @@ def test_sizes(rows, size, expected):
     assert S.random_split(rows, size, "id").where("split = 'test'").count() == expected
 
 
-@pytest.mark.parametrize("literal", [200, 0])
-def test_stratified(rows, monkeypatch, literal):
+@pytest.mark.parametrize("literal,broadcast", [(200, 100_000), (0, 100_000), (0, 0)])
+def test_stratified(rows, monkeypatch, literal, broadcast):
     monkeypatch.setattr(S, "LITERAL_CUTS", literal)
+    monkeypatch.setattr(S, "BROADCAST_CUTS", broadcast)
     out = S.stratified_split(rows, "y", 0.2, "id")
     got = Counter((r.y, r.split) for r in out.collect())
     n_test, sizes = 201, Counter(r.y for r in rows.collect())

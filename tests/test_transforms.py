@@ -137,6 +137,14 @@ def test_vocabularies_as_tables_give_the_same(spark, monkeypatch, broadcast):
         assert back == 0
 
 
+def test_long_texts_are_not_held_as_constants(spark, monkeypatch):
+    df = spark.createDataFrame([("x" * 50,), ("y" * 50,)], "c string").withColumn("target", F.lit(1))
+    monkeypatch.setattr(transforms, "CONSTANT_CHARS", 99)
+    fitted = fit_transforms(df, make_spec([("c", "categorical", "label")]))
+    assert "c" in fitted.tables and fitted.fitted["c"].chars == 100
+    assert sorted(matrix(fitted.transform(df), "c")[:, 0]) == [0, 1]
+
+
 def test_datetime(spark):
     rows = [(1, dt.datetime(2024, 2, 29, 23, 59, 59, 900000)), (2, None), (3, dt.datetime(1969, 12, 31, 23, 59, 58, 500000)), (4, dt.datetime(2024, 2, 29, 23, 59, 59, 900000))]
     df = spark.createDataFrame(rows, "id int, t timestamp").withColumn("target", F.lit(1))
