@@ -13,6 +13,7 @@ from math import factorial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions.storage import new_path
 from tablewright.operators.models import Trained
-from tablewright.sources.files import sample_rows
+from tablewright.sources.files import sample_rows, spread
 
 SAMPLE_ROWS, BACKGROUND_ROWS = 100, 50  # fixed values
 EXACT_FEATURES = 11  # up to here every coalition is scored
@@ -187,17 +188,22 @@ def explain_trees(trained: Trained, df: DataFrame, keep: Sequence[str]) -> Expla
     shared = spark.sparkContext.broadcast(leaves)
     first = 1 if classes == 1 and trained.learner.task == "classification" else 0
 
-    def shares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
                 continue
-            phi = _tree_shares(np.stack(pdf["__x"].to_list()), shared.value, classes)
-            rest = pdf.drop(columns="__x")
+            x = batch.column("__x").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            phi = _tree_shares(x, shared.value, classes)
+            ends = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
             for c in range(classes):
-                yield rest.assign(**{"class": c + first, "phi": list(phi[:, c, :])})
+                lists = pa.ListArray.from_arrays(ends, np.ascontiguousarray(phi[:, c, :]).ravel())
+                columns = [*(batch.column(k) for k in keep), pa.array(np.full(n, c + first, np.int32)), lists]
+                yield pa.RecordBatch.from_arrays(columns, [*keep, "class", "phi"])
 
     fields = [df.schema[k] for k in keep] + [T.StructField("class", T.IntegerType()), T.StructField("phi", T.ArrayType(T.DoubleType()))]
-    rows = df.select(*keep, vector_to_array("features").alias("__x")).mapInPandas(shares, T.StructType(fields))
+    given = spread(df.select(*keep, vector_to_array("features").alias("__x")))
+    rows = given.mapInArrow(shares, T.StructType(fields))
     return Explanation(_long(rows, keep, _names(trained, trained.n_features)), [float(b) for b in base])
 
 

@@ -314,8 +314,12 @@ class FittedTable:
                 out = out.withColumn(n, F.coalesce(F.col(f"{n}_code"), stop.cast("double"))).drop(f"{n}_code")
         hot = [(b, n) for b, _, n in constant + joined if b.kind == "onehot"]
         if hot:
-            # Codes run to size (unseen); dropping that last one leaves exactly the known categories.
-            widest = df.sparkSession.createDataFrame([tuple(float(b.size) for b, _ in hot)], [f"{n}_code" for _, n in hot])
+            # Codes run to size (unseen); dropping that last one leaves exactly the known categories. The sizes
+            # go in as column attributes, so fitting the encoder starts no job.
+            known = [{"ml_attr": {"type": "nominal", "num_vals": b.size + 1}} for b, _ in hot]
+            widest = df.sparkSession.range(0).select(
+                *[F.lit(0.0).alias(f"{n}_code", metadata=m) for (_, n), m in zip(hot, known, strict=True)]
+            )
             encoder = OneHotEncoder(inputCols=widest.columns, outputCols=[n for _, n in hot], dropLast=True)
             out = encoder.fit(widest).transform(out).drop(*widest.columns)
         for b, n in texts:
