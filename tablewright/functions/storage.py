@@ -8,16 +8,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local: dict[str, str] = {}  # application id -> temporary folder, of local sessions without a named one
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a temporary one only for a local session without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tablewright-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if sc.applicationId not in _local:
+        _local[sc.applicationId] = tempfile.mkdtemp(prefix="tablewright-", dir="/tmp")
+    return _local[sc.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

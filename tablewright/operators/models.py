@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -235,8 +236,15 @@ class Trained:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Trained:
-        about = json.loads(spark.read.parquet(f"{path}/about").first().document)
         model = PipelineModel.load(f"{path}/model").stages[0]
+        try:
+            about = json.loads(spark.read.parquet(f"{path}/about").first().document)
+        except AnalysisException as err:
+            if err.getCondition() != "PATH_NOT_FOUND":
+                raise
+            # a model stored without its description still scores
+            task = "classification" if hasattr(type(model), "numClasses") else "regression"
+            return cls(model, Learner(type(model).__name__, task), [], {})
         front = RandomFeatures(*about["front"]) if about["front"] else None
         return cls(model, Learner(*about["learner"]), about["feature_names"], about["metadata"], front)
 

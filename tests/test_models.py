@@ -84,6 +84,17 @@ def test_regressors(spark, values, model):
     assert again.metadata["model_type"] == model and again.learner == trained.learner
 
 
+def test_model_stored_without_description(spark, values):
+    from pyspark.ml import PipelineModel
+
+    trained = make_learner("linear_regression").fit(values)
+    path = new_path(spark, "bare")
+    PipelineModel([trained.model]).save(f"{path}/model")
+    again = Trained.load(spark, path)
+    assert again.metadata == {} and again.learner.task == "regression"
+    assert again.predict(values).count() == 5
+
+
 def test_multiclass(blobs):
     df, x, y = blobs
     for model, params in (("xgboost", {"n_estimators": 3, "max_depth": 2}), ("logistic_regression", {}), ("svm", {"kernel": "linear"}), ("random_forest", {"n_estimators": 5})):
