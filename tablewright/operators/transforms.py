@@ -229,6 +229,28 @@ def _fit_number(f: FeatureSpec, m, median: float | None, mode) -> Fitted:
 # -------------------------------------------------------------------------------------------- applying
 
 
+def _read(df: DataFrame, b: Fitted, value: Column, what: str) -> Column:
+    """The value; a present one that does not read as its type stops the job rather than being imputed."""
+    wrong = value.isNull() & present(df, b.name).isNotNull()
+    stop = F.raise_error(F.concat(F.lit(f"Column '{b.name}' is not {what}: "), ref(b.name).cast("string")))
+    return F.when(wrong, stop.cast(df.select(value.alias("v")).schema["v"].dataType)).otherwise(value)
+
+
+def _expressions(df: DataFrame, b: Fitted) -> list[Column]:
+    """The columns of a block that needs no dictionary; none for category codes and text."""
+    if b.kind in ("numeric", "standard", "minmax"):
+        value = F.coalesce(_read(df, b, as_number(df, b.name), "numeric"), F.lit(float(b.fill)))
+        return [value if b.kind == "numeric" else (value - F.lit(b.center)) / F.lit(b.scale)]
+    if b.kind == "boolean":
+        return [F.coalesce(_read(df, b, as_flag(df, b.name), "boolean"), F.lit(int(b.fill))).cast("double")]
+    if b.kind in ("components", "epoch"):
+        time = F.coalesce(_read(df, b, as_time(df, b.name), "a date or time"), F.timestamp_micros(F.lit(int(b.fill))))
+        if b.kind == "epoch":
+            return [F.floor(F.unix_micros(time) / 1_000_000).cast("double")]
+        return [p.cast("double") for p in (F.year(time), F.month(time), F.dayofmonth(time), F.weekday(time))]
+    return []
+
+
 @dataclass
 class FittedTable:
     spec: TableSpec
@@ -253,32 +275,14 @@ class FittedTable:
         return self.fitted[TARGET].size if TARGET in self.fitted else 0
 
     def scalars(self, df: DataFrame) -> dict[str, Column]:
-        """Block columns that are plain expressions: everything but category codes and text."""
-        out: dict[str, Column] = {}
-        for b in self.blocks:
-            if b.kind in ("numeric", "standard", "minmax"):
-                value = F.coalesce(as_number(df, b.name), F.lit(float(b.fill)))
-                out[b.name] = value if b.kind == "numeric" else (value - F.lit(b.center)) / F.lit(b.scale)
-            elif b.kind == "boolean":
-                flag = as_flag(df, b.name)
-                wrong = flag.isNull() & present(df, b.name).isNotNull()
-                stop = F.raise_error(F.concat(F.lit(f"Column '{b.name}' is not boolean: "), ref(b.name).cast("string")))
-                out[b.name] = F.when(wrong, stop.cast("int")).otherwise(F.coalesce(flag, F.lit(int(b.fill)))).cast("double")
-            elif b.kind in ("components", "epoch"):
-                time = F.coalesce(as_time(df, b.name), F.timestamp_micros(F.lit(int(b.fill))))
-                if b.kind == "epoch":
-                    out[b.name] = F.floor(F.unix_micros(time) / 1_000_000).cast("double")
-                else:
-                    parts = (F.year(time), F.month(time), F.dayofmonth(time), F.weekday(time))
-                    out.update({n: p.cast("double") for n, p in zip(b.block_names, parts, strict=True)})
-        return out
+        """Block columns that are plain expressions, by name: everything but category codes and text."""
+        return {n: c for b in self.blocks for n, c in zip(b.block_names, _expressions(df, b), strict=False)}
 
     def encode(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
         """``df`` plus one ``__b_i`` column (number or vector) per block; and those columns' names in order."""
         absent = [b.name for b in self.blocks if b.name not in df.columns]
         if absent:
             raise ValueError(f"Missing columns in data: {', '.join(absent)}")
-        scalars = self.scalars(df)
         new: dict[str, Column] = {}
         order: list[str] = []
         constant: list[tuple[Fitted, str, str]] = []
@@ -293,13 +297,10 @@ class FittedTable:
             elif b.kind in ("count", "tfidf"):
                 texts.append((b, name))
                 order.append(name)
-            elif b.kind == "components":
-                for part in b.block_names:
-                    new[f"{name}_{part}"] = scalars[part]
-                    order.append(f"{name}_{part}")
             else:
-                new[name] = scalars[b.name]
-                order.append(name)
+                for j, column in enumerate(_expressions(df, b)):
+                    new[f"{name}_{j}"] = column
+                    order.append(f"{name}_{j}")
         out = df.withColumns(new) if new else df
         for b, t, n in constant:
             code, unseen = (n, "error") if b.kind == "label" else (f"{n}_code", "keep")

@@ -165,6 +165,22 @@ def test_boolean(spark):
         fitted.transform(spark.createDataFrame([("maybe",)], "f string")).collect()
 
 
+def test_unreadable_values_stop_the_job(spark):
+    seen = spark.createDataFrame([("1.5", "2024-01-01"), ("2", None)], "x string, t string").withColumn("target", F.lit(1))
+    fitted = fit_transforms(seen, make_spec([("x", "numeric"), ("t", "datetime")]))
+    assert fitted.transform(spark.createDataFrame([(None, "2024-01-05")], "x string, t string")).first().features[0] == 1.75
+    for bad in (("x1", None), ("1", "soon")):
+        with pytest.raises(Exception, match="is not"):
+            fitted.transform(spark.createDataFrame([bad], "x string, t string")).collect()
+
+
+def test_names_that_meet(spark):
+    """Parts of a date do not mix with a feature of the same name, and names may hold dots."""
+    df = spark.createDataFrame([(dt.datetime(2024, 5, 1), 7.0, "a")], "t timestamp, t_year double, `c.d` string").withColumn("target", F.lit(1))
+    fitted = fit_transforms(df, make_spec([("t", "datetime", "components"), ("t_year", "numeric"), ("c.d", "categorical", "one-hot")]))
+    assert fitted.transform(df).first().features.toArray().tolist() == [2024, 5, 1, 2, 7, 1]
+
+
 def test_exact_median_by_brackets(spark, monkeypatch):
     rng = np.random.default_rng(3)
     x = np.round(rng.lognormal(3, 2, 20_000), 3)
