@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import quality, tokens
+from tablewright.llm import quality, sharding, tokens
+from tablewright.llm.base import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +34,23 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+N_SHARDS = 8
+
+
+@query("op1_sharding")
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents lie in eight shards by their source, very uneven ones; they are moved to eight of equal bytes, written and read back."""
+    docs = table(spark, sf_dir, "documents")
+    old = F.pmod(F.crc32(F.col("source")), F.lit(N_SHARDS))
+    moved = sharding.reshard(docs.select("doc_id", "text", "source"), old, N_SHARDS, sharding.text_size(), [F.col("doc_id"), F.col("text")])
+    folder = new_path(spark, "shards")
+    sharding.write_shards(moved, folder)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return sharding.read_shards(spark, folder, "doc_id long, text string, source string").select(
+        "doc_id", sharding.text_size().alias("size"), F.crc32(text).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query("op3_tokens")
 def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents through the token file and back."""
