@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import quality, sharding, tokens
+from tablewright.llm import html, quality, sharding, tokens
 from tablewright.llm.base import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,13 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_html")
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = table(spark, sf_dir, "pages").select("page_id", "url", html.extract(F.col("html")).alias("text"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @query("op3_tokens")
 def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents through the token file and back."""
