@@ -244,8 +244,8 @@ def _packed(each, rows: int = 20_000):
 
 
 def _rooted(entries: DataFrame) -> DataFrame:
-    """(key, id, root): every entry with the first class of its block, read in one pass over sorted rows with one row kept.
-    Blocks of a single class are left out; ``root`` is null where only the block's other members matter (the root itself)."""
+    """(key, salt, id, n, root, root_n): every entry but the first of a block with the block's first class, its root. Sorted rows
+    are read once, with one row kept. A salted part's root is given out too, as its own root: the parts' roots meet later."""
     ordered = entries.repartition("key", "salt").sortWithinPartitions("key", "salt", "id")
     schema = "key long, salt byte, id long, n int, root long, root_n int"
 
@@ -262,10 +262,9 @@ def _rooted(entries: DataFrame) -> DataFrame:
             block = np.cumsum(new) - 1  # -1: goes on with the block before
             roots = np.concatenate([[last[2] if last else 0], i[starts]])
             root_n = np.concatenate([[last[3] if last else 0], n[starts]])
-            at_root = new | (salt > 0) & False
             member = ~new
             yield _batch(schema, key[member], salt[member], i[member], n[member], roots[block[member] + 1], root_n[block[member] + 1])
-            hot = at_root & (salt > 0)  # roots of salted parts meet again below
+            hot = new & (salt > 0)  # roots of salted parts meet again below
             if hot.any():
                 yield _batch(schema, key[hot], salt[hot], i[hot], n[hot], i[hot], n[hot])
             last = (key[-1], salt[-1], roots[block[-1] + 1], root_n[block[-1] + 1])

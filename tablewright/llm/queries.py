@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import html, quality, sharding, tokens
+from tablewright.llm import html, jaccard, quality, sharding, tokens
 from tablewright.llm.base import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,12 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op5_jaccard")
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share four fifths of their five-word shingles."""
+    return jaccard.join_groups(table(spark, sf_dir, "documents"))
+
+
 @query("op6_quality", quality.ORACLE)
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document, and what the current policy makes of it."""
