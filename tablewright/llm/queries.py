@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import html, jaccard, quality, sharding, tokens
+from tablewright.llm import fmindex, html, jaccard, quality, sharding, tokens
 from tablewright.llm.base import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = quality.with_ledger(table(spark, sf_dir, "documents"))
     m = {c: F.col("ledger")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
     return df.select("doc_id", *m.values(), quality.broken("base").alias("base_failed"), (~quality.broken("base") & ~quality.broken()).alias("kept"), F.col("ledger")["failed"].alias("failed_bits"))
+
+
+@query("op7_decontaminate", fmindex.ORACLE)
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents that benchmark items cover, and those items."""
+    found = fmindex.with_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    leak = F.col("leak")
+    n_hit = F.aggregate(F.zip_with(leak["starts"], leak["ends"], lambda s, e: e - s), F.lit(0).cast("long"), lambda a, x: a + x)
+    return found.select(
+        "doc_id", leak["n_words"].alias("n_words"), n_hit.alias("n_hit"), F.size(leak["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(leak["items"], ","), 256).alias("items_sha256"), (F.size(leak["starts"]) > 0).alias("contaminated"),
+    )
