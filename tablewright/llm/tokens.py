@@ -9,9 +9,11 @@ it is decompressed. Spark's Parquet writer carries the segments, so files appear
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import struct
-from collections.abc import Callable, Iterator
+import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,49 +29,96 @@ MAGIC = b"TWTK\x01"
 SEGMENT_BYTES = 1 << 20
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCUMENTS, SAMPLE_TEXT_BYTES = 1000, 32 << 10  # the dictionary is fitted on so many documents of at most this size
-CACHED_WORDS, CACHED_CHARS = 400_000, 48
+CACHED_WORDS = 1_500_000
+TOGETHER = 256  # texts tokenised at a time
 
 SEGMENT_SCHEMA = "part int, seq int, first_doc long, last_doc long, n_docs int, ids_before long, n_ids long, body binary"
 
 
-#: str.split() also cuts at these four; the tokenizer does not, so texts that hold one are cut by the plain rule.
-_ODD = re.compile("[\x1c-\x1f]")
-_PLAIN = re.compile("[ \t\n\v\f\r]+")
+#: Pieces that the tokenizer's splitter never joins: runs of letters and digits, runs of other signs.
+_PIECES = re.compile(r"[^\W_]+|(?:[^\w\s]|_)+")
+#: Words where that is not so plain: apostrophes begin contractions, ``<|`` special tokens, and Python knows more white space.
+_WHOLE = re.compile(r"'|<\||\s")
 
 
 class WordCache:
-    """Ids of a text put together from the ids of its words.
+    """Ids of a text put together from the ids of its words, and those from their pieces.
 
-    The tokenizer's normaliser and splitter never look across white space, so a text's ids are those of its words in
-    order. Words repeat; each is tokenised once. The cache is emptied when it is full, so memory is bounded.
+    The tokenizer's normaliser and splitter never look across white space, nor from a letter to a sign beside it, so a
+    text's ids are those of its pieces in order. Words and pieces repeat; each is tokenised once while the cache holds it. The cache
+    is emptied when it is full, so memory is bounded.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
-        self.encode, self.known = encode, {}
-
-    def serialized(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids, without an end id."""
-        if not text:
-            return b""
-        words = [w for w in _PLAIN.split(text) if w] if _ODD.search(text) else text.split()
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
+    def __init__(self, tokenizer):
+        self.tokenizer, self.known = tokenizer, {}
+        vocabulary = tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+
+    @staticmethod
+    def words(text: str | None) -> list[bytes]:
+        """Words between ASCII white space, A-Z lowered (the tokenizer lowers the rest itself) unless special tokens may occur."""
+        data = text.encode() if text else b""
+        return data.split() if b"<|" in data else data.lower().split()
+
+    @staticmethod
+    def pieces(word: bytes) -> list[bytes]:
+        core = word.rstrip(b".,;:!?")
+        if core.isalpha():  # ASCII letters and nothing else, the usual case
+            return [core, word[len(core) :]] if len(core) < len(word) else [word]
+        text = word.decode()
+        if text.isalpha() or _WHOLE.search(text) or not unicodedata.is_normalized("NFC", text):
+            return [word]
+        return [p.encode() for p in _PIECES.findall(text)]
+
+    def _one_by_one(self, pieces: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
+        self.known.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(pieces, found, strict=True))
+
+    def _learn_pieces(self, pieces: list[bytes]) -> None:
+        """Runs of letters are one token group each, whose last token ends a word: many are tokenised as one text and cut there."""
+        letters, others = [], []
+        for w in pieces:
+            (letters if w.isalpha() or w.decode().isalpha() else others).append(w)
+        for at in range(0, len(letters), 4096):
+            some = letters[at : at + 4096]
+            ids = np.asarray(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
+            stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(stops) != len(some):  # a letter whose lower case is more than a letter
+                self._one_by_one(some)
+                continue
+            data = ids.tobytes()
+            self.known.update((w, data[i:j]) for w, i, j in zip(some, [0, *stops[:-1]], stops, strict=True))
+        if others:
+            self._one_by_one(others)
+
+    def serialized(self, some: list[str | None]) -> list[bytes]:
+        """The ids of several texts, each as little-endian unsigned 32-bit integers without an end id."""
+        known = self.known
+        split = [self.words(t) for t in some]
+        held = [list(map(known.get, words)) for words in split]
+        new = {w for words, found in zip(split, held, strict=True) if None in found for w, ids in zip(words, found, strict=True) if ids is None}
         if new:
-            if len(self.known) + len(new) > CACHED_WORDS:
-                self.known.clear()
-                new = list(dict.fromkeys(words))
-            fresh = {w: np.asarray(ids, "<u4").tobytes() for w, ids in zip(new, self.encode(new), strict=True)}
-            self.known.update(fresh)
-        return b"".join(map(self.known.__getitem__, words))
+            if len(known) + len(new) > CACHED_WORDS:
+                known.clear()
+            parts = {w: self.pieces(w) for w in new}
+            self._learn_pieces([p for p in {p for x in parts.values() for p in x} if p not in known])
+            known.update((w, b"".join([known[p] for p in x])) for w, x in parts.items() if len(x) != 1)
+            held = [[known[w] if ids is None else ids for w, ids in zip(words, found, strict=True)] if None in found else found for words, found in zip(split, held, strict=True)]
+        return [b"".join(x) for x in held]
 
 
-def tokenizer_cache(path: str) -> WordCache:
-    import os
+_caches: dict[str, WordCache] = {}
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given this task one core
-    from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    return WordCache(lambda words: [e.ids for e in t.encode_batch_fast(words, add_special_tokens=False)])
+def tokenizer_cache(path: str) -> WordCache:
+    """The cache of this Python worker; it serves one task after another."""
+    if path not in _caches:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given this task one core
+        from tokenizers import Tokenizer
+
+        _caches[path] = WordCache(Tokenizer.from_file(path))
+    return _caches[path]
 
 
 def dictionary_hash(dictionary: bytes) -> bytes:
@@ -132,7 +181,7 @@ def train_dictionary(df: DataFrame, tokenizer: str, id: str = "doc_id", text: st
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = tokenizer_cache(tokenizer)
-        samples = [cache.serialized(x.as_py()) + END_ID.to_bytes(4, "little") for b in batches for x in b.column(1)]
+        samples = [x + END_ID.to_bytes(4, "little") for b in batches for x in cache.serialized(b.column(1).to_pylist())]
         try:
             found = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if len(samples) >= 10 else b""
         except zstandard.ZstdError:  # too little to learn from
@@ -167,11 +216,10 @@ def write_tokens(df: DataFrame, folder: str, tokenizer: str, id: str = "doc_id",
             seq, before, held, size = seq + 1, before + n, [], 0
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
-        for b in batches:
-            for i, t in zip(b.column(0), b.column(2), strict=True):
-                ids = cache.serialized(t.as_py()) + end
-                frame = packer.compress(ids)
-                held.append((i.as_py(), frame, len(ids) // 4))
+        for b in (whole.slice(k, TOGETHER) for whole in batches for k in range(0, whole.num_rows, TOGETHER)):
+            for i, ids in zip(b.column(0), cache.serialized(b.column(2).to_pylist()), strict=True):
+                frame = packer.compress(ids + end)
+                held.append((i.as_py(), frame, len(ids) // 4 + 1))
                 size += len(frame) + 25
                 if size >= SEGMENT_BYTES:
                     yield out()
