@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import fmindex, html, jaccard, quality, sharding, tokens
+from tablewright.llm import fmindex, html, jaccard, pii, quality, sharding, tokens
 from tablewright.llm.base import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,13 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", leak["n_words"].alias("n_words"), n_hit.alias("n_hit"), F.size(leak["items"]).cast("long").alias("n_items"),
         F.sha2(F.array_join(leak["items"], ","), 256).alias("items_sha256"), (F.size(leak["starts"]) > 0).alias("contaminated"),
     )
+
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans, and all spans with those that the trees add."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.with_spans(docs.select("doc_id", "text"), pii.fit(docs))
+    base = F.col("pii")["base"]
+    counts = [pii.count_of(base, k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("pii")["spans"]).alias("spans"))
