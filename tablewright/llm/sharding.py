@@ -135,8 +135,8 @@ def _chosen(key: Column, values: dict[int, int], default: int = 0) -> Column:
 def reshard(df: DataFrame, old: Column, n_new: int, size: Column, order: list[Column], capacities: list[int] | None = None) -> DataFrame:
     """``df`` with ``old_shard``, ``shard`` (0 to ``n_new - 1``), ``slot`` (gapless from 0 in each shard) and ``moved``.
 
-    ``size`` is a row's size (1 or more), ``order`` columns that tell rows apart; rows equal in all of them follow
-    each other in any order. A null ``old`` counts as shard 0. Columns with the four names are replaced. Rows are never
+    ``size`` is a row's size (1 or more), ``order`` columns that tell rows apart (their hashes order rows); rows
+    equal in all of them follow each other in any order. A null ``old`` counts as shard 0. Columns with the four names are replaced. Rows are never
     brought together by shard: they are ordered within BLOCKS parts of it, and a part's place is a sum over part sizes.
     """
     base = df.withColumns({"old_shard": F.coalesce(old.cast("int"), F.lit(0)), "_size": size})
@@ -150,13 +150,13 @@ def reshard(df: DataFrame, old: Column, n_new: int, size: Column, order: list[Co
     plan = plan_transfers(sizes, capacities)
     quota = {t.source: t.amount for t in plan if t.source == t.target}
 
-    h = F.xxhash64(*order)
+    h, tie = F.xxhash64(*order), F.xxhash64(F.lit("tie"), *order)  # of their own, so that long texts stay out of the passes that only place rows
     large = F.col("_size") >= 2 * max(1, total // max(1, rows))
-    placed = base.withColumns({"_h": h, "_block": F.when(large, 0).otherwise(BLOCKS) + F.shiftrightunsigned(h, 64 - BLOCKS.bit_length() + 1).cast("int")})
+    placed = base.withColumns({"_h": h, "_tie": tie, "_block": F.when(large, 0).otherwise(BLOCKS) + F.shiftrightunsigned(h, 64 - BLOCKS.bit_length() + 1).cast("int")})
     blocks = placed.groupBy("old_shard", "_block").agg(F.sum("_size").alias("bytes"), n)
     before = Window.partitionBy("old_shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("old_shard", "_block", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in ("bytes", "n")])
-    inside = Window.partitionBy("old_shard", "_block").orderBy("_h", *order)
+    inside = Window.partitionBy("old_shard", "_block").orderBy("_h", "_tie")
     run = inside.rowsBetween(Window.unboundedPreceding, -1)
     lined = placed.withColumns({"_at": F.coalesce(F.sum("_size").over(run), F.lit(0)), "_row": F.row_number().over(inside) - 1})
     lined = lined.join(blocks, ["old_shard", "_block"])
