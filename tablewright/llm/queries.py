@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import fmindex, html, jaccard, pii, quality, sharding, tokens
+from tablewright.llm import fmindex, html, jaccard, pieces, pii, quality, sharding, tokens
 from tablewright.llm.base import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,15 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_pieces")
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document to ids of pieces and back."""
+    model = tokenizer("piece_bpe_32k.model")
+    back = pieces.with_text(pieces.with_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    text = F.coalesce(F.regexp_replace("text", pieces.SPACE, " "), F.lit(""))
+    return back.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), (F.col("decoded") == text).alias("same_text"))
+
+
 @query("op10_pii")
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans, and all spans with those that the trees add."""
