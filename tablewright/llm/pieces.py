@@ -1,16 +1,19 @@
 """SentencePiece encoding by a batched Viterbi in numpy, and decoding.
 
-A text becomes words (a run of spaces goes with the word after it; no piece of the model reaches from one word into the next).
+A text becomes words (a space goes with the word after it; no piece of the model reaches from one word into the next).
 New words are grouped by length, and all words of a length advance together, one character at a time: every substring's
-hash is looked up among the sorted hashes of the pieces, the best score of each prefix is a maximum over piece lengths, and the
+hash is looked up among the sorted hashes of the pieces, the best way to each prefix is a maximum over piece lengths, and the
 length that gave it is the way back. Characters that no piece holds are given as bytes.
 
-Scores add up as in the library's unigram models: the segmentation is the one of the highest total, of equals the one whose pieces
-begin earliest. A model that was trained as byte-pair merges is segmented by its scores too, not by replaying merges.
+In a unigram model a way is worth the sum of its scores. In a model of byte-pair merges it is worth something only if no
+merge could have crossed a cut: two neighbouring pieces are right if undoing their merges, the later one first, meets no
+merge across the cut that would have come earlier. Exactly one piece of each prefix is right with the piece before it, so
+the maximum is the library's own segmentation, without replaying merges word by word.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Callable
 
@@ -25,6 +28,7 @@ SPACE = "▁"
 CACHED_WORDS = 1_000_000
 CELLS = 4_000_000  # substrings looked at together
 TOGETHER = 256  # texts encoded at a time
+LONG_WORD = 512  # characters from which a word of a merge model is merged by itself
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LENGTH = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -32,15 +36,15 @@ _LENGTH = np.uint64(0xC2B2AE3D27D4EB4F)
 class PieceModel:
     """The pieces of a model file, and the words met so far."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, merges: bool = True):
+        """``merges``: whether the model was trained as byte-pair merges (their order is the order of the scores) or as a unigram model."""
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
         plain = [i for i in range(n) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         pieces = [model.id_to_piece(i) for i in plain]
-        bare = [p.lstrip(SPACE) for p in pieces]
-        if any(SPACE in b for b in bare):
+        if any(SPACE in p.lstrip(SPACE) for p in pieces):
             raise ValueError("the model has pieces that hold several words")
         self.unknown = model.unk_id()
         self.bytes_id = {int(model.id_to_piece(i)[1:-1], 16): i for i in range(n) if model.is_byte(i)}
@@ -57,6 +61,85 @@ class PieceModel:
         self.surface = [b"" if model.is_control(i) else bytes([int(model.id_to_piece(i)[1:-1], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace(SPACE, " ").encode() for i in range(n)]
         self.surface[self.unknown] = " ⁇ ".encode()
         self.known: dict[str, bytes] = {}
+        self.id_at = np.append(self.ids, -1).astype(np.int32)
+        self.merges = merges
+        self.score_of = dict(zip(pieces, scores.tolist(), strict=True))
+        self.id_of = dict(zip(pieces, plain, strict=True))
+        if merges:
+            self._undo([pieces[i] for i in order])
+
+    def _undo(self, pieces: list[str]) -> None:
+        """For each piece (in the order of the keys) the place of its last merge in the order of merges, and that merge's parts."""
+        place = {p: k for k, p in enumerate(pieces)}
+        by_score = np.argsort(-self.scores, kind="stable")
+        self.rank = np.full(len(pieces) + 1, -1, np.int64)
+        self.left, self.right = np.full(len(pieces) + 1, -1, np.int64), np.full(len(pieces) + 1, -1, np.int64)
+        order = np.empty(len(pieces), np.int64)
+        order[by_score] = np.arange(len(pieces))
+        self.merge_rank = order
+        self.made = np.ones(len(pieces) + 1, bool)  # pieces that merging their own text gives; the last entry is an unknown character
+        for p, k in place.items():
+            if len(p) > 1:
+                parts = self._merged(p, last=True)
+                if parts is None:
+                    self.made[k] = False
+                else:
+                    self.rank[k], self.left[k], self.right[k] = order[k], place[parts[0]], place[parts[1]]
+        self.length = np.array([len(p) for p in pieces] + [1], np.int64)
+        raw = self.keys - self.length[:-1].astype(np.uint64) * _LENGTH
+        self.raw = np.append(raw, np.uint64(0))
+        self.power = np.ones(self.longest + 2, np.uint64)
+        for m in range(1, self.longest + 2):
+            self.power[m] = self.power[m - 1] * _BASE
+
+    def _merged(self, word: str, last: bool = False):
+        """The word's characters merged, best score first, of equals the first place. With ``last``, the parts of the merge that
+        made the whole word, or None if none did."""
+        symbols: list[str | None] = list(word)
+        before, after = list(range(-1, len(word) - 1)), [*range(1, len(word)), -1]
+        heap: list[tuple[float, int, int, int]] = []
+
+        def offer(i: int) -> None:
+            j = after[i] if i >= 0 else -1
+            if j >= 0 and (s := self.score_of.get(symbols[i] + symbols[j])) is not None:
+                heapq.heappush(heap, (-s, i, j, len(symbols[i]) + len(symbols[j])))
+
+        for i in range(len(word) - 1):
+            offer(i)
+        parts = None
+        while heap:
+            _, i, j, n = heapq.heappop(heap)
+            if symbols[i] is None or after[i] != j or symbols[j] is None or len(symbols[i]) + len(symbols[j]) != n:
+                continue
+            parts = (symbols[i], symbols[j])
+            symbols[i] += symbols[j]
+            symbols[j] = None
+            after[i] = after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            offer(i)
+            offer(before[i])
+        whole = [s for s in symbols if s is not None]
+        return (parts if len(whole) == 1 else None) if last else whole
+
+    def _neighbours(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether merging the texts of pieces ``a`` and ``b`` side by side leaves the cut between them."""
+        right, live = np.ones(len(a), bool), np.flatnonzero((a < len(self.keys)) & (b < len(self.keys)))
+        a, b = a[live], b[live]
+        limit = np.full(len(a), np.iinfo(np.int64).max)
+        while len(live):
+            n = self.length[a] + self.length[b]
+            key = self.raw[a] * self.power[np.minimum(self.length[b], self.longest + 1)] + self.raw[b] + n.astype(np.uint64) * _LENGTH
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            crossed = (n <= self.longest) & (self.keys[at] == key) & (self.merge_rank[at] < limit)
+            right[live[crossed]] = False
+            ra, rb = self.rank[a], self.rank[b]
+            go = ~crossed & ((ra >= 0) | (rb >= 0))
+            live, a, b, ra, rb = live[go], a[go], b[go], ra[go], rb[go]
+            first = ra > rb  # undo the later merge; of one piece twice, the second
+            limit = np.where(first, ra, rb + 1)
+            a, b = np.where(first, self.right[a], a), np.where(first, b, self.left[b])
+        return right
 
     @staticmethod
     def _hash_of(piece: str) -> np.uint64:
@@ -77,22 +160,42 @@ class PieceModel:
             h[:, j + 1] = h[:, j] * _BASE + chars[:, j].astype(np.uint64) + np.uint64(1)
         for m in range(1, most + 1):
             power[m] = power[m - 1] * _BASE
+        none = len(self.keys)
         found, score = [None], [None]
         for m in range(1, most + 1):
             key = h[:, m:] - h[:, :-m] * power[m] + np.uint64(m) * _LENGTH
-            at = np.minimum(np.searchsorted(self.keys, key.ravel()), len(self.keys) - 1).reshape(key.shape)
+            at = np.minimum(np.searchsorted(self.keys, key.ravel()), none - 1).reshape(key.shape)
             hit = self.keys[at] == key
-            found.append(np.where(hit, self.ids[at], -1).astype(np.int32))
+            if self.merges:
+                hit &= self.made[at]
+            found.append(np.where(hit, at, none))
             score.append(np.where(hit, self.scores[at], self.unknown_score if m == 1 else -np.inf))
+        back = np.zeros((k, n + 1), np.int16)
         best = np.full((k, n + 1), -np.inf)
         best[:, 0] = 0
-        back = np.zeros((k, n + 1), np.int16)
+        tail = np.full((k, n + 1), none)  # the last piece of each prefix
         for j in range(1, n + 1):
             lengths = range(min(most, j), 0, -1)  # the longest first: it wins among equals
-            options = np.stack([best[:, j - m] + score[m][:, j - m] for m in lengths], axis=1)
+            options = np.stack([(0.0 if self.merges else best[:, j - m]) + score[m][:, j - m] for m in lengths], axis=1)
+            if self.merges:
+                options = np.where(options > -np.inf, 0.0, -np.inf)
+                if j > 1:
+                    row, col = np.nonzero(options == 0)
+                    start = j - (lengths[0] - col)
+                    part = start > 0
+                    row, col, start = row[part], col[part], start[part]
+                    last = np.empty(len(row), np.int64)
+                    for m in lengths:
+                        of = start == j - m
+                        last[of] = found[m][row[of], j - m]
+                    wrong = ~self._neighbours(tail[row, start], last)
+                    options[row[wrong], col[wrong]] = -np.inf
             choice = options.argmax(axis=1)
             best[:, j] = options[np.arange(k), choice]
-            back[:, j] = min(most, j) - choice
+            back[:, j] = lengths[0] - choice
+            for m in lengths:
+                of = back[:, j] == m
+                tail[of, j] = found[m][of, j - m]
         out, count, at = np.full((k, n), -1, np.int32), np.zeros(k, np.int64), np.full(k, n)
         rows = np.arange(k)
         while len(rows):
@@ -101,7 +204,7 @@ class PieceModel:
             ids = np.empty(len(rows), np.int32)
             for length in np.unique(m).tolist():
                 of = m == length
-                ids[of] = found[length][rows[of], start[of]]
+                ids[of] = self.id_at[found[length][rows[of], start[of]]]
             count[rows] += 1
             out[rows, n - count[rows]] = ids
             at[rows] = start
@@ -111,7 +214,12 @@ class PieceModel:
     def _learn(self, words: list[str]) -> None:
         by_length: dict[int, list[str]] = {}
         for w in words:
-            by_length.setdefault(len(w), []).append(w)
+            if self.merges and (len(w) > LONG_WORD or w.startswith("  ") or w == " "):  # merges of spaces have one score, so their places count
+                parts = self._merged(w.replace(" ", SPACE))
+                ids = np.array([self.id_of.get(p, -1) for p in parts], np.int64)
+                self.known[w] = self._with_bytes(w, ids) if (ids < 0).any() else ids.astype("<u4").tobytes()
+            else:
+                by_length.setdefault(len(w), []).append(w)
         for n, some in by_length.items():
             step = max(1, CELLS // (n * min(n, self.longest)))
             for a in range(0, len(some), step):
@@ -155,22 +263,22 @@ class PieceModel:
         return data.removeprefix(b" ").decode("utf-8", "replace")
 
 
-_models: dict[str, PieceModel] = {}
+_models: dict[tuple[str, bool], PieceModel] = {}
 
 
-def piece_model(path: str) -> PieceModel:
+def piece_model(path: str, merges: bool = True) -> PieceModel:
     """The model of this Python worker; it serves one task after another."""
-    if path not in _models:
+    if (path, merges) not in _models:
         with np.errstate(over="ignore"):
-            _models[path] = PieceModel(path)
-    return _models[path]
+            _models[path, merges] = PieceModel(path, merges)
+    return _models[path, merges]
 
 
 def _grouped(column: pa.Array, of: Callable[[list], list]) -> list:
     return [x for k in range(0, len(column), TOGETHER) for x in of(list(texts(column.slice(k, TOGETHER))))]
 
 
-def with_ids(df: DataFrame, model: str, text: str = "text", name: str = "ids") -> DataFrame:
+def with_ids(df: DataFrame, model: str, text: str = "text", name: str = "ids", merges: bool = True) -> DataFrame:
     """``df`` with the ids of every whole text, as binary of little-endian unsigned 32-bit integers.
 
     Null and empty texts have no ids. Repeated rows stay; a column called ``name`` is replaced.
@@ -178,7 +286,7 @@ def with_ids(df: DataFrame, model: str, text: str = "text", name: str = "ids") -
 
     def encode(column: pa.Array) -> pa.Array:
         with np.errstate(over="ignore"):
-            return pa.array(_grouped(column, piece_model(model).encode), pa.binary())
+            return pa.array(_grouped(column, piece_model(model, merges).encode), pa.binary())
 
     return df.withColumn(name, F.arrow_udf(encode, "binary").asNondeterministic()(F.col(text)))  # so that it runs once, however often it is read
 
