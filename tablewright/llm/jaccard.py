@@ -24,13 +24,14 @@ from tablewright.llm.base import cut_lineage, stored, texts
 SHINGLE = 5
 PERCENT = 80  # 100 * intersection >= PERCENT * union
 BITMAP_WORDS = 16  # 1,024 bits
-LEAF, FANOUT = 16, 4
+LEAF, FANOUT = 64, 4
 BLOCK = 1024  # classes of one tree; larger blocks are pairs of trees
 SALTS = 32
 #: Shingles are called common by the count in one document of SAMPLED; there are at most MOST_COMMON of them. Which ones are
 #: called common changes the order in which shingles are tried, and so the work, but never the result.
 SAMPLED, COMMON_COUNT, MOST_COMMON = 16, 12, 500_000
 _CACHED = 1_000_000
+FILTER_WORDS = 1 << 18  # of 64 bits; what passes this filter of ids is looked at exactly afterwards
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
@@ -177,9 +178,6 @@ def components(edges: DataFrame) -> DataFrame:
         seen = tuple(state)
 
 
-_SETS = "doc_id long, n_shingles long, set_key binary, bits binary, prefix binary"
-
-
 def _common(docs: DataFrame) -> np.ndarray:
     """Hashes of very common shingles, sorted; at most MOST_COMMON."""
 
@@ -195,25 +193,43 @@ def _common(docs: DataFrame) -> np.ndarray:
     return np.sort(top["h"].to_numpy(np.int64).view(np.uint64))
 
 
-def _sets(docs: DataFrame, common: np.ndarray) -> DataFrame:
+def _sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, set_key, bits): rows with equal sets have equal keys."""
+
+    def each(batches):
+        hashes = _WordHashes()
+        for b in batches:
+            rows = []
+            for t in texts(b.column(1)):
+                s = shingles(t, hashes)
+                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), bitmap(s).tobytes()))
+            n, key, bits = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary())], ["doc_id", "n_shingles", "set_key", "bits"])
+
+    return docs.mapInArrow(each, "doc_id long, n_shingles long, set_key binary, bits binary")
+
+
+def _prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """(id, n_shingles, prefix) of every class: the shingles it is entered under. The rest of a set is not moved."""
+
     def each(batches):
         hashes = _WordHashes()
         for b in batches:
             rows = []
             for t in texts(b.column(1)):
                 s = shingles(t, hashes)
-                p = prefix_size(len(s)) if len(s) else 0
                 last = np.isin(s, common, assume_unique=True) if len(common) else np.zeros(len(s), bool)
-                first = np.concatenate([s[~last], s[last]])[:p]
-                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), bitmap(s).tobytes(), first.tobytes()))
-            n, key, bits, first = zip(*rows, strict=True) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()), pa.array(first, pa.binary())], ["doc_id", "n_shingles", "set_key", "bits", "prefix"])
+                first = np.concatenate([s[~last], s[last]])[: prefix_size(len(s)) if len(s) else 0]
+                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), first.tobytes()))
+            n, key, first = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(first, pa.binary())], ["i", "n_shingles", "set_key", "prefix"])
 
-    return docs.mapInArrow(each, _SETS)
+    rows = docs.where("i IS NOT NULL").mapInArrow(each, "i long, n_shingles long, set_key binary, prefix binary").where("n_shingles > 0")
+    return rows.groupBy("set_key").agg(F.min("i").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("prefix").alias("prefix"))
 
 
 def _entries(classes: DataFrame, common: np.ndarray) -> DataFrame:
-    """(key, salt, id, n): one row for each shingle of a class's prefix. Common ones are salted."""
+    """(key, salt, id, n): one row for each shingle of a class's prefix. Common ones are dealt over SALTS parts."""
 
     def each(batches):
         for b in batches:
@@ -295,18 +311,49 @@ def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(fit("na", "nb", "bits_a", "bits_b")).select("a", "b")
 
 
+def _positions(i: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    h = _mix(i.astype(np.int64).view(np.uint64))
+    for k in (np.uint64(0), np.uint64(32)):
+        part = h >> k
+        yield ((part >> np.uint64(6)) % np.uint64(FILTER_WORDS)).astype(np.int64), np.uint64(1) << (part % np.uint64(64))
+
+
+def _id_filter(pairs: DataFrame) -> np.ndarray:
+    """A Bloom filter of the ids in pairs: FILTER_WORDS words whatever their number."""
+
+    def each(batches):
+        for b in batches:
+            i = np.unique(np.concatenate([c.to_numpy(zero_copy_only=False) for c in b.columns]))
+            for at, bit in _positions(i):
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bit.view(np.int64))], ["at", "bit"])
+
+    words = pairs.select("a", "b").mapInArrow(each, "at long, bit long").groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(FILTER_WORDS, np.uint64)
+    out[words["at"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def _passes(wanted: np.ndarray, i: np.ndarray) -> np.ndarray:
+    ok = np.ones(len(i), bool)
+    for at, bit in _positions(i):
+        ok &= (wanted[at] & bit) != 0
+    return ok
+
+
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose whole sets are similar enough. Only texts of documents in a pair are read into sets again."""
+    """The pairs whose whole sets are similar enough. Texts are not moved: a filter of fixed size tells which of them to make sets of."""
     pairs = cut_lineage(pairs)
-    asked = pairs.select(F.col("a").alias("i")).unionByName(pairs.select(F.col("b").alias("i"))).distinct()
+    wanted = _id_filter(pairs)
 
     def each(batches):
         hashes = _WordHashes()
         for b in batches:
-            sets = [shingles(t, hashes).tobytes() for t in texts(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["i", "s"])
+            i = b.column(0).to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(_passes(wanted, i))
+            sets = [shingles(b.column(1)[k].as_py(), hashes).tobytes() for k in at.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(i[at], pa.int64()), pa.array(sets, pa.binary())], ["i", "s"])
 
-    sets = docs.join(asked, "i", "left_semi").select("i", "t").mapInArrow(each, "i long, s binary")
+    sets = stored(docs.where("i IS NOT NULL").mapInArrow(each, "i long, s binary"), "pair-sets")
 
     def overlap(a: pa.Array, b: pa.Array) -> pa.Array:
         out = []
@@ -336,26 +383,58 @@ def _tree_pairs(members: DataFrame, classes: DataFrame, known: DataFrame) -> Dat
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     rows = rows.withColumn("other", other).withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
 
-    def join(pdf):
-        import pandas as pd
-
-        sizes = pdf["n_shingles"].to_numpy(np.int64)
-        bits = np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(-1, BITMAP_WORDS)
-        groups, ids, part = pdf["component"].to_numpy(np.int64), pdf["id"].to_numpy(np.int64), pdf["part"].to_numpy()
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        a, b = [], []
-        if len(left) and len(right):
-            one = SignatureTree(sizes[left], bits[left], groups[left])
-            two = one if i == j else SignatureTree(sizes[right], bits[right], groups[right])
-            for x, y in dual_traversal(one, two):
-                u, v = ids[left[x]], ids[right[y]]
-                a.append(np.minimum(u, v))
-                b.append(np.maximum(u, v))
-        flat = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b)]
-        return pd.DataFrame({"a": flat[0], "b": flat[1]})
-
-    return rows.groupBy("key", "i", "j").applyInPandas(join, "a long, b long").where("a != b").distinct()
+    def join(batches):
+        """Blocks of the sorted rows; the last one of a batch may go on in the next."""
+        rest = None
+        for b in batches:
+            t = pa.Table.from_batches([b] if rest is None else [rest, b]).combine_chunks()
+            key, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
+            if not len(key):
+                continue
+            new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+            whole, rest = t.slice(0, new[-1]), t.slice(new[-1]).combine_chunks().to_batches()[0]
+            yield from _block_pairs(whole, new)
+        if rest is not None:
+            yield from _block_pairs(pa.Table.from_batches([rest]), np.array([0, rest.num_rows]))
+
+    ordered = rows.select("key", "i", "j", "part", "id", F.col("component").alias("group"), "n_shingles", "bits").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return ordered.mapInArrow(join, "a long, b long").where("a != b").distinct()
+
+
+def _block_pairs(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs of the blocks in ``t`` that begin at ``starts`` (the last of these is the end)."""
+    if not t.num_rows:
+        return
+    ids, sizes, groups, part, i, j = (t.column(c).to_numpy() for c in ("id", "n_shingles", "group", "part", "i", "j"))
+    bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS)
+    counts = np.diff(starts)
+    u, v = [], []
+    for m in np.unique(counts).tolist():
+        of = starts[:-1][counts == m]
+        if m <= LEAF:  # trees of one leaf: all of a size together
+            x, y = np.triu_indices(m, 1)
+            for at in range(0, len(of), max(1, 200_000 // max(1, len(x)))):
+                some = of[at : at + max(1, 200_000 // max(1, len(x)))]
+                p, q = (some[:, None] + x).ravel(), (some[:, None] + y).ravel()
+                ok = (groups[p] != groups[q]) & ((i[p] == j[p]) | (part[p] != part[q])) & (100 * np.minimum(sizes[p], sizes[q]) >= PERCENT * np.maximum(sizes[p], sizes[q]))
+                p, q = p[ok], q[ok]
+                ok = may_link(sizes[p], sizes[q], bits[p], bits[q])
+                u.append(p[ok])
+                v.append(q[ok])
+            continue
+        for start in of.tolist():
+            at = np.arange(start, start + m)
+            left, right = at[part[at] == i[start]], at[part[at] == j[start]]
+            if len(left) and len(right):
+                one = SignatureTree(sizes[left], bits[left], groups[left])
+                two = one if i[start] == j[start] else SignatureTree(sizes[right], bits[right], groups[right])
+                for x, y in dual_traversal(one, two):
+                    u.append(left[x])
+                    v.append(right[y])
+    if u:
+        p, q = ids[np.concatenate(u)], ids[np.concatenate(v)]
+        pairs = np.unique(np.stack([np.maximum(p, q), np.minimum(p, q)], axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
 def join_groups(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -366,13 +445,11 @@ def join_groups(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     """
     docs = df.select(F.col(id).cast("long").alias("i"), F.col(text).alias("t"))
     common = _common(docs)
-    sets = stored(_sets(docs, common), "shingle-sets")
+    sets = stored(_sets(docs), "shingle-sets")
     able = sets.where("doc_id IS NOT NULL AND n_shingles > 0")
-    first = [F.first(c).alias(c) for c in ("n_shingles", "bits")]
-    classes = able.groupBy("set_key").agg(F.min("doc_id").alias("id"), *first)
-    with_prefix = able.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("prefix").alias("prefix"))
+    classes = able.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"))
 
-    rooted = stored(_rooted(_entries(with_prefix, common)), "blocks")
+    rooted = stored(_rooted(_entries(_prefixes(docs, common), common)), "blocks")
     hot = rooted.where("salt > 0 AND id = root")
     tops = hot.groupBy("key").agg(F.min(F.struct("root", "root_n")).alias("top"))
     roots = hot.join(tops, "key").select("id", "n", F.col("top.root").alias("root"), F.col("top.root_n").alias("root_n"))

@@ -108,3 +108,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.col("pii")["base"]
     counts = [pii.count_of(base, k).alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("pii")["spans"]).alias("spans"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
