@@ -26,10 +26,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Documents without words are no copies of one another. Rows without an id stay.
     """
-    groups = jaccard.join_groups(docs)
-    first = groups.where("component_id = doc_id").select("doc_id").distinct()
-    with_id = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return with_id.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    return jaccard.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

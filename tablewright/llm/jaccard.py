@@ -71,12 +71,19 @@ def prefix_size(n: int) -> int:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    out = np.zeros(BITMAP_WORDS, np.uint64)
+    """Two bits or more for each shingle, in a power of two of words, BITMAP_WORDS at least."""
+    words = max(BITMAP_WORDS, 1 << max(0, (len(s) - 1) // 32).bit_length())
     at = s >> np.uint64(17)  # other bits than those that order shingles
-    np.bitwise_or.at(out, (at % np.uint64(BITMAP_WORDS)).astype(np.int64), np.uint64(1) << ((at >> np.uint64(8)) % np.uint64(64)))
+    out = np.zeros(words, np.uint64)
+    np.bitwise_or.at(out, ((at >> np.uint64(6)) % np.uint64(words)).astype(np.int64), np.uint64(1) << (at % np.uint64(64)))
     return out
 
 
+def folded(bits: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
+    """The bitmap that the same shingles have in fewer words."""
+    return np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
+
+
 def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).sum(axis=-1, dtype=np.int64)
 
@@ -194,7 +201,7 @@ def _common(docs: DataFrame) -> np.ndarray:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_key, bits): rows with equal sets have equal keys."""
+    """(doc_id, n_shingles, set_key, bits, wide): rows with equal sets have equal keys; bitmaps of a tree's width and of the set's own."""
 
     def each(batches):
         hashes = _WordHashes()
@@ -202,11 +209,12 @@ def _sets(docs: DataFrame) -> DataFrame:
             rows = []
             for t in texts(b.column(1)):
                 s = shingles(t, hashes)
-                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), bitmap(s).tobytes()))
-            n, key, bits = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary())], ["doc_id", "n_shingles", "set_key", "bits"])
+                wide = bitmap(s)
+                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), folded(wide).tobytes(), wide.tobytes()))
+            n, *rest = zip(*rows, strict=True) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in rest]], ["doc_id", "n_shingles", "set_key", "bits", "wide"])
 
-    return docs.mapInArrow(each, "doc_id long, n_shingles long, set_key binary, bits binary")
+    return docs.mapInArrow(each, "doc_id long, n_shingles long, set_key binary, bits binary, wide binary")
 
 
 def _prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
@@ -298,14 +306,19 @@ def _similar_size(a: str, b: str):
     return 100 * F.least(a, b).cast("long") >= PERCENT * F.greatest(a, b).cast("long")
 
 
-def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) that the bitmaps do not rule out."""
-    left = classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("bits_a"))
-    right = classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("bits").alias("bits_b"))
+def _bounded(pairs: DataFrame, able: DataFrame) -> DataFrame:
+    """Pairs (a, b) that the bitmaps of their own widths do not rule out; the wider of two is folded."""
+    classes = able.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("wide").alias("wide"))
+    left = classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("wide").alias("bits_a"))
+    right = classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("wide").alias("bits_b"))
 
     def fits(na: pa.Array, nb: pa.Array, bits_a: pa.Array, bits_b: pa.Array) -> pa.Array:
-        x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS) for c in (bits_a, bits_b))
-        return pa.array(may_link(na.to_numpy(), nb.to_numpy(), x, y))
+        out = []
+        for m, n, x, y in zip(na.to_pylist(), nb.to_pylist(), bits_a, bits_b, strict=True):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            words = min(len(x), len(y))
+            out.append(bool(may_link(m, n, folded(x, words), folded(y, words))))
+        return pa.array(out, pa.bool_())
 
     fit = F.arrow_udf(fits, "boolean")
     return pairs.join(left, "a").join(right, "b").where(fit("na", "nb", "bits_a", "bits_b")).select("a", "b")
@@ -455,13 +468,13 @@ def join_groups(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     roots = hot.join(tops, "key").select("id", "n", F.col("top.root").alias("root"), F.col("top.root_n").alias("root_n"))
     tries = rooted.select("id", "n", "root", "root_n").unionByName(roots).where(_similar_size("n", "root_n") & (F.col("id") != F.col("root")))
     pairs = tries.select(F.greatest("id", "root").alias("a"), F.least("id", "root").alias("b")).distinct()
-    links = cut_lineage(_verified(_bounded(pairs, classes), docs))
+    links = cut_lineage(_verified(_bounded(pairs, able), docs))
     known = components(links)
 
     wide = rooted.where("id != root").groupBy("key").agg(F.count("*").alias("m"), F.max("salt").alias("s")).where("m > 1 OR s > 0").select("key")
     in_wide = rooted.join(wide, "key")
     members = in_wide.select("key", "id").unionByName(in_wide.select("key", F.col("root").alias("id"))).distinct()
-    more = cut_lineage(_verified(_tree_pairs(members, classes, known), docs))
+    more = cut_lineage(_verified(_bounded(_tree_pairs(members, classes, known), able), docs))
     if not more.isEmpty():
         known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
@@ -471,3 +484,25 @@ def join_groups(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     joined = sets.select("doc_id", "n_shingles", "set_key").join(placed, "set_key", "left")
     component = F.when(F.col("doc_id").isNull(), None).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"))
+
+
+def one_of_each(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` with one document of each group: that of the smallest id, once if its row is repeated.
+
+    Rows without words or without an id are in no group and stay. Most documents are alone in their group; a filter of fixed size
+    tells rows that surely are, which then stay where they are, and only the others meet the groups in a join.
+    """
+    groups = join_groups(df, id, text).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("component_id").alias("first"))
+    special = stored(groups.where("n > 1 OR first <> doc_id"), "grouped")
+    wanted = _id_filter(special.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")))
+
+    def passes(i: pa.Array) -> pa.Array:
+        return pa.array(_passes(wanted, i.fill_null(0).to_numpy(zero_copy_only=False)) & i.is_valid().to_numpy(zero_copy_only=False), pa.bool_())
+
+    maybe = F.arrow_udf(passes, "boolean")(F.col(id).cast("long"))
+    asked = df.where(maybe)
+    copies = special.select(F.col("doc_id").alias("_id"), F.col("first").alias("_first"))
+    met = asked.join(copies, F.col(id).cast("long") == F.col("_id"), "left")
+    alone = met.where("_id IS NULL").select(*df.columns)
+    firsts = met.where("_id = _first").select(*df.columns).dropDuplicates([id])
+    return df.where(~maybe).unionByName(alone).unionByName(firsts)
