@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import fmindex, html, jaccard, pieces, pii, quality, sharding, tokens
+from tablewright.llm import chat, fmindex, html, jaccard, licenses, pieces, pii, quality, sharding, tokens
 from tablewright.llm.base import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,12 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op4_chat")
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of every conversation with its repaired role and its piece of the rendered chat."""
+    return chat.repaired(table(spark, sf_dir, "conversations"))
+
+
 @query("op5_jaccard")
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that share four fifths of their five-word shingles."""
@@ -100,6 +106,14 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), (F.col("decoded") == text).alias("same_text"))
 
 
+@query("op9_licenses")
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    found = licenses.with_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.transform("licenses", lambda m: F.concat_ws(":", m["license"], m["start"].cast("string"), m["end"].cast("string"), m["matched"].cast("string"), m["words"].cast("string")))
+    return found.select("doc_id", F.size("licenses").cast("long").alias("n_found"), F.array_join(spans, ",").alias("spans"))
+
+
 @query("op10_pii")
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base spans, and all spans with those that the trees add."""
