@@ -103,7 +103,7 @@ _order_model("rf_regress_forest", "random_forest", "regression", SMALL, _total)
 _order_model("gbt_classify_boosted", "xgboost", "classification", SMALL, _status)
 _order_model("gbt_regress_boosted", "xgboost", "regression", SMALL, _total)
 _order_model("svm_classify", "svm", "classification", {"kernel": "rbf", "n_components": 30, "max_iter": 15}, _status)
-_order_model("svm_regress", "svm", "regression", {"kernel": "linear", "epsilon": 0.1, "max_iter": 12}, _total)
+_order_model("svm_regress", "svm", "regression", {"kernel": "linear"}, _total)
 
 
 @query(
@@ -114,7 +114,7 @@ def logistic(spark, sf_dir):
     """Unpenalised on indicators of one column: every group's probability is its share."""
     o = table(spark, sf_dir, "orders").withColumn("is_f", (F.col("o_orderstatus") == "F").cast("int"))
     fitted, rows = rows_for(o, spec([feature("o_orderpriority", "categorical", "one-hot")], ("is_f", "binary"), "classification"), "o_orderkey", "o_orderpriority")
-    model = make_learner("logistic_regression", params={"penalty": None, "tol": 1e-12, "max_iter": 200}).fit(rows, fitted.feature_names)
+    model = make_learner("logistic_regression", params={"penalty": None, "tol": 1e-9, "max_iter": 200}).fit(rows, fitted.feature_names)
     return model.predict_proba(rows, "o_orderkey", "o_orderpriority").where(F.col("class") == 1).select("o_orderkey", "o_orderpriority", rnd("probability", 4).alias("probability"))
 
 
@@ -126,7 +126,7 @@ SELECT o_orderkey, class, round(probability, 4) + 0.0 AS probability FROM orders
 )
 def predict_proba(spark, sf_dir):
     fitted, rows = order_rows(spark, sf_dir, [feature("o_orderpriority", "categorical", "one-hot")])
-    model = make_learner("logistic_regression", params={"penalty": None, "tol": 1e-12, "max_iter": 200}).fit(rows, fitted.feature_names)
+    model = make_learner("logistic_regression", params={"penalty": None, "tol": 1e-9, "max_iter": 200}).fit(rows, fitted.feature_names)
     out = model.predict_proba(rows, "o_orderkey")
     return out.select("o_orderkey", F.col("class").cast("long").alias("class"), rnd("probability", 4).alias("probability"))
 

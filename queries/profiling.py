@@ -109,26 +109,31 @@ def _check_sql(rule: str, column: str, n_bad: str, ok: str | None = None) -> str
 SELECT '{rule}' AS rule, '{column}' AS "column", n_bad, {ok or "n_bad = 0"} AS ok FROM c"""
 
 
-def _checked(name: str, features: list[dict], sql: str, target=("o_totalprice", "continuous"), keep: str = "", strict: bool = True):
+def _checked(name: str, features: list[dict], sql: str, target=("o_totalprice", "continuous"), strict: bool = True):
     def run(spark, sf_dir):
-        out = check(dirty_orders(spark, sf_dir), spec(features, target), strict=strict)
-        return out.where(F.col("rule").isin(*keep.split(",")))
+        return check(dirty_orders(spark, sf_dir), spec(features, target), strict=strict)
 
     query(name, sql)(run)
 
 
-_checked("check_numeric", [feature("cust", "numeric", nullable=True)], _check_sql("numeric", "cust", "count(*) FILTER (cust IS NOT NULL AND TRY_CAST(cust AS DOUBLE) IS NULL)"), keep="numeric")
-_checked("check_datetime", [feature("placed", "datetime", nullable=True)], _check_sql("datetime", "placed", "count(*) FILTER (placed IS NOT NULL AND TRY_CAST(placed AS TIMESTAMP) IS NULL)"), keep="datetime")
+NO_BAD = "UNION ALL SELECT '{}', '{}', CAST(0 AS BIGINT), true"
+TARGET = NO_BAD.format("target", "o_totalprice")
+NOT_A_NUMBER = "count(*) FILTER (cust IS NOT NULL AND TRY_CAST(cust AS DOUBLE) IS NULL)"
+
+_checked("check_numeric", [feature("cust", "numeric", nullable=True)], f"{_check_sql('numeric', 'cust', NOT_A_NUMBER)} {TARGET}")
+_checked("check_datetime", [feature("placed", "datetime", nullable=True)], _check_sql("datetime", "placed", "count(*) FILTER (placed IS NOT NULL AND TRY_CAST(placed AS TIMESTAMP) IS NULL)") + f" {TARGET}")
 _checked("check_boolean", [feature("flag", "boolean"), feature("flag2", "boolean")],
     f"""WITH {DIRTY} SELECT 'boolean' AS rule, 'flag' AS "column", count(*) FILTER (flag IS NULL OR flag NOT IN ('True','False','1','0')) AS n_bad, n_bad = 0 AS ok FROM dirty
-UNION ALL SELECT 'boolean', 'flag2', count(*) FILTER (flag2 IS NULL OR flag2 NOT IN ('True','False','1','0')) AS n_bad, n_bad = 0 FROM dirty""", keep="boolean")
+UNION ALL SELECT 'boolean', 'flag2', count(*) FILTER (flag2 IS NULL OR flag2 NOT IN ('True','False','1','0')) AS n_bad, n_bad = 0 FROM dirty {TARGET}""")
 _checked("check_nullable", [feature("cust", "numeric", nullable=True), feature("amount", "numeric", nullable=True)],
-    f"""WITH {DIRTY} SELECT 'numeric' AS rule, 'cust' AS "column", CASE WHEN count(*) > count(cust) THEN 0 ELSE count(*) FILTER (cust IS NOT NULL AND TRY_CAST(cust AS DOUBLE) IS NULL) END AS n_bad, n_bad = 0 AS ok FROM dirty
-UNION ALL SELECT 'numeric', 'amount', 0, true""", keep="numeric", strict=False)
-_checked("check_binary_target", [feature("amount", "numeric")], _check_sql("binary_target", "o_orderstatus", "count(DISTINCT o_orderstatus)", "n_bad <= 2"), ("o_orderstatus", "binary"), keep="binary_target")
+    f"""WITH {DIRTY} SELECT 'numeric' AS rule, 'cust' AS "column", CASE WHEN count(*) > count(cust) THEN 0 ELSE {NOT_A_NUMBER} END AS n_bad, n_bad = 0 AS ok FROM dirty
+{NO_BAD.format('numeric', 'amount')} {TARGET}""", strict=False)
+_checked("check_binary_target", [feature("amount", "numeric")], _check_sql("binary_target", "o_orderstatus", "count(DISTINCT o_orderstatus)", "n_bad <= 2") + " " + NO_BAD.format("numeric", "amount"), ("o_orderstatus", "binary"))
 _checked("check_constraints", [feature("amount", "numeric", constraints={"min": 5, "max": 1000}), feature("cust", "numeric", nullable=True, constraints={"min": 0, "max": 500})],
     f"""WITH {DIRTY} SELECT 'constraint' AS rule, 'amount' AS "column", count(*) FILTER (amount < 5 OR amount > 1000) AS n_bad, n_bad = 0 AS ok FROM dirty
-UNION ALL SELECT 'constraint', 'cust', count(*) FILTER (TRY_CAST(cust AS DOUBLE) < 0 OR TRY_CAST(cust AS DOUBLE) > 500) AS n_bad, n_bad = 0 FROM dirty""", keep="constraint")
+UNION ALL SELECT 'constraint', 'cust', count(*) FILTER (TRY_CAST(cust AS DOUBLE) < 0 OR TRY_CAST(cust AS DOUBLE) > 500) AS n_bad, n_bad = 0 FROM dirty
+UNION ALL SELECT 'numeric', 'cust', {NOT_A_NUMBER} AS n_bad, n_bad = 0 FROM dirty {NO_BAD.format('numeric', 'amount')} {TARGET}""")
+_checked("check_target", [feature("amount", "numeric")], f"{_check_sql('target', 'cust', NOT_A_NUMBER)} {NO_BAD.format('numeric', 'amount')}", ("cust", "continuous"))
 
 QUARANTINE_SPEC = spec(
     [
@@ -143,13 +148,13 @@ QUARANTINE_SQL = f"""WITH {DIRTY} SELECT o_orderkey, concat_ws(',', CASE WHEN cu
   CASE WHEN placed IS NOT NULL AND TRY_CAST(placed AS TIMESTAMP) IS NULL THEN 'datetime:placed' END,
   CASE WHEN flag IS NULL OR flag NOT IN ('True','False','1','0') THEN 'boolean:flag' END,
   CASE WHEN flag2 NOT IN ('True','False','1','0') THEN 'boolean:flag2' END,
-  CASE WHEN amount < 5 THEN 'constraint:amount' END) AS broken FROM dirty WHERE broken != ''"""
+  CASE WHEN amount < 5 THEN 'constraint:amount' END) AS broken FROM dirty"""
 
 
 @query("quarantine", QUARANTINE_SQL)
 def quarantined(spark, sf_dir):
-    _, bad = quarantine(dirty_orders(spark, sf_dir), QUARANTINE_SPEC)
-    return bad.select("o_orderkey", F.concat_ws(",", "broken_rules").alias("broken"))
+    good, bad = quarantine(dirty_orders(spark, sf_dir), QUARANTINE_SPEC)
+    return bad.select("o_orderkey", F.concat_ws(",", "broken_rules").alias("broken")).unionByName(good.select("o_orderkey", F.lit("").alias("broken")))
 
 
 @query(

@@ -21,6 +21,10 @@ _REAL = (T.FloatType, T.DoubleType)
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
+#: Dates as text that are not ISO, tried in this order; the month comes first where numbers leave it open.
+TIME_FORMATS = ("M/d/yyyy", "M/d/yyyy H:m:s", "M/d/yyyy H:m", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy", "yyyy/M/d", "yyyy/M/d H:m:s", "yyyyMMdd")
+
+
 def dtype(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
@@ -55,7 +59,9 @@ def as_time(df: DataFrame, name: str) -> Column:
         return col.cast("timestamp")
     if isinstance(kind, _WHOLE):
         return F.timestamp_micros(F.floor(col.cast("long") / 1000))
-    return F.try_to_timestamp(col) if isinstance(kind, T.StringType) else F.lit(None).cast("timestamp")
+    if not isinstance(kind, T.StringType):
+        return F.lit(None).cast("timestamp")
+    return F.coalesce(F.try_to_timestamp(col), *[F.try_to_timestamp(F.trim(col), F.lit(f)) for f in TIME_FORMATS])
 
 
 def as_flag(df: DataFrame, name: str, lenient: bool = False) -> Column:
@@ -96,8 +102,17 @@ def key_text(df: DataFrame, key: str | Sequence[str] | None) -> Column:
     return F.xxhash64(*[hashable(df, c) for c in df.columns]).cast("string")
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return kind.typeName() in ("map", "variant")
+
+
 def hashable(df: DataFrame, name: str) -> Column:
-    return ref(name).cast("string") if dtype(df, name).typeName() in ("map", "variant") else ref(name)
+    """The column, or its text if a map in it, at any depth, cannot be hashed."""
+    return ref(name).cast("string") if _holds_map(dtype(df, name)) else ref(name)
 
 
 def portable_hash(key: Column, seed: int) -> Column:

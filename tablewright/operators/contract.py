@@ -32,14 +32,14 @@ def _feature_rules(df: DataFrame, f: FeatureSpec, lenient: bool) -> list[Rule]:
     rules = []
     if f.type == "numeric":
         bad = has & as_number(df, f.name).isNull()
-        rules.append(Rule("numeric", f.name, bad, TypeError, f"Column '{f.name}' should be numeric", f.nullable))
+        rules.append(Rule("numeric", f.name, bad, TypeError, f"{f.name}: values that do not read as numbers", f.nullable))
     elif f.type == "datetime":
         bad = has & as_time(df, f.name).isNull()
-        text = f"Column '{f.name}' should be convertible to datetime"
+        text = f"{f.name}: values that do not read as points in time"
         rules.append(Rule("datetime", f.name, bad, TypeError, text, f.nullable))
     elif f.type == "boolean":
         bad = as_flag(df, f.name, lenient).isNull() & (has | F.lit(not f.nullable))
-        rules.append(Rule("boolean", f.name, bad, TypeError, f"Column '{f.name}' should contain boolean values", f.nullable))
+        rules.append(Rule("boolean", f.name, bad, TypeError, f"{f.name}: values other than the accepted spellings of true and false", f.nullable))
     bounds = {k: f.constraints[k] for k in ("min", "max") if k in f.constraints}
     if bounds:
         value = as_number(df, f.name)
@@ -48,7 +48,7 @@ def _feature_rules(df: DataFrame, f: FeatureSpec, lenient: bool) -> list[Rule]:
             bad = bad | (value < bounds["min"])
         if "max" in bounds:
             bad = bad | (value > bounds["max"])
-        text = f"Column '{f.name}' has values outside {bounds}"
+        text = f"{f.name}: values beyond {bounds}"
         rules.append(Rule("constraint", f.name, F.coalesce(bad, F.lit(False)), ValueError, text, f.nullable))
     return rules
 
@@ -57,7 +57,7 @@ def row_rules(df: DataFrame, spec: TableSpec, lenient: bool = False) -> list[Rul
     rules = [rule for f in spec.features for rule in _feature_rules(df, f, lenient)]
     if spec.target_name in df.columns and spec.target_type == "continuous":
         bad = present(df, spec.target_name).isNotNull() & as_number(df, spec.target_name).isNull()
-        text = f"Target column '{spec.target_name}' should be numeric for regression"
+        text = f"{spec.target_name}: target values that do not read as numbers"
         rules.append(Rule("target", spec.target_name, bad, TypeError, text))
     return rules
 
@@ -99,7 +99,7 @@ def validate(df: DataFrame, spec: TableSpec, strict: bool = True, lenient: bool
         if row.ok:
             continue
         if row.rule == "binary_target":
-            raise ValueError(f"Target column '{row.column}' has {row.n_bad} unique values, expected 2 for binary classification")
+            raise ValueError(f"{row.column}: a binary target with {row.n_bad} classes")
         broken = messages[(row.rule, row.column)]
         raise broken.error(f"{broken.message} ({row.n_bad} rows)")
     return True

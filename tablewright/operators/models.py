@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import warnings
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
@@ -35,6 +36,37 @@ def infer_task(model_type: str) -> str:
     return "regression" if "regressor" in name or name in ("linear_regression", "svr") else "classification"
 
 
+#: Parameters by model. A name of another model is left out with a warning, so that one set can serve several models.
+PARAMETERS = {
+    "random_forest": {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "max_features", "bootstrap", "max_samples", "max_bins", "criterion"},
+    "xgboost": {"n_estimators", "learning_rate", "max_depth", "subsample", "min_child_weight", "max_bins"},
+    "logistic_regression": {"penalty", "C", "l1_ratio", "fit_intercept", "max_iter", "tol"},
+    "linear_regression": {"fit_intercept"},
+    "svm": {"C", "kernel", "gamma", "epsilon", "max_iter", "n_components"},
+}
+WITHOUT_EFFECT = {"n_jobs", "verbose", "verbosity", "random_state"}  # the cluster and the seed of the learner decide these
+KERNELS = ("rbf", "linear")
+PENALTIES = {None: 0.0, "l2": 0.0, "l1": 1.0, "elasticnet": None}  # share of the absolute penalty; None: ``l1_ratio`` gives it
+
+
+def check_params(model_type: str, params: dict[str, Any]) -> dict[str, Any]:
+    """The parameters that the model knows. Names that no model knows, and values that cannot be had, are errors."""
+    mine = PARAMETERS.get(model_type, set())
+    known = set().union(*PARAMETERS.values(), WITHOUT_EFFECT, ITERATION_KEYS)
+    if strange := sorted(set(params) - known):
+        raise ValueError(f"no model has these parameters: {', '.join(strange)}")
+    if unused := sorted(set(params) - mine - WITHOUT_EFFECT):
+        warnings.warn(f"{model_type} has no {', '.join(unused)}", stacklevel=3)
+    used = {k: v for k, v in params.items() if k in mine}
+    if used.get("max_depth") is not None and int(used["max_depth"]) > DEEPEST:
+        raise ValueError(f"trees are at most {DEEPEST} deep, max_depth is {used['max_depth']}")
+    if used.get("kernel", "rbf") not in KERNELS:
+        raise NotImplementedError(f"kernel {used['kernel']!r}; there are {', '.join(KERNELS)}")
+    if used.get("penalty", "l2") not in PENALTIES:
+        raise ValueError(f"penalty {used['penalty']!r}")
+    return used
+
+
 def usable_params(model_type: str, params: dict[str, Any] | None) -> dict[str, Any]:
     """The parameters that apply to the model; ``epochs`` of a boosted model are its trees."""
     given = dict(params or {})
@@ -51,7 +83,7 @@ def _forest_params(p: dict[str, Any], seed: int, every_feature: bool) -> dict[st
     leaf = max(int(merged.get("min_samples_leaf", 1)), int(merged.get("min_samples_split", 2)) // 2, 1)
     return {
         "numTrees": int(merged["n_estimators"]),
-        "maxDepth": DEEPEST if merged["max_depth"] is None else min(int(merged["max_depth"]), DEEPEST),
+        "maxDepth": DEEPEST if merged["max_depth"] is None else int(merged["max_depth"]),
         "featureSubsetStrategy": str(merged.get("max_features", "all" if every_feature else "sqrt")),
         "minInstancesPerNode": leaf,
         "bootstrap": bool(merged.get("bootstrap", True)),
@@ -66,7 +98,7 @@ def _boosted_params(p: dict[str, Any], seed: int) -> dict[str, Any]:
     return {
         "maxIter": int(merged["n_estimators"]),
         "stepSize": float(merged["learning_rate"]),
-        "maxDepth": min(int(merged["max_depth"]), DEEPEST),
+        "maxDepth": int(merged["max_depth"]),
         "subsamplingRate": float(merged.get("subsample", 1.0)),
         "minInstancesPerNode": max(int(merged.get("min_child_weight", 1)), 1),
         "maxBins": int(merged.get("max_bins", 32)),
@@ -88,7 +120,7 @@ class Learner:
 
     def estimator(self, rows: int = 1, classes: int = 2):
         """The Spark ML estimator (None for the support vector regressor, which has its own loop)."""
-        p = usable_params(self.model_type, self.params)
+        p = check_params(self.model_type, usable_params(self.model_type, self.params))
         if self.model_type == "random_forest":
             shared = _forest_params(p, self.seed, self.task == "regression")
             return RandomForestClassifier(impurity=p.get("criterion", "gini"), **shared) if self.task == "classification" else RandomForestRegressor(**shared)
@@ -101,7 +133,7 @@ class Learner:
         if self.model_type == "logistic_regression":
             return LogisticRegression(
                 family="auto",
-                elasticNetParam=float(p.get("l1_ratio", 0.0) or 0.0),
+                elasticNetParam=float(p.get("l1_ratio", 0.0) or 0.0) if PENALTIES[p.get("penalty", "l2")] is None else PENALTIES[p.get("penalty", "l2")],
                 regParam=0.0 if p.get("penalty", "l2") is None else 1.0 / (float(p.get("C", 1.0)) * max(rows, 1)),
                 standardization=False,
                 fitIntercept=bool(p.get("fit_intercept", True)),
@@ -128,7 +160,7 @@ class Learner:
             raise ValueError("no rows to fit on")
         front = None
         if self.model_type == "svm":
-            p = usable_params("svm", self.params)
+            p = check_params("svm", usable_params("svm", self.params))
             if p.get("kernel", "rbf") == "rbf":
                 gamma, width = scale_gamma(df)
                 given = p.get("gamma", "scale")

@@ -212,6 +212,15 @@ def _cut_ranks(keyed: DataFrame, ranks: list[int], out: str) -> DataFrame:
     return parted.withColumn(out, F.col(out) + base) if base else parted
 
 
+def class_shares(classes: DataFrame, n: int, n_test: int) -> DataFrame:
+    """``classes`` (label, n) with ``base``, the whole test rows of each class, and ``rest``, what its share has beyond them (times
+    ``n``). Whole numbers decide remainders; 38 digits hold the product of any two row counts."""
+    wide = "decimal(19,0)"
+    shared = classes.withColumn("share", F.col("n").cast(wide) * F.lit(n_test).cast(wide))
+    base = shared.withColumn("base", F.expr(f"share div CAST({n} AS {wide})").cast("long"))
+    return base.withColumn("rest", F.col("share") - F.col("base").cast(wide) * F.lit(n).cast(wide)).drop("share")
+
+
 def stratified_split(
     df: DataFrame,
     label: str,
@@ -229,10 +238,7 @@ def stratified_split(
     enough = n > 0 and facts.least >= 2 and 2 * facts.classes <= n and facts.classes <= min(n_test, n - n_test)
     if not enough:
         return random_split(df, test_size, key, seed, name)
-    share = F.col("n") * F.lit(n_test)  # whole numbers: no rounding decides a remainder
-    base = classes.withColumns({"base": F.floor(share / n).cast("long")})
-    base = base.withColumn("base", F.when(F.col("base") * n > share, F.col("base") - 1).otherwise(F.col("base")))
-    base = base.withColumn("rest", share - F.col("base") * n)
+    base = class_shares(classes, n, n_test)
     extra = n_test - base.agg(F.sum("base")).first()[0]
     more = base.orderBy(F.desc("rest"), "label").limit(extra).select(F.col("label").alias("lucky"))
     alloc = base.join(more, F.col("label").eqNullSafe(F.col("lucky")), "left")

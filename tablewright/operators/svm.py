@@ -6,6 +6,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 EPSILON = 0.1  # fixed value: width of the regressor's tube
 SMOOTHING = (0.1, 0.01, 0.001)  # the loss is quadratic over these shares of the target's deviation, in turn
 MEMORY = 10  # past steps the optimiser keeps
+NORMAL_COLUMNS = 4096  # the most columns Spark ML solves exactly
 
 
 @dataclass(frozen=True)
@@ -63,7 +66,7 @@ def fit_svr(
     """Minimises |w|^2/2 + C * sum(max(0, |y - wx - b| - epsilon)) by L-BFGS on ever less smoothed losses. Each step
     is one pass in which every task reduces its rows to one (loss, gradient) row. Inside, columns are standardised
     (the penalty stays that of the original ones); the returned coefficients are for the original columns."""
-    base = df.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))
+    base = df.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y")).persist()
     about = df.agg(
         Summarizer.metrics("mean", "variance").summary(F.col(features)).alias("x"),
         F.avg(label).alias("y"),
@@ -97,18 +100,22 @@ def fit_svr(
     w = np.append(np.zeros(width - 1), about.y)
     for share in SMOOTHING:
         mu = share * (about.s or 1.0)
-        w = _minimise(lambda at, mu=mu: objective(at, mu), w, about.s or 1.0, max(max_iter // len(SMOOTHING), 1), tol)
+        w, converged = _minimise(lambda at, mu=mu: objective(at, mu), w, about.s or 1.0, max_iter, tol)
+    base.unpersist()
+    if not converged:
+        warnings.warn(f"the support vector regressor has not converged in {max_iter} steps", stacklevel=2)
     coefficients = w[:-1] / unit
     return linear_model(df, coefficients, w[-1] - center @ coefficients)
 
 
-def _minimise(objective, w: np.ndarray, scale: float, max_iter: int, tol: float) -> np.ndarray:
-    """L-BFGS with backtracking; only the parameter vector lives on the driver. ``scale`` sizes the first step."""
+def _minimise(objective, w: np.ndarray, scale: float, max_iter: int, tol: float) -> tuple[np.ndarray, bool]:
+    """L-BFGS with backtracking, and whether it converged: the gradient is small, or no step along it lowers the value. Only
+    the parameter vector lives on the driver. ``scale`` sizes the first step."""
     value, grad = objective(w)
     steps: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(max_iter):
         if np.abs(grad).max() < tol:
-            break
+            return w, True
         direction, coefs = -grad, []
         for s, y in reversed(steps):
             a = (s @ direction) / (y @ s)
@@ -130,24 +137,34 @@ def _minimise(objective, w: np.ndarray, scale: float, max_iter: int, tol: float)
                 break
             rate *= 0.3
         if better is None:
-            break
+            return w, True
         s, y = better - w, new_grad - grad
         if s @ y > 1e-12 * (s @ s):
             steps = [*steps[-(MEMORY - 1) :], (s, y)]
-        still = value - new_value <= tol * max(abs(value), 1e-12)
+        still = value - new_value <= 1e-12 * max(abs(value), 1e-12)
         w, value, grad = better, new_value, new_grad
         if still:
-            break
-    return w
+            return w, True
+    return w, False
 
 
 def linear_model(df: DataFrame, coefficients: np.ndarray, intercept: float) -> LinearRegressionModel:
     """A Spark ML linear model with given coefficients, so that scoring and saving stay Spark's own: least squares
     through one point per coefficient plus the origin has exactly these."""
-    points = [(Vectors.dense(np.zeros(len(coefficients))), float(intercept))]
-    for j, c in enumerate(coefficients):
-        x = np.zeros(len(coefficients))
-        x[j] = 1.0
-        points.append((Vectors.dense(x), float(intercept + c)))
+    n = len(coefficients)
+    if n > NORMAL_COLUMNS:  # too many for the exact solver: the model class itself, by its coefficients
+        jvm = df.sparkSession._jvm
+        vector = jvm.org.apache.spark.ml.linalg.DenseVector(_doubles(df, coefficients))
+        return LinearRegressionModel(jvm.org.apache.spark.ml.regression.LinearRegressionModel("svr", vector, float(intercept)))
+    points = [(Vectors.sparse(n, {}), float(intercept))]
+    points += [(Vectors.sparse(n, {j: 1.0}), float(intercept + c)) for j, c in enumerate(coefficients)]
     table = df.sparkSession.createDataFrame(points, ["features", "label"])
     return LinearRegression(solver="normal", regParam=0.0, standardization=False).fit(table)
+
+
+def _doubles(df: DataFrame, values: np.ndarray):
+    gateway = df.sparkSession.sparkContext._gateway
+    out = gateway.new_array(gateway.jvm.double, len(values))
+    for i, v in enumerate(values):
+        out[i] = float(v)
+    return out

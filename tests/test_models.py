@@ -154,3 +154,48 @@ def test_importances(spark, blobs):
 def test_fit_without_rows(spark, values):
     with pytest.raises(ValueError, match="no rows"):
         make_learner("linear_regression").fit(values.limit(0))
+
+
+def test_parameters_are_used_or_refused(spark):
+    with pytest.raises(ValueError, match="n_estimatorz"):
+        make_learner("random_forest", params={"n_estimatorz": 3}).estimator()
+    with pytest.raises(ValueError, match="30"):
+        make_learner("random_forest", params={"max_depth": 50}).estimator()
+    with pytest.raises(NotImplementedError):
+        make_learner("svm", params={"kernel": "poly"}).estimator()
+    with pytest.raises(ValueError):
+        make_learner("logistic_regression", params={"penalty": "l3"}).estimator()
+    with pytest.warns(UserWarning, match="kernel"):
+        make_learner("logistic_regression", params={"kernel": "linear"}).estimator()
+    share = {p: make_learner("logistic_regression", params={"penalty": p, "l1_ratio": 0.25}).estimator().getElasticNetParam() for p in ("l1", "l2", "elasticnet")}
+    assert share == {"l1": 1.0, "l2": 0.0, "elasticnet": 0.25}
+
+
+def test_l1_drops_a_weak_column(spark):
+    rows = [(Vectors.dense([float(i % 2), float(i % 3)]), float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, ["features", "label"])
+    coefficients = make_learner("logistic_regression", params={"penalty": "l1", "C": 0.1}).fit(df).model.coefficients
+    assert coefficients[1] == 0.0 and coefficients[0] > 0
+
+
+def test_svr_reaches_the_optimum(spark):
+    """One column, against a search over slope and intercept."""
+    x, y = np.arange(24) / 8 - 1.5, np.array([((7 * i) % 11) / 3 + i / 6 for i in range(24)])
+    df = spark.createDataFrame([(Vectors.dense([a]), float(b)) for a, b in zip(x, y, strict=True)], ["features", "label"])
+    model = make_learner("svr", params={"kernel": "linear"}).fit(df).model
+
+    def loss(w, b):
+        return w * w / 2 + np.maximum(np.abs(y - w * x - b) - 0.1, 0).sum()
+
+    best = min(loss(w, b) for w in np.linspace(-3, 5, 161) for b in np.linspace(-1, 6, 141))
+    assert loss(model.coefficients[0], model.intercept) <= best * 1.002
+
+
+def test_linear_model_beyond_the_exact_solver(spark):
+    from tablewright.operators.svm import linear_model
+
+    wanted = np.sin(np.arange(5000.0))
+    got = linear_model(spark.range(1), wanted, 2.5)
+    assert np.abs(got.coefficients.toArray() - wanted).max() == 0 and got.intercept == 2.5
+    x = spark.createDataFrame([(Vectors.dense(np.ones(5000)),)], ["features"])
+    assert abs(got.transform(x).first().prediction - wanted.sum() - 2.5) < 1e-9

@@ -64,7 +64,7 @@ def test_wrong_types(spark, ages):
         validate(words, make_spec(SPEC))
     assert check(words, make_spec(SPEC)).where("rule = 'numeric'").first().n_bad == 2
     many = ages.withColumn("target", ages.age)
-    with pytest.raises(ValueError, match="5 unique values"):
+    with pytest.raises(ValueError, match="5 classes"):
         validate(many, make_spec(SPEC))
     with pytest.raises(TypeError, match="regression"):
         validate(words, make_spec([("category", "categorical")], ("age", "continuous")))
@@ -94,3 +94,21 @@ def test_quarantine(spark):
     assert good.count() == 2
     assert {tuple(r.broken_rules) for r in bad.collect()} == {("constraint:a",), ("datetime:t",)}
     assert {(r.rule, r.column): r.n_bad for r in check(df, spec).collect()}[("constraint", "a")] == 1
+
+
+def test_dates_that_are_not_iso(spark):
+    from tablewright.functions.columns import as_time
+
+    rows = ["01/15/2020", "15 Jan 2020", "January 15, 2020", "2020/01/15", "20200115", "1/15/2020 0:0", "2020-01-15", "soon", None]
+    df = spark.createDataFrame([(t,) for t in rows], "t string")
+    got = [r.x for r in df.select(as_time(df, "t").cast("date").cast("string").alias("x")).collect()]
+    assert got == ["2020-01-15"] * 7 + [None, None]
+
+
+def test_rows_with_nested_maps_have_an_identity(spark):
+    from pyspark.sql import functions as F
+
+    from tablewright.functions.columns import key_text
+
+    df = spark.range(3).select("id", F.array(F.create_map(F.lit("a"), "id")).alias("m"))
+    assert df.select(key_text(df, None)).distinct().count() == 3

@@ -99,3 +99,14 @@ def test_folds(rows):
 def test_bulk_is_not_shuffled(spark):
     plan = S.random_split(spark.range(1000), 0.2, "id")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_class_shares_of_very_large_classes(spark):
+    """Products of row counts beyond 64 bits."""
+    from tablewright.operators.split import class_shares
+
+    counts = {"a": 30_000_000_001, "b": 7_000_000_003, "c": 2}
+    n = sum(counts.values())
+    n_test = n // 5 + 1
+    got = class_shares(spark.createDataFrame(list(counts.items()), "label string, n long"), n, n_test).collect()
+    assert {r.label: (r.base, int(r.rest)) for r in got} == {k: divmod(v * n_test, n) for k, v in counts.items()}
