@@ -5,7 +5,7 @@ of the first ``n - ceil(T n) + 1`` shingles of both in any common order, so clas
 order puts very common shingles last. A block is a *signature tree*: its leaves are classes with a token bitmap and a size, its
 nodes the OR of the bitmaps below and their size range. Two nodes whose bitmaps and sizes cannot reach the needed overlap
 are dropped with everything below them; so are nodes that already lie in one group. The block's root class is tried
-first (that alone settles copies of one text), then a dual traversal of the tree finds the pairs that are left. What the bounds
+first (that alone settles copies of one text), then dual traversals of the trees find the pairs that are left, a slice of them first. What the bounds
 let through is verified on the whole sets. No link between different sets is lost, no pair inside a known group is looked at.
 """
 
@@ -27,6 +27,7 @@ BITMAP_WORDS = 16  # 1,024 bits
 LEAF, FANOUT = 64, 4
 BLOCK = 1024  # classes of one tree; larger blocks are pairs of trees
 SALTS = 32
+SLICES = 16  # one slice of the pairs that trees leave over is verified first: most groups that belong together are then joined
 #: Shingles are called common by the count in one document of SAMPLED; there are at most MOST_COMMON of them. Which ones are
 #: called common changes the order in which shingles are tried, and so the work, but never the result.
 SAMPLED, COMMON_COUNT, MOST_COMMON = 16, 12, 500_000
@@ -200,8 +201,9 @@ def _common(docs: DataFrame) -> np.ndarray:
     return np.sort(top["h"].to_numpy(np.int64).view(np.uint64))
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_key, bits, wide): rows with equal sets have equal keys; bitmaps of a tree's width and of the set's own."""
+def _sets(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """(doc_id, n_shingles, set_key, bits, prefix): rows with equal sets have equal keys; the bitmap has the set's own width, and
+    the prefix are the shingles that the set is entered under. The rest of a set is not kept."""
 
     def each(batches):
         hashes = _WordHashes()
@@ -209,31 +211,19 @@ def _sets(docs: DataFrame) -> DataFrame:
             rows = []
             for t in texts(b.column(1)):
                 s = shingles(t, hashes)
-                wide = bitmap(s)
-                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), folded(wide).tobytes(), wide.tobytes()))
+                last = np.isin(s, common, assume_unique=True) if len(common) else np.zeros(len(s), bool)
+                first = np.concatenate([s[~last], s[last]])[: prefix_size(len(s)) if len(s) else 0]
+                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), bitmap(s).tobytes(), first.tobytes()))
             n, *rest = zip(*rows, strict=True) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in rest]], ["doc_id", "n_shingles", "set_key", "bits", "wide"])
-
-    return docs.mapInArrow(each, "doc_id long, n_shingles long, set_key binary, bits binary, wide binary")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in rest]], ["doc_id", "n_shingles", "set_key", "bits", "prefix"])
 
+    return docs.mapInArrow(each, "doc_id long, n_shingles long, set_key binary, bits binary, prefix binary")
 
-def _prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(id, n_shingles, prefix) of every class: the shingles it is entered under. The rest of a set is not moved."""
-
-    def each(batches):
-        hashes = _WordHashes()
-        for b in batches:
-            rows = []
-            for t in texts(b.column(1)):
-                s = shingles(t, hashes)
-                last = np.isin(s, common, assume_unique=True) if len(common) else np.zeros(len(s), bool)
-                first = np.concatenate([s[~last], s[last]])[: prefix_size(len(s)) if len(s) else 0]
-                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), first.tobytes()))
-            n, key, first = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(first, pa.binary())], ["i", "n_shingles", "set_key", "prefix"])
 
-    rows = docs.where("i IS NOT NULL").mapInArrow(each, "i long, n_shingles long, set_key binary, prefix binary").where("n_shingles > 0")
-    return rows.groupBy("set_key").agg(F.min("i").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("prefix").alias("prefix"))
+def _classes(able: DataFrame, column: str) -> DataFrame:
+    """(id, n_shingles, column) of every class, under the smallest id of its documents."""
+    first = [F.first(c).alias(c) for c in ("n_shingles", column)]
+    return able.groupBy("set_key").agg(F.min("doc_id").alias("id"), *first).drop("set_key")
 
 
 def _entries(classes: DataFrame, common: np.ndarray) -> DataFrame:
@@ -306,21 +296,46 @@ def _similar_size(a: str, b: str):
     return 100 * F.least(a, b).cast("long") >= PERCENT * F.greatest(a, b).cast("long")
 
 
-def _bounded(pairs: DataFrame, able: DataFrame) -> DataFrame:
-    """Pairs (a, b) that the bitmaps of their own widths do not rule out; the wider of two is folded."""
-    classes = able.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("wide").alias("wide"))
-    left = classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("wide").alias("bits_a"))
-    right = classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("wide").alias("bits_b"))
+class _Bitmaps:
+    """Bitmaps of several widths; wider ones are folded to be compared with narrower ones."""
+
+    def __init__(self, column: pa.Array | pa.ChunkedArray):
+        rows = [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
+        self.width = np.array([len(x) for x in rows], np.int64)
+        self.tables: dict[int, np.ndarray] = {}
+        self.place: dict[int, np.ndarray] = {}
+        for w in np.unique(self.width).tolist():
+            at = np.flatnonzero(self.width >= w)
+            self.tables[w] = np.stack([folded(rows[k], w) for k in at.tolist()])
+            self.place[w] = np.full(len(rows), -1, np.int64)
+            self.place[w][at] = np.arange(len(at))
+
+    def may_link(self, p: np.ndarray, q: np.ndarray, sizes: np.ndarray, other: _Bitmaps | None = None, other_sizes: np.ndarray | None = None) -> np.ndarray:
+        """For pairs of rows (``q`` of ``other``, if given), whether the bound of the narrower width lets them through."""
+        o, n = other or self, sizes if other_sizes is None else other_sizes
+        width, ok = np.minimum(self.width[p], o.width[q]), np.zeros(len(p), bool)
+        for w in np.unique(width).tolist():
+            of = np.flatnonzero(width == w)
+            table = [x.tables[w] if w in x.tables else None for x in (self, o)]
+            ok[of] = may_link(sizes[p[of]], n[q[of]], table[0][self.place[w][p[of]]], table[1][o.place[w][q[of]]])
+        return ok
+
+
+def _fitting(na: pa.Array, nb: pa.Array, bits_a: pa.Array, bits_b: pa.Array) -> pa.Array:
+    if not len(na):
+        return pa.array([], pa.bool_())
+    both = _Bitmaps(pa.chunked_array([bits_a, bits_b]))
+    sizes = np.concatenate([na.to_numpy(), nb.to_numpy()])
+    at = np.arange(len(na))
+    return pa.array(both.may_link(at, at + len(na), sizes))
 
-    def fits(na: pa.Array, nb: pa.Array, bits_a: pa.Array, bits_b: pa.Array) -> pa.Array:
-        out = []
-        for m, n, x, y in zip(na.to_pylist(), nb.to_pylist(), bits_a, bits_b, strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            words = min(len(x), len(y))
-            out.append(bool(may_link(m, n, folded(x, words), folded(y, words))))
-        return pa.array(out, pa.bool_())
 
-    fit = F.arrow_udf(fits, "boolean")
+def _bounded(pairs: DataFrame, able: DataFrame) -> DataFrame:
+    """Pairs (a, b) that their bitmaps do not rule out."""
+    classes = _classes(able, "bits")
+    left = classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("bits_a"))
+    right = classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("bits").alias("bits_b"))
+    fit = F.arrow_udf(_fitting, "boolean")
     return pairs.join(left, "a").join(right, "b").where(fit("na", "nb", "bits_a", "bits_b")).select("a", "b")
 
 
@@ -356,6 +371,8 @@ def _passes(wanted: np.ndarray, i: np.ndarray) -> np.ndarray:
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose whole sets are similar enough. Texts are not moved: a filter of fixed size tells which of them to make sets of."""
     pairs = cut_lineage(pairs)
+    if pairs.isEmpty():
+        return pairs
     wanted = _id_filter(pairs)
 
     def each(batches):
@@ -384,8 +401,15 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return found.where(linked("sa", "sb")).select("a", "b").distinct()
 
 
-def _tree_pairs(members: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different known groups that dual traversals of the blocks' trees leave over."""
+def _in_slice(a: np.ndarray, b: np.ndarray, first: bool) -> np.ndarray:
+    """Whether pairs belong to the slice that is looked at first, or to the rest."""
+    h = _mix(np.maximum(a, b).view(np.uint64) * _MULTIPLIERS[0] + np.minimum(a, b).view(np.uint64))
+    return (h % np.uint64(SLICES) == 0) == first
+
+
+def _tree_pairs(members: DataFrame, able: DataFrame, known: DataFrame, first: bool) -> DataFrame:
+    """Pairs (a, b) of different known groups that dual traversals of the blocks' trees leave over, of one slice of all pairs."""
+    classes = _classes(able, "bits")
     grouped = members.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_blocks = grouped.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
     parts = open_blocks.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("parts"))
@@ -406,20 +430,21 @@ def _tree_pairs(members: DataFrame, classes: DataFrame, known: DataFrame) -> Dat
                 continue
             new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
             whole, rest = t.slice(0, new[-1]), t.slice(new[-1]).combine_chunks().to_batches()[0]
-            yield from _block_pairs(whole, new)
+            yield from _block_pairs(whole, new, first)
         if rest is not None:
-            yield from _block_pairs(pa.Table.from_batches([rest]), np.array([0, rest.num_rows]))
+            yield from _block_pairs(pa.Table.from_batches([rest]), np.array([0, rest.num_rows]), first)
 
     ordered = rows.select("key", "i", "j", "part", "id", F.col("component").alias("group"), "n_shingles", "bits").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return ordered.mapInArrow(join, "a long, b long").where("a != b").distinct()
 
 
-def _block_pairs(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Pairs of the blocks in ``t`` that begin at ``starts`` (the last of these is the end)."""
+def _block_pairs(t: pa.Table, starts: np.ndarray, first: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs, of one slice, of the blocks in ``t`` that begin at ``starts`` (the last of these is the end)."""
     if not t.num_rows:
         return
     ids, sizes, groups, part, i, j = (t.column(c).to_numpy() for c in ("id", "n_shingles", "group", "part", "i", "j"))
-    bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS)
+    own = _Bitmaps(t.column("bits"))
+    bits = own.tables[BITMAP_WORDS] if BITMAP_WORDS in own.tables else np.stack([folded(x, BITMAP_WORDS) for x in own.tables[int(own.width.min())]])
     counts = np.diff(starts)
     u, v = [], []
     for m in np.unique(counts).tolist():
@@ -430,8 +455,6 @@ def _block_pairs(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
                 some = of[at : at + max(1, 200_000 // max(1, len(x)))]
                 p, q = (some[:, None] + x).ravel(), (some[:, None] + y).ravel()
                 ok = (groups[p] != groups[q]) & ((i[p] == j[p]) | (part[p] != part[q])) & (100 * np.minimum(sizes[p], sizes[q]) >= PERCENT * np.maximum(sizes[p], sizes[q]))
-                p, q = p[ok], q[ok]
-                ok = may_link(sizes[p], sizes[q], bits[p], bits[q])
                 u.append(p[ok])
                 v.append(q[ok])
             continue
@@ -445,7 +468,11 @@ def _block_pairs(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
                     u.append(left[x])
                     v.append(right[y])
     if u:
-        p, q = ids[np.concatenate(u)], ids[np.concatenate(v)]
+        p, q = np.concatenate(u), np.concatenate(v)
+        of = _in_slice(ids[p], ids[q], first)
+        p, q = p[of], q[of]
+        of = own.may_link(p, q, sizes)
+        p, q = ids[p[of]], ids[q[of]]
         pairs = np.unique(np.stack([np.maximum(p, q), np.minimum(p, q)], axis=1), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
@@ -458,24 +485,22 @@ def join_groups(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     """
     docs = df.select(F.col(id).cast("long").alias("i"), F.col(text).alias("t"))
     common = _common(docs)
-    sets = stored(_sets(docs), "shingle-sets")
+    sets = stored(_sets(docs, common), "shingle-sets")
     able = sets.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = able.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"))
 
-    rooted = stored(_rooted(_entries(_prefixes(docs, common), common)), "blocks")
+    rooted = stored(_rooted(_entries(_classes(able, "prefix"), common)), "blocks")
     hot = rooted.where("salt > 0 AND id = root")
     tops = hot.groupBy("key").agg(F.min(F.struct("root", "root_n")).alias("top"))
     roots = hot.join(tops, "key").select("id", "n", F.col("top.root").alias("root"), F.col("top.root_n").alias("root_n"))
     tries = rooted.select("id", "n", "root", "root_n").unionByName(roots).where(_similar_size("n", "root_n") & (F.col("id") != F.col("root")))
     pairs = tries.select(F.greatest("id", "root").alias("a"), F.least("id", "root").alias("b")).distinct()
-    links = cut_lineage(_verified(_bounded(pairs, able), docs))
-    known = components(links)
+    known = components(_verified(_bounded(pairs, able), docs))
 
     wide = rooted.where("id != root").groupBy("key").agg(F.count("*").alias("m"), F.max("salt").alias("s")).where("m > 1 OR s > 0").select("key")
     in_wide = rooted.join(wide, "key")
-    members = in_wide.select("key", "id").unionByName(in_wide.select("key", F.col("root").alias("id"))).distinct()
-    more = cut_lineage(_verified(_bounded(_tree_pairs(members, classes, known), able), docs))
-    if not more.isEmpty():
+    members = stored(in_wide.select("key", "id").unionByName(in_wide.select("key", F.col("root").alias("id"))).distinct(), "members")
+    for first in (True, False):
+        more = _verified(_tree_pairs(members, able, known, first), docs)
         known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     named = able.groupBy("set_key").agg(F.min("doc_id").alias("node"))

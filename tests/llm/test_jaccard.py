@@ -70,7 +70,7 @@ def test_families(spark, monkeypatch, common):
     """Chains of copies, texts of little but a shared passage, many sizes; with and without common shingles."""
     monkeypatch.setattr(jaccard, "COMMON_COUNT", common)
     monkeypatch.setattr(jaccard, "SAMPLED", 2)
-    monkeypatch.setattr(jaccard, "BLOCK", 40)
+    monkeypatch.setattr(jaccard, "BLOCK", 90)
     draw = random.Random(5)
     passage = [f"p{k}" for k in range(60)]
     texts = []
