@@ -27,7 +27,7 @@ from tablewright.sources.files import sample_rows, spread
 SAMPLE_ROWS, BACKGROUND_ROWS = 100, 50  # fixed values
 EXACT_FEATURES = 11  # up to here every coalition is scored
 PERMUTATIONS = 32  # drawn beyond that
-MAX_LEAVES = 2_000_000  # what may be broadcast: about 0.5 GB of leaf paths
+MAX_LEAVES = 500_000  # of the trees that one pass adds up, some 100 MB in every task; more trees take more passes
 
 
 @dataclass
@@ -97,16 +97,23 @@ class Leaf:
     value: np.ndarray  # per class
 
 
-def _stored_nodes(trained: Trained, spark) -> tuple[list[pd.DataFrame], list[float], bool]:
-    """The trees' nodes from Spark ML's own saved form, with each tree's weight."""
+def _stored_nodes(trained: Trained, spark) -> tuple[DataFrame, list[list[int]], list[float], bool]:
+    """The trees' nodes from Spark ML's own saved form, the trees in groups of at most MAX_LEAVES leaves (or one tree), each
+    tree's weight, and whether they are boosted."""
     path = new_path(spark, "trees")
     trained.model.write().overwrite().save(path)
-    rows = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").toPandas()
-    rows = rows.sort_values(["treeID", "id"])
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    counts = sorted((r.treeID, r.n) for r in nodes.groupBy("treeID").agg(F.count_if(F.col("leftChild") < 0).alias("n")).collect())
     boosted = hasattr(trained.model, "treeWeights") and trained.learner.model_type == "xgboost"
-    trees = [g for _, g in rows.groupby("treeID")]
-    weights = list(trained.model.treeWeights) if boosted else [1.0 / len(trees)] * len(trees)
-    return trees, weights, boosted
+    weights = list(trained.model.treeWeights) if boosted else [1.0 / len(counts)] * len(counts)
+    groups, held = [[]], 0
+    for tree, n in counts:
+        if groups[-1] and held + n > MAX_LEAVES:
+            groups.append([])
+            held = 0
+        groups[-1].append(tree)
+        held += n
+    return nodes, groups, weights, boosted
 
 
 def _leaves(nodes: pd.DataFrame, weight: float, of_classes: bool) -> list[Leaf]:
@@ -176,35 +183,48 @@ def explain_trees(trained: Trained, df: DataFrame, keep: Sequence[str]) -> Expla
     """Path-dependent Shapley values of forests and boosted trees (Lundberg et al., 2020). The trees, which a
     Spark ML model already holds on the driver, go to the tasks; rows stay where they are."""
     spark = df.sparkSession
-    trees, weights, boosted = _stored_nodes(trained, spark)
+    nodes, groups, weights, boosted = _stored_nodes(trained, spark)
     of_classes = trained.learner.task == "classification" and not boosted
     # Spark's boosted margin is half the log-odds.
     factor = 2.0 if boosted and trained.learner.task == "classification" else 1.0
-    leaves = [leaf for nodes, w in zip(trees, weights, strict=True) for leaf in _leaves(nodes, w * factor, of_classes)]
-    if len(leaves) > MAX_LEAVES:
-        raise ValueError(f"{len(leaves)} leaves are too many to send to every task; train fewer or shallower trees")
-    classes = len(leaves[0].value)
-    base = sum(leaf.value * leaf.share.prod() for leaf in leaves)
-    shared = spark.sparkContext.broadcast(leaves)
+    rows = spread(df.select(*keep, vector_to_array("features").alias("__x"), F.array().cast("array<double>").alias("__phi")))
+    base = 0.0
+    for group in groups:
+        found = nodes.where(F.col("treeID").isin(group)).toPandas().sort_values(["treeID", "id"])
+        leaves = [leaf for tree, part in found.groupby("treeID") for leaf in _leaves(part, weights[int(tree)] * factor, of_classes)]
+        base = base + sum(leaf.value * leaf.share.prod() for leaf in leaves)
+        classes = len(leaves[0].value)
+        rows = rows.mapInArrow(_adder(spark.sparkContext.broadcast(leaves), classes), rows.schema)
+        if group is not groups[-1]:  # the next pass starts from stored sums, so a task holds one group of trees
+            path = new_path(spark, "shares")
+            rows.write.parquet(path)
+            rows = spark.read.schema(rows.schema).parquet(path)
     first = 1 if classes == 1 and trained.learner.task == "classification" else 0
+    width = F.size("__x")
+    parts = F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda c: F.slice("__phi", c * width + 1, width))
+    out = rows.select(*keep, F.posexplode(parts).alias("class", "phi")).withColumn("class", F.col("class") + first)
+    return Explanation(_long(out, keep, _names(trained, trained.n_features)), [float(b) for b in base])
 
-    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _adder(shared, classes: int):
+    """Adds the shares of the broadcast leaves to ``__phi``: classes after one another, each with all features."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
             x = batch.column("__x").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-            phi = _tree_shares(x, shared.value, classes)
-            ends = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
-            for c in range(classes):
-                lists = pa.ListArray.from_arrays(ends, np.ascontiguousarray(phi[:, c, :]).ravel())
-                columns = [*(batch.column(k) for k in keep), pa.array(np.full(n, c + first, np.int32)), lists]
-                yield pa.RecordBatch.from_arrays(columns, [*keep, "class", "phi"])
+            phi = _tree_shares(x, shared.value, classes).reshape(n, -1)
+            before = batch.column("__phi").flatten().to_numpy(zero_copy_only=False)
+            if before.size:
+                phi = phi + before.reshape(n, -1)
+            ends = np.arange(0, phi.size + 1, phi.shape[1], dtype=np.int32)
+            column = pa.ListArray.from_arrays(ends, np.ascontiguousarray(phi).ravel())
+            at = batch.schema.get_field_index("__phi")
+            yield pa.RecordBatch.from_arrays([column if i == at else c for i, c in enumerate(batch.columns)], batch.schema.names)
 
-    fields = [df.schema[k] for k in keep] + [T.StructField("class", T.IntegerType()), T.StructField("phi", T.ArrayType(T.DoubleType()))]
-    given = spread(df.select(*keep, vector_to_array("features").alias("__x")))
-    rows = given.mapInArrow(shares, T.StructType(fields))
-    return Explanation(_long(rows, keep, _names(trained, trained.n_features)), [float(b) for b in base])
+    return add
 
 
 # ----------------------------------------------------------------------------------- any other model
@@ -233,8 +253,9 @@ def explain_by_scoring(
     share = [{"mask": list(map(bool, m)), "e": [float(v) / len(picked) for v in e]} for m, e in plan]
     masks = _constant(share, "array<struct<mask: array<boolean>, e: array<double>>>")
     others = _constant(picked, "array<array<double>>")
-    mixed = (
-        df.select(*keep, vector_to_array("features").alias("__x"))
+    given = df.select(*keep, vector_to_array("features").alias("__x"))
+    mixed = (  # a sample comes in one partition; its mixtures are many
+        given.repartition(df.sparkSession.sparkContext.defaultParallelism, *keep)
         .select("*", F.inline(masks))
         .select("*", F.explode(others).alias("__b"))
         .withColumn("features", array_to_vector(F.transform("mask", lambda m, i: F.when(m, F.get("__x", i)).otherwise(F.get("__b", i)))))

@@ -39,8 +39,9 @@ def test_trees_match_the_definition(spark, data):
     df, x, y = data
     model = make_learner("xgboost", "regression", {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.5}).fit(df)
     got = shares(explain_trees(model, df, ["id"]))
-    trees, weights, _ = _stored_nodes(model, spark)
-    leaves = [leaf for n, w in zip(trees, weights, strict=True) for leaf in _leaves(n, w, False)]
+    nodes, groups, weights, _ = _stored_nodes(model, spark)
+    assert groups == [[0, 1, 2]]
+    leaves = [leaf for tree, n in nodes.toPandas().sort_values(["treeID", "id"]).groupby("treeID") for leaf in _leaves(n, weights[tree], False)]
 
     def expected(row, known):
         total = 0.0
@@ -131,3 +132,15 @@ def test_choice_of_method(data):
     for model, task, params in (("linear_regression", None, {}), ("random_forest", "regression", {"n_estimators": 2, "max_depth": 2}), ("svm", "regression", {"n_components": 10, "max_iter": 3})):
         trained = make_learner(model, task, params).fit(df)
         assert explain(trained, one, df, ["id"]).values.count() == 12
+
+
+def test_groups_of_trees_add_up(spark, data, monkeypatch):
+    """More leaves than one pass takes give the same values in several."""
+    df, x, _ = data
+    model = make_learner("random_forest", "classification", {"n_estimators": 5, "max_depth": 3}).fit(df.withColumn("label", (F.col("label") > 0).cast("double")))
+    once = explain_trees(model, df, ["id"])
+    monkeypatch.setattr("tablewright.operators.explain.MAX_LEAVES", 9)
+    several = explain_trees(model, df, ["id"])
+    for c in (0, 1):
+        assert np.allclose(shares(once, c), shares(several, c), atol=1e-12)
+    assert np.allclose(once.base, several.base)
