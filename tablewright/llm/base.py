@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
+import gc
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.functions.storage import cut_lineage, new_path
 
-__all__ = ["WORDS", "cut_lineage", "new_path", "stored", "struct_array", "texts"]
+__all__ = ["WORDS", "cut_lineage", "new_path", "stored", "struct_array", "texts", "worker_cache"]
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+_held: dict = {}
+
+
+def worker_cache(key, make: Callable):
+    """What this Python worker keeps from one task to the next under ``key``. A worker serves tasks of all operators, so it keeps
+    only what the operator it last ran made: memory is that of one cache, not the sum of all."""
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        _held[key] = make()
+    return _held[key]
+
+
 def texts(column: pa.Array) -> Iterable[str | None]:
     """One text at a time, so that a batch of long texts is not held twice."""
     return (x.as_py() for x in column)

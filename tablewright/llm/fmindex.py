@@ -8,14 +8,12 @@ ranks a step; rows found walk back to a sampled position. Occurrences that overl
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.base import stored, texts
+from tablewright.llm.base import stored, texts, worker_cache
 
 WINDOW = 10
 SHARD_WORDS = 400_000
@@ -216,9 +214,8 @@ def merged(a: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-@lru_cache(maxsize=1)
 def _prepared(items: tuple[tuple[str, str | None], ...]) -> Phrases:
-    return Phrases(list(items))
+    return worker_cache(("phrases", hash(items)), lambda: Phrases(list(items)))
 
 
 def _scanner(items: tuple[tuple[str, str | None], ...]):

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.base import cut_lineage, stored, texts
+from tablewright.llm.base import cut_lineage, stored, texts, worker_cache
 
 SHINGLE = 5
 PERCENT = 80  # 100 * intersection >= PERCENT * union
@@ -31,7 +31,7 @@ SLICES = 16  # one slice of the pairs that trees leave over is verified first: m
 #: Shingles are called common by the count in one document of SAMPLED; there are at most MOST_COMMON of them. Which ones are
 #: called common changes the order in which shingles are tried, and so the work, but never the result.
 SAMPLED, COMMON_COUNT, MOST_COMMON = 16, 12, 500_000
-_CACHED = 1_000_000
+_CACHED = 300_000  # hashes of words that a Python worker keeps
 FILTER_WORDS = 1 << 18  # of 64 bits; what passes this filter of ids is looked at exactly afterwards
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
@@ -190,7 +190,7 @@ def _common(docs: DataFrame) -> np.ndarray:
     """Hashes of very common shingles, sorted; at most MOST_COMMON."""
 
     def each(batches):
-        hashes = _WordHashes()
+        hashes = worker_cache("shingles", _WordHashes)
         for b in batches:
             for t in texts(b.column(0)):
                 yield pa.RecordBatch.from_arrays([pa.array(shingles(t, hashes).view(np.int64))], ["h"])
@@ -206,7 +206,7 @@ def _sets(docs: DataFrame, common: np.ndarray) -> DataFrame:
     the prefix are the shingles that the set is entered under. The rest of a set is not kept."""
 
     def each(batches):
-        hashes = _WordHashes()
+        hashes = worker_cache("shingles", _WordHashes)
         for b in batches:
             rows = []
             for t in texts(b.column(1)):
@@ -376,7 +376,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     wanted = _id_filter(pairs)
 
     def each(batches):
-        hashes = _WordHashes()
+        hashes = worker_cache("shingles", _WordHashes)
         for b in batches:
             i = b.column(0).to_numpy(zero_copy_only=False)
             at = np.flatnonzero(_passes(wanted, i))

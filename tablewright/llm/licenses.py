@@ -10,14 +10,13 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.base import texts
+from tablewright.llm.base import texts, worker_cache
 
 GRAM, WINDOW = 4, 4
 BAND = 24  # words that a match may have more or less than its template, to either side of its diagonal
@@ -180,9 +179,8 @@ class TemplateIndex:
         return sorted(out, key=lambda m: m.start)
 
 
-@lru_cache(maxsize=4)
 def _index(templates: tuple[tuple[str, tuple[str, ...]], ...]) -> TemplateIndex:
-    return TemplateIndex(dict(templates))
+    return worker_cache(("licenses", hash(templates)), lambda: TemplateIndex(dict(templates)))
 
 
 KIND = "array<struct<license:string,start:long,end:long,matched:long,words:long>>"

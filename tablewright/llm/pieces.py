@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.base import texts
+from tablewright.llm.base import texts, worker_cache
 
 SPACE = "▁"
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000
 CELLS = 4_000_000  # substrings looked at together
 TOGETHER = 256  # texts encoded at a time
 LONG_WORD = 512  # characters from which a word of a merge model is merged by itself
@@ -263,15 +263,14 @@ class PieceModel:
         return data.removeprefix(b" ").decode("utf-8", "replace")
 
 
-_models: dict[tuple[str, bool], PieceModel] = {}
-
-
 def piece_model(path: str, merges: bool = True) -> PieceModel:
     """The model of this Python worker; it serves one task after another."""
-    if (path, merges) not in _models:
+
+    def make() -> PieceModel:
         with np.errstate(over="ignore"):
-            _models[path, merges] = PieceModel(path, merges)
-    return _models[path, merges]
+            return PieceModel(path, merges)
+
+    return worker_cache(("pieces", path, merges), make)
 
 
 def _grouped(column: pa.Array, of: Callable[[list], list]) -> list:

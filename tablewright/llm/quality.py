@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.base import WORDS, struct_array, texts
+from tablewright.llm.base import WORDS, struct_array, texts, worker_cache
 
 SYMBOLS = "#*$%&|<>"
 BULLETS = ("-", "*", "•", "‣", "–")
@@ -87,6 +87,7 @@ def measure(text: str | None) -> tuple[int, ...]:
 
 
 def _measured(column: pa.Array) -> pa.Array:
+    worker_cache("quality", dict)  # nothing is kept, and nothing of other operators
     return struct_array([measure(t) for t in texts(column)], _KIND)
 
 

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.base import new_path
+from tablewright.llm.base import new_path, worker_cache
 
 END_ID = 1
 MAGIC = b"TWTK\x01"
@@ -108,17 +108,16 @@ class WordCache:
         return [b"".join(x) for x in held]
 
 
-_caches: dict[str, WordCache] = {}
-
-
 def tokenizer_cache(path: str) -> WordCache:
     """The cache of this Python worker; it serves one task after another."""
-    if path not in _caches:
+
+    def make() -> WordCache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given this task one core
         from tokenizers import Tokenizer
 
-        _caches[path] = WordCache(Tokenizer.from_file(path))
-    return _caches[path]
+        return WordCache(Tokenizer.from_file(path))
+
+    return worker_cache(("tokens", path), make)
 
 
 def dictionary_hash(dictionary: bytes) -> bytes:
