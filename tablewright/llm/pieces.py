@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from tablewright.llm.base import texts, worker_cache
 
 SPACE = "▁"
-CACHED_WORDS = 400_000
-CELLS = 4_000_000  # substrings looked at together
-TOGETHER = 256  # texts encoded at a time
+CACHED_WORDS = 300_000
+CELLS = 500_000  # substrings looked at together
+TOGETHER = 1_500_000  # characters encoded at a time
 LONG_WORD = 512  # characters from which a word of a merge model is merged by itself
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LENGTH = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -61,6 +61,7 @@ class PieceModel:
         self.surface = [b"" if model.is_control(i) else bytes([int(model.id_to_piece(i)[1:-1], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace(SPACE, " ").encode() for i in range(n)]
         self.surface[self.unknown] = " ⁇ ".encode()
         self.known: dict[str, bytes] = {}
+        self.inside = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}  # two characters that no piece holds side by side are a cut
         self.id_at = np.append(self.ids, -1).astype(np.int32)
         self.merges = merges
         self.score_of = dict(zip(pieces, scores.tolist(), strict=True))
@@ -253,7 +254,9 @@ class PieceModel:
         if new:
             if len(known) + len(new) > CACHED_WORDS:
                 known.clear()
-            self._learn(list(new))
+            cut = {w: (w[:-1], w[-1]) for w in new if len(w) > 1 and w[-1] in ".,;:!?" and w[-2:] not in self.inside and w[-2] != " "}
+            self._learn(list({p for w in new for p in cut.get(w, (w,)) if p not in known}))
+            known.update((w, known[a] + known[b]) for w, (a, b) in cut.items())
             held = [[known[w] if ids is None else ids for w, ids in zip(words, found, strict=True)] if None in found else found for words, found in zip(split, held, strict=True)]
         return [b"".join(x) for x in held]
 
@@ -274,7 +277,14 @@ def piece_model(path: str, merges: bool = True) -> PieceModel:
 
 
 def _grouped(column: pa.Array, of: Callable[[list], list]) -> list:
-    return [x for k in range(0, len(column), TOGETHER) for x in of(list(texts(column.slice(k, TOGETHER))))]
+    out, held, size = [], [], 0
+    for t in texts(column):
+        held.append(t)
+        size += len(t or "")
+        if size >= TOGETHER:
+            out += of(held)
+            held, size = [], 0
+    return out + of(held)
 
 
 def with_ids(df: DataFrame, model: str, text: str = "text", name: str = "ids", merges: bool = True) -> DataFrame:
