@@ -496,7 +496,8 @@ def join_groups(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     pairs = tries.select(F.greatest("id", "root").alias("a"), F.least("id", "root").alias("b")).distinct()
     known = components(_verified(_bounded(pairs, able), docs))
 
-    wide = rooted.where("id != root").groupBy("key").agg(F.count("*").alias("m"), F.max("salt").alias("s")).where("m > 1 OR s > 0").select("key")
+    # blocks of three classes or more: of two, the tries hold the only pair. An unsalted block's root has no row of its own.
+    wide = rooted.groupBy("key").agg(F.count("*").alias("m"), F.max("salt").alias("s")).where("m > IF(s > 0, 2, 1)").select("key")
     in_wide = rooted.join(wide, "key")
     members = stored(in_wide.select("key", "id").unionByName(in_wide.select("key", F.col("root").alias("id"))).distinct(), "members")
     for first in (True, False):

@@ -83,6 +83,18 @@ def test_families(spark, monkeypatch, common):
     check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5))
 
 
+def test_common_block_of_few_classes(spark):
+    """Many exact copies make all shingles common; the truncations' classes lie in salts of their own and link with each other only."""
+    rows, cut = [], (104, 89, 75, 63)  # words; each shares four fifths of its shingles with the next alone
+    for f in range(3):
+        words = [f"f{f}w{k}" for k in range(cut[0])]
+        rows += [(1000 * f + k, " ".join(words)) for k in range(300)]
+        rows += [(1000 * f + 300 + k, " ".join(words[:n])) for k, n in enumerate(cut[1 : 2 + f])]
+    salts = [[1 + (i * 2654435761 >> 7) % jaccard.SALTS for i, t in rows if i % 1000 in (0, 300, 301, 302) and i // 1000 == f] for f in range(3)]
+    assert all(len(set(s)) == len(s) for s in salts)
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+
+
 def test_traversal_finds_every_pair():
     draw = np.random.default_rng(2)
     sets = [np.unique(draw.integers(0, 2**63, n).astype(np.uint64)) for n in draw.integers(20, 400, 150)]
