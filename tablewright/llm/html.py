@@ -3,7 +3,8 @@
 A page becomes a tree of elements (tags are closed the way browsers close them). Every element gets a density:
 its characters per tag, lowered the more of them are link text. The density sum of an element is the sum over its
 children. The lowest density on the path from the element of the largest sum up to the body is the threshold; below
-the body, subtrees that reach it are content, each represented by the element of the largest sum inside. Furniture
+the body, subtrees that reach it are content, whole but for link lists beside that element; headings and paragraphs beside content stay.
+An article or main element that the page declares around that element goes before the threshold. Furniture
 (menus, footers, adverts, forms ...) is known by element, role or name and is out before anything is counted.
 """
 
@@ -43,6 +44,7 @@ CLOSES = {  # a start tag of the key ends open elements of the names up to the n
 P_STOPS = frozenset("article aside blockquote body button caption center dd details dialog div dt fieldset figcaption figure footer form header html li main nav object section table td th ul ol dl".split())
 P_CLOSERS = BLOCKS - {"body", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "optgroup", "legend"}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+BESIDE = HEADINGS | frozenset("p pre blockquote ul ol dl table figure hgroup header".split())
 
 # What is furniture by element, by role and by a word of its class or id.
 FURNITURE = frozenset(
@@ -269,44 +271,64 @@ def best(root: Node) -> Node:
 
 
 def select(body: Node) -> list[Node]:
-    """Content subtrees in page order."""
+    """Content subtrees in page order. What is not content is taken out of the elements that hold some."""
     if not body.sums[0]:
         return []
     top = best(body)
     declared = _declared(top, body)
     if declared:
-        return [declared]
-    if top.density_sum <= 0:  # nothing but links or bare text: no subtree stands out
+        return declared
+    if top.density_sum <= 0 or top is body:  # nothing but links or bare text: no subtree stands out; or the body itself does
         return [body]
-    x, threshold = top, top.density if top.density > 0 else math.inf
+    x, threshold, wrappers = top, top.density if top.density > 0 else math.inf, set()
     while x is not body:
         x = x.parent
         threshold = min(threshold, x.density)
-    chosen: list[Node] = []
-    stack = [body]
+        wrappers.add(id(x))
+    whole, stack = [top], [body]
     while stack:
         x = stack.pop()
-        if x.density >= threshold - 1e-9 and x.density > 0:
-            inner = top if x is body else best(x)
-            inner = inner if inner.density_sum > 0 else x
-            chosen.append(inner)
-            if x is body:
-                stack.extend(c for c in x.children if type(c) is not str)
-        else:
-            stack.extend(c for c in x.children if type(c) is not str)
-    picked = {id(c) for c in chosen}
-    out, stack = [], [body]
-    while stack:  # page order, nested ones once
+        for c in x.children:
+            if type(c) is str or c is top:
+                continue
+            if id(c) not in wrappers and c.density >= threshold - 1e-9 and c.density > 0:
+                whole.append(c)
+            else:
+                stack.append(c)
+    # wrappers below the body reach the threshold as well: all of them stays but link lists
+    _thin(body, whole, lambda x, c: not _links_only(c) if id(x) in wrappers and x is not body else _beside(c))
+    return [body]
+
+
+def _links_only(c: Node) -> bool:
+    chars, _, link_chars, link_tags = c.sums
+    return link_tags > 1 and link_chars == chars
+
+
+def _beside(c: Node) -> bool:
+    """Headings, paragraphs and other text that stay beside content: less than half of it in links."""
+    chars, _, link_chars, _ = c.sums
+    return (c.name in BESIDE or c.name not in BLOCKS) and 2 * link_chars < chars
+
+
+def _thin(body: Node, whole: list[Node], stays) -> None:
+    """Takes out of the elements that hold content, from ``body`` down, the children that neither are nor hold content nor stay beside it."""
+    content = {id(x) for x in whole}
+    holders = set()
+    for x in whole:
+        while x is not body and id(x.parent) not in holders:
+            x = x.parent
+            holders.add(id(x))
+    stack = [body]
+    while stack:
         x = stack.pop()
-        if id(x) in picked:
-            out.append(x)
-        else:
-            stack.extend(c for c in reversed(x.children) if type(c) is not str)
-    return out
+        x.children = [c for c in x.children if type(c) is str or id(c) in content or id(c) in holders or stays(x, c)]
+        stack.extend(c for c in x.children if type(c) is not str and id(c) in holders and id(c) not in content)
 
 
-def _declared(x: Node, body: Node) -> Node | None:
-    """The article that an element lies in, if the page declares one: its outermost article, else its main element."""
+def _declared(x: Node, body: Node) -> list[Node]:
+    """What the page declares to be the article around an element: its main element, of which articles and the text beside them stay if
+    it holds any, else the page's outermost articles. Empty without either."""
     found, main = None, None
     y: Node | None = x
     while y is not None and y is not body.parent:
@@ -315,7 +337,33 @@ def _declared(x: Node, body: Node) -> Node | None:
         elif y.name == "main":
             main = y
         y = y.parent
-    return found or main
+    if found is None and main is not None:
+        return [main]
+    if found is None:  # an element around articles, if they are most of its text
+        inner = _articles(x)
+        if 2 * sum(c.sums[0] - c.sums[2] for c in inner) <= x.sums[0] - x.sums[2]:
+            return []
+        found = max(inner, key=lambda c: c.sums[0] - c.sums[2])
+    z = found.parent
+    while z is not main and z is not body.parent and z is not None:
+        z = z.parent
+    if main is None or z is not main:  # no main element, or one within the article; teasers that are links are other pages
+        return [c for c in _articles(body) if c is found or 2 * c.sums[2] < c.sums[0]]
+    whole = _articles(main)
+    _thin(main, whole, lambda x, c: _beside(c))
+    return [main]
+
+
+def _articles(top: Node) -> list[Node]:
+    """The outermost articles below an element, in page order."""
+    out, stack = [], [c for c in reversed(top.children) if type(c) is not str]
+    while stack:
+        c = stack.pop()
+        if c.name == "article":
+            out.append(c)
+        else:
+            stack.extend(d for d in reversed(c.children) if type(d) is not str)
+    return out
 
 
 def blocks(nodes: list[Node]) -> list[str]:

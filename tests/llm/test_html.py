@@ -25,6 +25,27 @@ def test_density_picks_the_article():
     assert main_text(page) == "\n".join([ARTICLE.strip()] * 2 + ["end", ARTICLE.strip()])
 
 
+@pytest.mark.parametrize("wrap", ["<div id=c>{}</div>", "<div><div id=c>{}</div></div>", "{}", "<main>{}</main>", "<main><section>{}</section></main>"])
+@pytest.mark.parametrize("tag", ["div", "section", "article"])
+def test_every_section(wrap, tag):
+    """An article of two sections, with headings, a short paragraph and a link list beside them."""
+    one, two = (f"<{tag}>" + "".join(f"<p>{s}{k} {ARTICLE}</p>" for k in range(n)) + f"</{tag}>" for s, n in (("one", 5), ("two", 4)))
+    links = "<div>" + "".join(f"<a href={k}>link {k}</a> " for k in range(9)) + "</div>"
+    lines = [f"{s}{k} {ARTICLE}".strip() for s, n in (("one", 5), ("two", 4)) for k in range(n)]
+    alone = tag == "article" and "main" not in wrap  # declared articles, nothing beside them
+    text = main_text("<body>" + links + wrap.format(f"<h1>Title</h1>{one}<h2>More</h2>{two}<p>The end.</p>"))
+    if wrap == "<main>{}</main>" or wrap == "<main><section>{}</section></main>" or not alone:
+        assert text.split("\n") == ["Title", *lines[:5], "More", *lines[5:], "The end."]
+    else:
+        assert text.split("\n") == lines
+
+
+def test_articles_in_sections():
+    one = f"<section><article><p>one {ARTICLE}</p></article></section>"
+    page = f"<body>{one}<section><article><h2>Two</h2><p>short</p></article></section><article><a href=1>a teaser</a></article>"
+    assert main_text(page) == f"one {ARTICLE}".strip() + "\nTwo\nshort"
+
+
 def test_deep_and_long():
     assert main_text("<div>" * 5000 + "deep") == "deep"
     assert len(main_text("<p>" + "word " * 200_000)) == 999_999
