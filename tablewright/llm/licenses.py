@@ -123,8 +123,8 @@ class TemplateIndex:
             known &= ids[k : k + n] > 0
         return np.where(known, out, 0)
 
-    def candidates(self, ids: np.ndarray) -> list[tuple[int, int, int]]:
-        """(template, lowest and highest diagonal) of hits that lie together; a diagonal is the text's place less the template's."""
+    def candidates(self, ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """(template, rows of place in the text and diagonal) of hits that lie together; a diagonal is the text's place less the template's."""
         grams = self.grams(ids)
         low, high = np.searchsorted(self.keys, grams, "left"), np.searchsorted(self.keys, grams, "right")
         n = np.where(grams > 0, high - low, 0)
@@ -135,22 +135,22 @@ class TemplateIndex:
         entry = np.repeat(low[at], n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
         template, diagonal = self.template[entry], np.repeat(at, n) - self.place[entry]
         order = np.lexsort((diagonal, template))
-        template, diagonal = template[order], diagonal[order]
+        template, diagonal, place = template[order], diagonal[order], np.repeat(at, n)[order]
         new = np.concatenate([[True], (template[1:] != template[:-1]) | (diagonal[1:] - diagonal[:-1] > BAND)])
         starts = np.flatnonzero(new)
         ends = np.append(starts[1:], len(new)) - 1
-        return [(int(template[s]), int(diagonal[s]), int(diagonal[e])) for s, e in zip(starts, ends, strict=True)]
+        return [(int(template[s]), np.stack([place[s : e + 1], diagonal[s : e + 1]], axis=1)) for s, e in zip(starts, ends, strict=True)]
 
-    def align(self, ids: np.ndarray, template: int, low: int, high: int) -> Match | None:
-        """The longest common subsequence of template and text on diagonals from ``low - BAND`` to ``high + BAND``."""
+    def align(self, ids: np.ndarray, template: int, low: int, high: int, begin: int = 0, band: int = BAND) -> Match | None:
+        """The longest common subsequence of template and text from ``begin`` on diagonals from ``low - band`` to ``high + band``."""
         t = self.words[template]
-        first = low - BAND
-        width = high - low + 2 * BAND + 1
+        first = low - band
+        width = high - low + 2 * band + 1
         best = np.zeros((len(t) + 1, width + 1), np.int32)  # a spare column at the end
         columns = np.arange(width)
         for i, w in enumerate(t.tolist()):
             j = i + first + columns
-            inside = (j >= 0) & (j < len(ids))
+            inside = (j >= begin) & (j < len(ids))
             same = inside & (ids[np.clip(j, 0, len(ids) - 1)] == w)
             row = np.maximum(best[i, 1:], best[i, :-1] + same)
             best[i + 1, :-1] = np.maximum.accumulate(row)
@@ -158,7 +158,7 @@ class TemplateIndex:
         matched, places = int(best[i, b]), []
         while i > 0 and best[i, b] > 0:  # the way back
             j = i - 1 + first + b
-            if 0 <= j < len(ids) and ids[j] == t[i - 1] and best[i, b] == best[i - 1, b] + 1:
+            if begin <= j < len(ids) and ids[j] == t[i - 1] and best[i, b] == best[i - 1, b] + 1:
                 places.append(j)
                 i -= 1
             elif best[i, b] == best[i - 1, b + 1]:
@@ -169,9 +169,31 @@ class TemplateIndex:
             return None
         return Match(self.names[template], places[-1], places[0] + 1, matched, len(t))
 
+    def aligned(self, ids: np.ndarray, template: int, hits: np.ndarray, least: float) -> list[Match]:
+        """Matches of a candidate: no hit is left that no accepted or refused alignment covers. Copies differ by
+        about the template's length in diagonal, so a window of half of that is aligned at a time, behind the matches before it."""
+        size, out = len(self.words[template]), []
+        place, diagonal = hits[:, 0], hits[:, 1]
+        reach = min(BAND, max(1, size // 2))
+        left = np.ones(len(hits), bool)
+        while left.any():
+            low = int(diagonal[left].min())  # the earliest copy that is left
+            of = left & (diagonal <= low + reach)
+            begin = max([m.end for m in out if m.end <= place[of].min()], default=0)
+            m = self.align(ids, template, low, int(diagonal[of].max()), begin)
+            if not m or m.matched < least * m.size or m.matched < least * (m.end - m.start):  # words of a neighbour may be mixed in: one diagonal by itself
+                tries = (self.align(ids, template, d, d, max(begin, d), band) for d in np.unique(diagonal[of]).tolist() for band in (0, BAND))
+                fit = [x for x in tries if x and x.matched >= least * x.size and x.matched >= least * (x.end - x.start)]
+                m = max(fit, key=lambda x: (x.matched, x.start - x.end, -x.start), default=None)
+            if m:
+                out.append(m)
+                left &= ~((place >= m.start) & (place < m.end))
+            left &= diagonal > low
+        return out
+
     def scan(self, ids: np.ndarray, least: float = COVERAGE) -> list[Match]:
         """Matches that do not overlap: those with the most matched words first, then of the higher share, then the earlier."""
-        found = [m for c in self.candidates(ids) if (m := self.align(ids, *c)) and m.matched >= least * m.size and m.matched >= least * (m.end - m.start)]
+        found = [m for c in self.candidates(ids) for m in self.aligned(ids, *c, least)]
         out: list[Match] = []
         for m in sorted(set(found), key=lambda m: (-m.matched, -m.coverage, m.start, m.license)):
             if all(m.end <= o.start or o.end <= m.start for o in out):

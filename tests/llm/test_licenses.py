@@ -41,6 +41,28 @@ def test_alignment_against_full_matrix():
         assert m.matched == longest(w.tolist(), ids.tolist())
 
 
+def test_notices_close_together():
+    """Every copy of a notice repeated within a band is found, also beside a part of it."""
+    index = licenses.TemplateIndex(licenses.TEMPLATES)
+
+    def found(text):
+        return [(m.license, m.start, m.end) for m in index.scan(np.array([index.vocabulary.get(w, 0) for w in licenses.words_of(text)], np.int64))]
+
+    for line, name in (("Released under the MIT License.", "MIT"), ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"), (licenses.TEMPLATES["ISC"][0], "ISC"), (licenses.TEMPLATES["MIT"][2], "MIT")):
+        n = len(licenses.words_of(line))
+        for gap in (0, 1, 5):
+            for copies in (2, 3, 60):
+                got = found(("zz " * gap + line + " ") * copies)
+                assert got == [(name, k * (n + gap) + gap, (k + 1) * (n + gap)) for k in range(copies)]
+    full = "Licensed under the Apache License, Version 2.0."
+    part = "Licensed under the Apache License"
+    assert found(f"{part} zz zz zz {full}") == [("Apache-2.0", 8, 16)]
+    assert found(f"{full} zz zz zz {part} zz {full}") == [("Apache-2.0", 0, 8), ("Apache-2.0", 17, 25)]
+    words = licenses.TEMPLATES["ISC"][0].split()
+    edited = " ".join(words[:10] + ["zz"] + words[11:20] + words[21:])
+    assert found(" ".join([*words[:9], "zz zz zz", edited, edited])) == [("ISC", 13, 13 + len(licenses.words_of(edited))), ("ISC", 13 + len(licenses.words_of(edited)), 13 + 2 * len(licenses.words_of(edited)))]
+
+
 def test_every_planted_line(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     lines = ["Released under the MIT License", "Licensed under the Apache License, Version 2.0", "licensed under the GNU General Public License, version 3", "Licensed under CC BY-NC 4.0"]
