@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, fmindex, html, jaccard, licenses, pieces, pii, quality, sharding, tokens
+from tablewright.llm import chat, fmindex, html, jaccard, licenses, pieces, pii, quality, runs, sharding, tokens
 from tablewright.llm.base import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +124,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("pii")["spans"]).alias("spans"))
 
 
+@query("op13_runs")
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, after the words of one document in ten are made periodic from some place on."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", runs.looped(F.col("doc_id"), F.col("text")).alias("text"))
+    found = runs.with_runs(docs).select("doc_id", "runs.*").withColumn("best", runs.strongest(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(runs.listed(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""

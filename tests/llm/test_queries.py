@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
-    assert {name.split("_")[0] for name in QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 11))}
+    assert {name.split("_")[0] for name in QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 14))}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
