@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import chat, fmindex, html, jaccard, licenses, pieces, pii, quality, ranking, runs, sharding, tokens
+from tablewright.llm import chat, fmindex, html, jaccard, licenses, minhash, pieces, pii, quality, ranking, runs, sharding, tokens
 from tablewright.llm.base import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +124,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("pii")["spans"]).alias("spans"))
 
 
+@query("op11_minhash")
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share four fifths of their four-word shingles, and the one of each that is kept."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op12_ranking", ranking.ORACLE)
 def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 documents that rank highest for every benchmark item."""
