@@ -64,6 +64,9 @@ best AS (SELECT l_returnflag, l_linestatus, y FROM counts QUALIFY row_number() O
 MAJORITY = f"""WITH {GROUP_COUNTS} SELECT lineitem.l_returnflag, lineitem.l_linestatus, l_orderkey, y + 0.0::DOUBLE AS prediction
 FROM lineitem JOIN best USING (l_returnflag, l_linestatus)"""
 GROUP_MEAN = """SELECT l_orderkey, l_returnflag, l_linestatus, round(avg(l_extendedprice) OVER (PARTITION BY l_returnflag, l_linestatus), 4) + 0.0 AS prediction FROM lineitem"""
+# A boosted step from the overall mean: the group's residuals over their number and the penalty of 1.
+SHRUNK_MEAN = """WITH m AS (SELECT avg(l_extendedprice) AS mean FROM lineitem), g AS (SELECT l_returnflag, l_linestatus, count(*) AS n, avg(l_extendedprice) AS own FROM lineitem GROUP BY 1, 2)
+SELECT l_orderkey, l_returnflag, l_linestatus, round(mean + n * (own - mean) / (n + 1), 4) + 0.0 AS prediction FROM lineitem JOIN g USING (l_returnflag, l_linestatus), m"""
 LATE = "CAST(l_quantity > 25 AS INT)"
 
 
@@ -82,7 +85,57 @@ _grouped_model("rf_classify_multiclass", "random_forest", "classification", ONE_
 _grouped_model("rf_regress", "random_forest", "regression", ONE_TREE, _price, GROUP_MEAN)
 _grouped_model("gbt_classify", "xgboost", "classification", ONE_STEP, _late, MAJORITY.format(label=LATE))
 _grouped_model("gbt_classify_multiclass", "xgboost", "classification", ONE_STEP, _line, MAJORITY.format(label="l_linenumber - 1"))
-_grouped_model("gbt_regress", "xgboost", "regression", ONE_STEP, _price, GROUP_MEAN)
+_grouped_model("gbt_regress", "xgboost", "regression", ONE_STEP, _price, SHRUNK_MEAN)
+
+
+_status, _total = ("o_orderstatus", "multiclass"), ("o_totalprice", "continuous")
+
+# Twelve rounds of boosting on rows of six groups: every tree tells all groups apart, so a group's margins follow a recursion.
+STEP = "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END + CASE l_linestatus WHEN 'F' THEN 3 ELSE 0 END"
+SIZE = f"CASE WHEN l_quantity <= 5 + 4 * ({STEP}) THEN 'low' WHEN l_quantity <= 30 + 3 * ({STEP}) THEN 'mid' ELSE 'top' END"
+ROUNDS, RATE = 12, 0.3  # without a penalty: with one, groups of nearly equal shares gain by staying together
+
+
+def _next_margin(k):
+    return f"m{k} - {RATE} * (n * p{k} - n{k}) / (2 * n * p{k} * (1 - p{k}))"
+
+
+@query(
+    "gbt_rounds_multiclass",
+    f"""WITH RECURSIVE counts AS (SELECT l_returnflag, l_linestatus, count(*) AS n, count(*) FILTER (s = 'low') AS n0, count(*) FILTER (s = 'mid') AS n1, count(*) FILTER (s = 'top') AS n2
+  FROM (SELECT *, {SIZE} AS s FROM lineitem) GROUP BY 1, 2),
+boosted AS (SELECT *, 0 AS t, 0.0::DOUBLE AS m0, 0.0::DOUBLE AS m1, 0.0::DOUBLE AS m2 FROM counts
+  UNION ALL SELECT l_returnflag, l_linestatus, n, n0, n1, n2, t + 1, {", ".join(_next_margin(k) for k in range(3))}
+  FROM (SELECT *, exp(m0) / (exp(m0) + exp(m1) + exp(m2)) AS p0, exp(m1) / (exp(m0) + exp(m1) + exp(m2)) AS p1, exp(m2) / (exp(m0) + exp(m1) + exp(m2)) AS p2 FROM boosted) WHERE t < {ROUNDS}),
+shares AS (SELECT l_returnflag, l_linestatus, k AS class, exp([m0, m1, m2][k + 1]) / (exp(m0) + exp(m1) + exp(m2)) AS p FROM boosted, (SELECT unnest([0, 1, 2]) AS k) WHERE t = {ROUNDS})
+SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, class::BIGINT AS class, round(p, 5) + 0.0 AS probability FROM lineitem JOIN shares USING (l_returnflag, l_linestatus)""",
+)
+def gbt_rounds_multiclass(spark, sf_dir):
+    """Softmax boosting: probabilities after twelve rounds."""
+    li = table(spark, sf_dir, "lineitem").withColumn("size", F.expr(SIZE))
+    fitted, rows = rows_for(li, spec(GROUPED, ("size", "multiclass"), "classification"), "l_orderkey", "l_linenumber")
+    params = {"n_estimators": ROUNDS, "learning_rate": RATE, "reg_lambda": 0.0, "gamma": 0.0, "min_child_weight": 1}
+    out = make_learner("xgboost", "classification", params).fit(rows, fitted.feature_names).predict_proba(rows, "l_orderkey", "l_linenumber")
+    return out.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), F.col("class").cast("long").alias("class"), rnd("probability", 5).alias("probability"))
+
+
+@query(
+    "gbt_early_stopping",
+    f"""WITH RECURSIVE cut AS (SELECT o_orderpriority AS g, o_totalprice AS y, {sql_hash("o_orderkey")} < 858993459 AS held FROM orders),
+sums AS (SELECT g, count(*) FILTER (NOT held) AS n, avg(y) FILTER (NOT held) AS own, count(*) FILTER (held) AS nv, coalesce(sum(y) FILTER (held), 0) AS yv, coalesce(sum(y * y) FILTER (held), 0) AS yyv FROM cut GROUP BY g),
+boosted AS (SELECT g, n, own, nv, yv, yyv, 0 AS t, (SELECT avg(y) FROM cut WHERE NOT held) AS m FROM sums
+  UNION ALL SELECT g, n, own, nv, yv, yyv, t + 1, m - 0.5 * n * (m - own) / (n + 1) FROM boosted WHERE t < 10),
+losses AS (SELECT t, sum(yyv - 2 * m * yv + nv * m * m) / sum(nv) AS loss FROM boosted WHERE t > 0 GROUP BY t),
+best AS (SELECT t FROM losses ORDER BY loss, t LIMIT 1)
+SELECT o_orderkey, t::BIGINT AS best_round, round(m, 4) + 0.0 AS prediction FROM orders JOIN boosted ON g = o_orderpriority JOIN best USING (t)""",
+)
+def gbt_early_stopping(spark, sf_dir):
+    """A fifth of the orders, by the hash of their key, measures each round; the rounds up to the best of ten stay."""
+    fitted, rows = order_rows(spark, sf_dir, [feature("o_orderpriority", "categorical", "one-hot")], _total, "regression")
+    params = {"n_estimators": 10, "learning_rate": 0.5, "early_stopping": True, "early_stopping_patience": 10, "validation_split": 0.2}
+    trained = make_learner("xgboost", "regression", params).fit(rows, fitted.feature_names, key="o_orderkey")
+    best = F.lit(trained.metadata["best_round"]).cast("long").alias("best_round")
+    return trained.predict(rows).select("o_orderkey", best, rnd("prediction", 4).alias("prediction"))
 
 
 def _order_model(name, model, task, params, target):
@@ -97,7 +150,6 @@ def _order_model(name, model, task, params, target):
     query(name)(run)
 
 
-_status, _total = ("o_orderstatus", "multiclass"), ("o_totalprice", "continuous")
 _order_model("rf_classify_forest", "random_forest", "classification", SMALL, _status)
 _order_model("rf_regress_forest", "random_forest", "regression", SMALL, _total)
 _order_model("gbt_classify_boosted", "xgboost", "classification", SMALL, _status)
@@ -277,11 +329,40 @@ def shap_importance(spark, sf_dir):
     return importance(_linear_shares(spark, sf_dir)).select("feature", rnd("importance", 4).alias("importance"))
 
 
-@query("shap_tree")
+BITS = {"a": "CAST(l_quantity > 25 AS INT)", "b": "CAST(l_discount > 0.05 AS INT)"}
+
+
+@query(
+    "shap_tree",
+    f"""WITH bits AS (SELECT l_orderkey, l_extendedprice AS y, {BITS["a"]} AS a, {BITS["b"]} AS b FROM lineitem),
+m AS (SELECT a, b, count(*) AS n, avg(y) AS m FROM bits GROUP BY a, b), t AS (SELECT sum(n) AS n, sum(n * m) / sum(n) AS m FROM m),
+ma AS (SELECT a, sum(n) AS n, sum(n * m) / sum(n) AS m FROM m GROUP BY a), mb AS (SELECT b, sum(n) AS n, sum(n * m) / sum(n) AS m FROM m GROUP BY b),
+root AS (SELECT (SELECT sum(ma.n * (ma.m - t.m) ** 2) FROM ma, t) >= (SELECT sum(mb.n * (mb.m - t.m) ** 2) FROM mb, t) AS a),
+va AS (SELECT m.a, CASE WHEN (SELECT a FROM root) THEN any_value(ma.m) ELSE sum(mb.n * m.m) / sum(mb.n) END AS m FROM m JOIN ma USING (a) JOIN mb USING (b) GROUP BY m.a),
+vb AS (SELECT m.b, CASE WHEN (SELECT a FROM root) THEN sum(ma.n * m.m) / sum(ma.n) ELSE any_value(mb.m) END AS m FROM m JOIN ma USING (a) JOIN mb USING (b) GROUP BY m.b),
+phi AS (SELECT m.a, m.b, (va.m - t.m + m.m - vb.m) / 2 AS pa, (vb.m - t.m + m.m - va.m) / 2 AS pb FROM m JOIN va ON va.a = m.a JOIN vb ON vb.b = m.b, t)
+SELECT l_orderkey, a, b, feature, round(CASE feature WHEN 'a' THEN pa ELSE pb END, 3) + 0.0 AS phi FROM bits JOIN phi USING (a, b), (SELECT unnest(['a', 'b']) AS feature)""",
+)
 def shap_tree(spark, sf_dir):
+    """A forest of the default size on two indicators, every tree grown on all rows: four leaves, cut by the stronger indicator first."""
+    li = table(spark, sf_dir, "lineitem").withColumns({k: F.expr(e) for k, e in BITS.items()})
+    fitted, rows = rows_for(li, spec([feature("a", "numeric"), feature("b", "numeric")], _price, "regression"), "l_orderkey", "a", "b")
+    model = make_learner("random_forest", "regression", {"bootstrap": False, "max_features": "all"}).fit(rows, fitted.feature_names)
+    values = explain_trees(model, rows, ["l_orderkey", "a", "b"]).values
+    return values.select("l_orderkey", "a", "b", "feature", rnd("phi", 3).alias("phi"))
+
+
+@query(
+    "shap_tree_classes",
+    """WITH names AS (SELECT DISTINCT 'o_orderpriority=' || o_orderpriority AS feature FROM orders UNION ALL SELECT unnest(['o_totalprice', 'o_orderdate_year', 'o_orderdate_month', 'o_orderdate_day', 'o_orderdate_dayofweek']))
+SELECT o_orderkey, feature, 0.0::DOUBLE AS total FROM orders, names""",
+)
+def shap_tree_classes(spark, sf_dir):
+    """A forest's class probabilities add up to one, so what a feature gives to one class it takes from the others."""
     fitted, rows = order_rows(spark, sf_dir)
     model = make_learner("random_forest", "classification", {"n_estimators": 3, "max_depth": 4}).fit(rows, fitted.feature_names)
-    return explain_trees(model, rows, ["o_orderkey"]).values.select("o_orderkey", "class", "feature", rnd("phi").alias("phi"))
+    values = explain_trees(model, rows, ["o_orderkey"]).values
+    return values.groupBy("o_orderkey", "feature").agg(rnd(F.sum("phi")).alias("total"))
 
 
 @query(
@@ -318,9 +399,31 @@ def shap_sampled(spark, sf_dir):
     return got.values.select("o_orderkey", "feature", rnd("phi", 3).alias("phi"))
 
 
+THREE = {"a": "CAST(o_custkey % 2 AS INT)", "b": "CAST(month(o_orderdate) > 6 AS INT)", "c": "CAST(o_orderpriority < '3' AS INT)"}
+
+
+@query(
+    "shap_kernel",
+    f"""WITH bits AS (SELECT o_orderkey, o_totalprice AS y, {", ".join(f"{e} AS {k}" for k, e in THREE.items())} FROM orders),
+m AS (SELECT a, b, c, avg(y) AS m FROM bits GROUP BY a, b, c), behind AS ({SMALLEST.format(source="bits", n=50)}), shown AS ({SMALLEST.format(source="bits", n=100)}),
+mixed AS (SELECT s.o_orderkey, k, CASE WHEN k & 1 > 0 THEN s.a ELSE h.a END AS a, CASE WHEN k & 2 > 0 THEN s.b ELSE h.b END AS b, CASE WHEN k & 4 > 0 THEN s.c ELSE h.c END AS c
+  FROM shown s, behind h, (SELECT unnest(range(8)) AS k)),
+v AS (SELECT o_orderkey, k, avg(m) AS v FROM mixed JOIN m USING (a, b, c) GROUP BY o_orderkey, k),
+pairs AS (SELECT o_orderkey, j, k, CASE bit_count((k & ~(1 << j))::INT) WHEN 1 THEN 1 / 6 ELSE 1 / 3 END * CASE WHEN k & (1 << j) > 0 THEN v ELSE -v END AS part FROM v, (SELECT unnest([0, 1, 2]) AS j))
+SELECT o_orderkey, ['a', 'b', 'c'][j + 1] AS feature, round(sum(part), 3) + 0.0 AS phi, 'exact' AS method FROM pairs GROUP BY o_orderkey, j""",
+)
+def shap_kernel(spark, sf_dir):
+    """A tree over three indicators explained by its scores alone, all coalitions of them."""
+    o = table(spark, sf_dir, "orders").withColumns({k: F.expr(e) for k, e in THREE.items()})
+    fitted, rows = rows_for(o, spec([feature(k, "numeric") for k in THREE], _total, "regression"), "o_orderkey")
+    model = make_learner("random_forest", "regression", ONE_TREE).fit(rows, fitted.feature_names)
+    got = explain_by_scoring(model, explanation_sample(rows, "o_orderkey"), sample_rows(rows, 50, "o_orderkey"), ["o_orderkey"])
+    return got.values.select("o_orderkey", "feature", rnd("phi", 3).alias("phi"), F.lit(got.method).alias("method"))
+
+
 @query("shap_sampled_classes")
 def shap_sampled_classes(spark, sf_dir):
-    """The same for a one-vs-rest boosted model, over all coalitions of its five columns."""
+    """The same for a boosted model of three classes, over all coalitions of its five columns."""
     fitted, rows = order_rows(spark, sf_dir, KERNEL)
     model = make_learner("xgboost", "classification", {"n_estimators": 2, "max_depth": 2}).fit(rows, fitted.feature_names)
     got = explain_by_scoring(model, explanation_sample(rows, "o_orderkey", 20), rows, ["o_orderkey"], n_background=20)

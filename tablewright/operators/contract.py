@@ -57,7 +57,7 @@ def row_rules(df: DataFrame, spec: TableSpec, lenient: bool = False) -> list[Rul
     rules = [rule for f in spec.features for rule in _feature_rules(df, f, lenient)]
     if spec.target_name in df.columns and spec.target_type == "continuous":
         bad = present(df, spec.target_name).isNotNull() & as_number(df, spec.target_name).isNull()
-        text = f"{spec.target_name}: target values that do not read as numbers"
+        text = f"{spec.target_name}: target values that do not read as numbers, which regression needs"
         rules.append(Rule("target", spec.target_name, bad, TypeError, text))
     return rules
 

@@ -7,33 +7,29 @@ regression, the class probability for forests, the log-odds for boosted trees an
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
-from math import factorial
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tablewright.functions.storage import new_path
+from tablewright.operators.kernelshap import default_coalitions, is_exact, kernel_contributions
 from tablewright.operators.models import Trained
-from tablewright.sources.files import sample_rows, spread
+from tablewright.operators.treeshap import tree_contributions
+from tablewright.sources.files import sample_rows
 
 SAMPLE_ROWS, BACKGROUND_ROWS = 100, 50  # fixed values
-EXACT_FEATURES = 11  # up to here every coalition is scored
-PERMUTATIONS = 32  # drawn beyond that
-MAX_LEAVES = 500_000  # of the trees that one pass adds up, some 100 MB in every task; more trees take more passes
+MOST_EXACT = 30  # columns whose coalitions can all be scored, if asked for
 
 
 @dataclass
 class Explanation:
     values: DataFrame
     base: list[float]  # per class
+    method: str = "exact"
 
 
 def explanation_sample(df: DataFrame, key: str | Sequence[str] | None, n: int = SAMPLE_ROWS, seed: int = 42) -> DataFrame:
@@ -85,146 +81,12 @@ def _long(df: DataFrame, keep: Sequence[str], names: Column) -> DataFrame:
 # ----------------------------------------------------------------------------------------------- trees
 
 
-@dataclass
-class Leaf:
-    """A leaf as conditions on the distinct features of its path."""
-
-    features: np.ndarray
-    low: np.ndarray  # low < x <= high
-    high: np.ndarray
-    allowed: list[np.ndarray | None]  # category values that pass, for categorical splits
-    share: np.ndarray  # of the training rows that pass each feature's conditions
-    value: np.ndarray  # per class
-
-
-def _stored_nodes(trained: Trained, spark) -> tuple[DataFrame, list[list[int]], list[float], bool]:
-    """The trees' nodes from Spark ML's own saved form, the trees in groups of at most MAX_LEAVES leaves (or one tree), each
-    tree's weight, and whether they are boosted."""
-    path = new_path(spark, "trees")
-    trained.model.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
-    counts = sorted((r.treeID, r.n) for r in nodes.groupBy("treeID").agg(F.count_if(F.col("leftChild") < 0).alias("n")).collect())
-    boosted = hasattr(trained.model, "treeWeights") and trained.learner.model_type == "xgboost"
-    weights = list(trained.model.treeWeights) if boosted else [1.0 / len(counts)] * len(counts)
-    groups, held = [[]], 0
-    for tree, n in counts:
-        if groups[-1] and held + n > MAX_LEAVES:
-            groups.append([])
-            held = 0
-        groups[-1].append(tree)
-        held += n
-    return nodes, groups, weights, boosted
-
-
-def _leaves(nodes: pd.DataFrame, weight: float, of_classes: bool) -> list[Leaf]:
-    by_id = {n.id: n for n in nodes.itertuples()}
-    out: list[Leaf] = []
-    stack: list[tuple[int, dict]] = [(0, {})]
-    while stack:
-        at, path = stack.pop()
-        node = by_id[at]
-        if node.leftChild < 0:
-            counts = np.asarray(node.impurityStats, float)
-            value = counts / counts.sum() if of_classes else np.array([node.prediction])
-            out.append(
-                Leaf(
-                    np.array(list(path), int),
-                    np.array([c[0] for c in path.values()], float),
-                    np.array([c[1] for c in path.values()], float),
-                    [c[2] for c in path.values()],
-                    np.array([c[3] for c in path.values()], float),
-                    weight * value,
-                )
-            )
-            continue
-        f, cats = node.split["featureIndex"], node.split["numCategories"]
-        given = np.asarray(node.split["leftCategoriesOrThreshold"], float)
-        for child, left in ((node.leftChild, True), (node.rightChild, False)):
-            low, high, allowed, share = path.get(f, (-np.inf, np.inf, None, 1.0))
-            if cats >= 0:
-                passing = given if left else np.setdiff1d(np.arange(cats, dtype=float), given)
-                allowed = passing if allowed is None else np.intersect1d(allowed, passing)
-            elif left:
-                high = min(high, given[0])
-            else:
-                low = max(low, given[0])
-            ratio = by_id[child].rawCount / node.rawCount
-            stack.append((child, {**path, f: (low, high, allowed, share * ratio)}))
-    return out
-
-
-def _tree_shares(x: np.ndarray, leaves: list[Leaf], classes: int) -> np.ndarray:
-    """Shapley values of the path-dependent game for a batch of rows.
-
-    Within a leaf the Shapley weights of coalitions are integrals over t in [0, 1] of t^s (1-t)^(d-1-s), so a
-    feature's value is the integral of the product of its companions' (pass * t + share * (1-t)); a Gauss rule
-    of enough nodes is exact for that polynomial.
-    """
-    out = np.zeros((len(x), classes, x.shape[1]))
-    for leaf in leaves:
-        d = len(leaf.features)
-        if d == 0:
-            continue
-        nodes, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
-        t, w = (nodes + 1) / 2, weights / 2
-        cols = x[:, leaf.features]
-        passes = ((cols > leaf.low) & (cols <= leaf.high)).astype(float)
-        for j, ok in enumerate(leaf.allowed):
-            if ok is not None:
-                passes[:, j] = np.isin(cols[:, j], ok)
-        terms = passes[:, :, None] * t + (leaf.share[:, None] * (1 - t))[None]
-        companions = (terms.prod(axis=1, keepdims=True) / terms) @ w
-        phi = (passes - leaf.share) * companions
-        out[:, :, leaf.features] += phi[:, None, :] * leaf.value[None, :, None]
-    return out
-
-
 def explain_trees(trained: Trained, df: DataFrame, keep: Sequence[str]) -> Explanation:
-    """Path-dependent Shapley values of forests and boosted trees (Lundberg et al., 2020). The trees, which a
-    Spark ML model already holds on the driver, go to the tasks; rows stay where they are."""
-    spark = df.sparkSession
-    nodes, groups, weights, boosted = _stored_nodes(trained, spark)
-    of_classes = trained.learner.task == "classification" and not boosted
-    # Spark's boosted margin is half the log-odds.
-    factor = 2.0 if boosted and trained.learner.task == "classification" else 1.0
-    rows = spread(df.select(*keep, vector_to_array("features").alias("__x"), F.array().cast("array<double>").alias("__phi")))
-    base = 0.0
-    for group in groups:
-        found = nodes.where(F.col("treeID").isin(group)).toPandas().sort_values(["treeID", "id"])
-        leaves = [leaf for tree, part in found.groupby("treeID") for leaf in _leaves(part, weights[int(tree)] * factor, of_classes)]
-        base = base + sum(leaf.value * leaf.share.prod() for leaf in leaves)
-        classes = len(leaves[0].value)
-        rows = rows.mapInArrow(_adder(spark.sparkContext.broadcast(leaves), classes), rows.schema)
-        if group is not groups[-1]:  # the next pass starts from stored sums, so a task holds one group of trees
-            path = new_path(spark, "shares")
-            rows.write.parquet(path)
-            rows = spark.read.schema(rows.schema).parquet(path)
+    """Path-dependent Shapley values of forests (on class probabilities) and boosted trees (on margins), see ``treeshap``."""
+    rows, base, classes = tree_contributions(trained, df, keep)
     first = 1 if classes == 1 and trained.learner.task == "classification" else 0
-    width = F.size("__x")
-    parts = F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda c: F.slice("__phi", c * width + 1, width))
-    out = rows.select(*keep, F.posexplode(parts).alias("class", "phi")).withColumn("class", F.col("class") + first)
-    return Explanation(_long(out, keep, _names(trained, trained.n_features)), [float(b) for b in base])
-
-
-def _adder(shared, classes: int):
-    """Adds the shares of the broadcast leaves to ``__phi``: classes after one another, each with all features."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            x = batch.column("__x").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-            phi = _tree_shares(x, shared.value, classes).reshape(n, -1)
-            before = batch.column("__phi").flatten().to_numpy(zero_copy_only=False)
-            if before.size:
-                phi = phi + before.reshape(n, -1)
-            ends = np.arange(0, phi.size + 1, phi.shape[1], dtype=np.int32)
-            column = pa.ListArray.from_arrays(ends, np.ascontiguousarray(phi).ravel())
-            at = batch.schema.get_field_index("__phi")
-            yield pa.RecordBatch.from_arrays([column if i == at else c for i, c in enumerate(batch.columns)], batch.schema.names)
-
-    return add
+    out = rows.withColumn("class", F.col("class") + first)
+    return Explanation(_long(out, keep, _names(trained, trained.n_features)), base)
 
 
 # ----------------------------------------------------------------------------------- any other model
@@ -236,38 +98,30 @@ def explain_by_scoring(
     background: DataFrame,
     keep: Sequence[str],
     n_background: int = BACKGROUND_ROWS,
-    permutations: int = PERMUTATIONS,
+    coalitions: int | None = None,
     seed: int = 42,
     output: str = "prediction",
+    method: str = "auto",
 ) -> Explanation:
-    """Shapley values of any model from its predictions on mixtures of a row and background rows.
+    """Shapley values of any model from its predictions on mixtures of a row and background rows, see ``kernelshap``.
 
-    A coalition keeps the row's values for its features and takes the others from the background. With few
-    features every coalition is scored, which is exact; with more, those along random feature orders are. All
-    mixtures go through one distributed prediction pass and are summed per row, so ``keep`` must identify a row.
+    ``method`` is exact (all coalitions are scored), sampled (``coalitions`` drawn ones, twice the columns and 2,048 by default) or
+    auto (exact if no more than that); the explanation says which it was, and ``values`` have a ``standard_error`` (0 where exact).
+    ``keep`` must identify a row.
     """
-    rows_behind = _background(background, n_background, seed)
-    picked = [v.toArray().tolist() for v in rows_behind]
-    width = len(picked[0])
-    plan = _coalitions(width, permutations, seed)
-    share = [{"mask": list(map(bool, m)), "e": [float(v) / len(picked) for v in e]} for m, e in plan]
-    masks = _constant(share, "array<struct<mask: array<boolean>, e: array<double>>>")
-    others = _constant(picked, "array<array<double>>")
-    given = df.select(*keep, vector_to_array("features").alias("__x"))
-    mixed = (  # a sample comes in one partition; its mixtures are many
-        given.repartition(df.sparkSession.sparkContext.defaultParallelism, *keep)
-        .select("*", F.inline(masks))
-        .select("*", F.explode(others).alias("__b"))
-        .withColumn("features", array_to_vector(F.transform("mask", lambda m, i: F.when(m, F.get("__x", i)).otherwise(F.get("__b", i)))))
-    )
-    scored = trained.predict(mixed).select(*keep, "e", F.col(output).alias("v"))
-    sums = [F.sum(F.get("e", F.lit(j)) * F.col("v")).alias(f"p{j}") for j in range(width)]
-    phi = F.array(*[F.col(f"p{j}") for j in range(width)]).alias("phi")
-    rows = scored.groupBy(*keep).agg(*sums).select(*keep, F.lit(0).alias("class"), phi)
-    spark = df.sparkSession
-    empty = spark.createDataFrame([(v,) for v in rows_behind], ["features"])
-    base = trained.predict(empty).agg(F.avg(output)).first()[0]
-    return Explanation(_long(rows, keep, _names(trained, width)), [float(base)])
+    if method not in ("auto", "exact", "sampled"):
+        raise ValueError(f"method {method!r}; there are auto, exact and sampled")
+    picked = np.stack([v.toArray() for v in _background(background, n_background, seed)])
+    width = picked.shape[1]
+    n = default_coalitions(width) if coalitions is None else int(coalitions)
+    exact = method == "exact" or method == "auto" and is_exact(width, n)
+    if exact and width > MOST_EXACT:
+        raise ValueError(f"{width} columns have too many coalitions; {MOST_EXACT} columns can be explained exactly")
+    rows, base = kernel_contributions(trained, df, picked, keep, n, exact, seed, output)
+    names = _names(trained, width)
+    long = rows.select(*keep, "class", F.posexplode(F.arrays_zip("phi", "error")).alias("position", "s"))
+    values = long.select(*keep, "class", F.get(names, F.col("position")).alias("feature"), F.col("s.phi").alias("phi"), F.col("s.error").alias("standard_error"))
+    return Explanation(values, [base], "exact" if exact else "sampled")
 
 
 def _constant(value, ddl: str) -> Column:
@@ -280,33 +134,8 @@ def _background(df: DataFrame, n: int, seed: int) -> list:
     return [r.features for r in sample_rows(df.select("features"), n, None, seed).collect()]
 
 
-def _coalitions(width: int, permutations: int, seed: int) -> list[tuple[tuple[bool, ...], list[float]]]:
-    """The coalitions to score, each with the weight of its value in every feature's contribution."""
-    if width <= EXACT_FEATURES:
-        out = []
-        for code in range(1 << width):
-            mask = tuple(bool(code >> j & 1) for j in range(width))
-            s = sum(mask)
-            gain = factorial(s - 1) * factorial(width - s) / factorial(width) if s else 0.0
-            loss = factorial(s) * factorial(width - s - 1) / factorial(width) if s < width else 0.0
-            out.append((mask, [gain if m else -loss for m in mask]))
-        return out
-    rng = np.random.default_rng(seed)
-    weights: dict[tuple[bool, ...], np.ndarray] = {}
-    for _ in range(permutations):
-        order = rng.permutation(width)
-        for walk in (order, order[::-1]):
-            mask = np.zeros(width, bool)
-            for j in walk:
-                before = tuple(mask.tolist())
-                mask[j] = True
-                for m, sign in ((before, -1.0), (tuple(mask.tolist()), 1.0)):
-                    weights.setdefault(m, np.zeros(width))[j] += sign / (2 * permutations)
-    return [(m, w.tolist()) for m, w in weights.items()]
-
-
-def explain(trained: Trained, df: DataFrame, background: DataFrame, keep: Sequence[str]) -> Explanation:
-    """The method that fits the model: trees, linear, or scoring of mixtures."""
+def explain(trained: Trained, df: DataFrame, background: DataFrame, keep: Sequence[str], rows: int = SAMPLE_ROWS) -> Explanation:
+    """The method that fits the model: trees, linear, or scoring of mixtures, which explains a sample of ``rows`` rows."""
     parts = getattr(trained.model, "models", None)
     if trained.front is None and parts is None:
         kind = type(trained.model)
@@ -314,4 +143,4 @@ def explain(trained: Trained, df: DataFrame, background: DataFrame, keep: Sequen
             return explain_trees(trained, df, keep)
         if hasattr(kind, "coefficients"):
             return explain_linear(trained, df, background, keep)
-    return explain_by_scoring(trained, df, background, keep)
+    return explain_by_scoring(trained, explanation_sample(df, list(keep), rows), background, keep)

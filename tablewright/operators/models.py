@@ -11,19 +11,22 @@ from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.functions.columns import portable_hash
 from tablewright.functions.storage import ensure_checkpoints
+from tablewright.operators import boosting
+from tablewright.operators.boosting import BoostedTrees
 from tablewright.operators.svm import EPSILON, RandomFeatures, fit_svr, scale_gamma
 from tablewright.spec import ITERATION_KEYS, MODELS_BY_TASK
 
 # Defaults of the parameters users may leave out.
 FOREST_DEFAULTS = {"n_estimators": 100, "max_depth": None}
-BOOSTED_DEFAULTS = {"n_estimators": 100, "learning_rate": 0.3, "max_depth": 6}
+BOOSTED_DEFAULTS = boosting.DEFAULTS
 DEEPEST = 30  # the deepest tree Spark ML grows; stands for "no limit"
 
 NOT_FOR_BOOSTED = ("batch_size", "early_stopping", "early_stopping_patience", "validation_split")
@@ -39,7 +42,7 @@ def infer_task(model_type: str) -> str:
 #: Parameters by model. A name of another model is left out with a warning, so that one set can serve several models.
 PARAMETERS = {
     "random_forest": {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "max_features", "bootstrap", "max_samples", "max_bins", "criterion"},
-    "xgboost": {"n_estimators", "learning_rate", "max_depth", "subsample", "min_child_weight", "max_bins"},
+    "xgboost": set(BOOSTED_DEFAULTS),
     "logistic_regression": {"penalty", "C", "l1_ratio", "fit_intercept", "max_iter", "tol"},
     "linear_regression": {"fit_intercept"},
     "svm": {"C", "kernel", "gamma", "epsilon", "max_iter", "n_components"},
@@ -93,17 +96,22 @@ def _forest_params(p: dict[str, Any], seed: int, every_feature: bool) -> dict[st
     }
 
 
-def _boosted_params(p: dict[str, Any], seed: int) -> dict[str, Any]:
-    merged = {**BOOSTED_DEFAULTS, **p}
-    return {
-        "maxIter": int(merged["n_estimators"]),
-        "stepSize": float(merged["learning_rate"]),
-        "maxDepth": int(merged["max_depth"]),
-        "subsamplingRate": float(merged.get("subsample", 1.0)),
-        "minInstancesPerNode": max(int(merged.get("min_child_weight", 1)), 1),
-        "maxBins": int(merged.get("max_bins", 32)),
-        "seed": seed,
-    }
+def validation(params: dict[str, Any]) -> tuple[float, int | None]:
+    """With early stopping, the share of rows that a boosted model holds out to measure itself on (a tenth, if none is given), and
+    after how many rounds without a better loss it stops. Without, all rows are learned from."""
+    share = float(params.get("validation_split") or 0.1)
+    if not 0 < share < 1:
+        raise ValueError(f"validation_split is {share}; it must be between 0 and 1")
+    return (share, int(params.get("early_stopping_patience") or boosting.PATIENCE)) if params.get("early_stopping") else (0.0, None)
+
+
+def _held_out(df: DataFrame, share: float, key: str | None, seed: int):
+    """Rows whose key's hash is among the lowest; without a key, by their place in the table."""
+    if not share:
+        return None
+    if key:
+        return portable_hash(F.col(key).cast("string"), seed) < F.lit(int(share * 2**32))
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(1 << 32)) < F.lit(int(share * 2**32))
 
 
 @dataclass(frozen=True)
@@ -118,18 +126,15 @@ class Learner:
     def with_params(self, more: dict[str, Any]) -> Learner:
         return Learner(self.model_type, self.task, {**self.params, **more}, self.seed)
 
-    def estimator(self, rows: int = 1, classes: int = 2):
+    def estimator(self, rows: int = 1, classes: int = 2, df: DataFrame | None = None, key: str | None = None):
         """The Spark ML estimator (None for the support vector regressor, which has its own loop)."""
         p = check_params(self.model_type, usable_params(self.model_type, self.params))
         if self.model_type == "random_forest":
             shared = _forest_params(p, self.seed, self.task == "regression")
             return RandomForestClassifier(impurity=p.get("criterion", "gini"), **shared) if self.task == "classification" else RandomForestRegressor(**shared)
         if self.model_type == "xgboost":
-            shared = _boosted_params(p, self.seed)
-            if self.task == "regression":
-                return GBTRegressor(lossType="squared", **shared)
-            one = GBTClassifier(**shared)
-            return one if classes <= 2 else OneVsRest(classifier=one, parallelism=min(classes, 4))
+            share, patience = validation(self.params)
+            return boosting.Boosting(self.task, classes, p, self.seed, _held_out(df, share, key, self.seed), patience)
         if self.model_type == "logistic_regression":
             return LogisticRegression(
                 family="auto",
@@ -149,8 +154,8 @@ class Learner:
             return one if classes <= 2 else OneVsRest(classifier=one, parallelism=min(classes, 4))
         return None
 
-    def fit(self, df: DataFrame, feature_names: list[str] | None = None, rows: int | None = None, classes: int | None = None) -> Trained:
-        """Fit on columns ``features`` and ``label``."""
+    def fit(self, df: DataFrame, feature_names: list[str] | None = None, rows: int | None = None, classes: int | None = None, key: str | None = None) -> Trained:
+        """Fit on columns ``features`` and ``label``. A boosted model with ``validation_split`` holds rows out by the column ``key``."""
         started = time.time()
         ensure_checkpoints(df.sparkSession)
         if rows is None or (classes is None and self.task == "classification"):
@@ -166,7 +171,7 @@ class Learner:
                 given = p.get("gamma", "scale")
                 front = RandomFeatures(gamma if given == "scale" else 1.0 / width if given == "auto" else float(given), width, int(p.get("n_components", 200)), self.seed)
                 df = front.transform(df)
-        estimator = self.estimator(rows, classes or 2)
+        estimator = self.estimator(rows, classes or 2, df, key)
         if estimator is None:
             model = fit_svr(df, C=float(p.get("C", 1.0)), epsilon=float(p.get("epsilon", EPSILON)), max_iter=int(p.get("max_iter", 100)))
         else:
@@ -182,6 +187,8 @@ class Learner:
             "training_date": datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),
             "epochs": usable_params("xgboost", self.params).get("n_estimators", BOOSTED_DEFAULTS["n_estimators"]) if self.model_type == "xgboost" else None,
             "iterations": _iterations(model),
+            "best_round": getattr(model, "best_round", None),
+            "losses": getattr(model, "history", None),
             "hyperparameters": usable_params(self.model_type, self.params),
             "performance_history": [],
         }
@@ -212,7 +219,7 @@ def make_learner(model_type: str, task: str | None = None, params: dict[str, Any
 class Trained:
     """A fitted model with what is known about its training."""
 
-    model: Model
+    model: Model | BoostedTrees
     learner: Learner
     feature_names: list[str]
     metadata: dict[str, Any]
@@ -257,24 +264,30 @@ class Trained:
         self.metadata["performance_history"].append(entry)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
+        boosted = isinstance(self.model, BoostedTrees)
+        if boosted:
+            self.model.save(spark, f"{path}/model")
+        else:
+            PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
         about = {
             "learner": [self.learner.model_type, self.learner.task, self.learner.params, self.learner.seed],
             "feature_names": self.feature_names,
             "metadata": self.metadata,
+            "boosted": boosted,
             "front": [self.front.gamma, self.front.inputs, self.front.outputs, self.front.seed] if self.front else None,
         }
         spark.createDataFrame([(json.dumps(about),)], "document string").coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Trained:
-        model = PipelineModel.load(f"{path}/model").stages[0]
         try:
             about = json.loads(spark.read.parquet(f"{path}/about").first().document)
+            model = BoostedTrees.load(spark, f"{path}/model") if about.get("boosted") else PipelineModel.load(f"{path}/model").stages[0]
         except AnalysisException as err:
             if err.getCondition() != "PATH_NOT_FOUND":
                 raise
             # a model stored without its description still scores
+            model = PipelineModel.load(f"{path}/model").stages[0]
             task = "classification" if hasattr(type(model), "numClasses") else "regression"
             return cls(model, Learner(type(model).__name__, task), [], {})
         front = RandomFeatures(*about["front"]) if about["front"] else None

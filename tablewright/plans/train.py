@@ -71,7 +71,7 @@ def _run(prepared: Prepared, spec, model_type, cfg, output, experiment, tune_mod
     else:
         if tune_model:
             warnings.warn(f"no parameter grid for {model_type}: fitted without tuning", stacklevel=3)
-        trained = learner.fit(side, names, classes=classes)
+        trained = learner.fit(side, names, classes=classes, key=KEY)
     cv = None
     if cfg["cross_validation"]:
         cv = cross_validate(learner, assign_folds(side, cfg["cv_folds"], KEY, cfg["random_state"]), cfg["metrics"], parallelism)

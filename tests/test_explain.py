@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablewright.operators.explain import _leaves, _stored_nodes, explain, explain_by_scoring, explain_linear, explain_trees, importance
+from tablewright.operators.explain import explain, explain_by_scoring, explain_linear, explain_trees, importance
 from tablewright.operators.models import make_learner
 from tests.test_models import frame
 
@@ -39,18 +39,18 @@ def test_trees_match_the_definition(spark, data):
     df, x, y = data
     model = make_learner("xgboost", "regression", {"n_estimators": 3, "max_depth": 3, "learning_rate": 0.5}).fit(df)
     got = shares(explain_trees(model, df, ["id"]))
-    nodes, groups, weights, _ = _stored_nodes(model, spark)
-    assert groups == [[0, 1, 2]]
-    leaves = [leaf for tree, n in nodes.toPandas().sort_values(["treeID", "id"]).groupby("treeID") for leaf in _leaves(n, weights[tree], False)]
 
     def expected(row, known):
-        total = 0.0
-        for leaf in leaves:
-            p = 1.0
-            for f, lo, hi, z in zip(leaf.features, leaf.low, leaf.high, leaf.share, strict=True):
-                p *= float(lo < row[f] <= hi) if f in known else z
-            total += p * leaf.value[0]
-        return total
+        """The path-dependent game: a cut by an unknown feature is passed to both sides, by their covers."""
+
+        def at(t, n):
+            if t.feature[n] < 0:
+                return t.value[n]
+            if t.feature[n] in known:
+                return at(t, t.left[n] if row[t.feature[n]] <= t.cut[n] else t.right[n])
+            return sum(t.cover[c] * at(t, c) for c in (t.left[n], t.right[n])) / t.cover[n]
+
+        return sum(at(t, 0) for (t,) in model.model.rounds)
 
     for i in (0, 17, 149):
         assert np.allclose(got[i], shapley(lambda s, i=i: expected(x[i], s), 4))
@@ -116,14 +116,36 @@ def test_scoring_all_coalitions(data):
     assert np.allclose(shares(got)[0], shapley(lambda s: value(x[145], s), 4))
 
 
-def test_scoring_along_orders_adds_up(data, monkeypatch):
-    import tablewright.operators.explain as E
-
-    monkeypatch.setattr(E, "EXACT_FEATURES", 2)
-    df, x, y = data
-    trained = make_learner("linear_regression").fit(df)
-    got = explain_by_scoring(trained, df.where("id < 5"), df.where("id >= 130"), ["id"], permutations=3)
-    assert np.allclose(shares(got), (x[:5] - x[130:].mean(axis=0)) * trained.model.coefficients.toArray())
+def test_scoring_drawn_coalitions(spark):
+    """Sums of functions of one column each are found exactly from drawn coalitions; others within their errors."""
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 2, (300, 14)).astype(float)
+    df = frame(spark, x, x @ np.arange(14.0)).cache()
+    linear = make_learner("linear_regression").fit(df)
+    got = explain_by_scoring(linear, df.where("id < 4"), df.where("id >= 280"), ["id"], coalitions=200)
+    assert got.method == "sampled" and got.values.where("standard_error > 1e-6").count() == 0
+    table = {(r.id, int(r.feature[1:])): r.phi for r in got.values.collect()}
+    want = (x[:4] - x[280:].mean(axis=0)) * linear.model.coefficients.toArray()
+    assert all(table[i, j] == pytest.approx(want[i, j], abs=1e-6) for i in range(4) for j in range(14))
+
+    wide = frame(spark, x[:, :8], x[:, 0] * x[:, 1] * 10 + x[:, 2] * x[:, 3] * 6 + x[:, 4]).cache()
+    trees = make_learner("xgboost", "regression", {"n_estimators": 12, "max_depth": 4}).fit(wide)
+    some, behind = wide.where("id < 6"), wide.where("id >= 290")
+    exact = explain_by_scoring(trees, some, behind, ["id"], method="exact")
+    drawn = explain_by_scoring(trees, some, behind, ["id"], method="sampled", coalitions=700)
+    assert (exact.method, drawn.method) == ("exact", "sampled") and exact.values.where("standard_error <> 0").count() == 0
+    both = exact.values.alias("e").join(drawn.values.alias("d"), ["id", "feature"]).select("id", F.col("e.phi").alias("want"), F.col("d.phi").alias("got"), F.col("d.standard_error").alias("se")).collect()
+    assert len(both) == 48 and sum(abs(r.want - r.got) <= 3 * r.se + 1e-9 for r in both) >= 45 and max(r.se for r in both) < 0.3
+    again = explain_by_scoring(trees, some.repartition(2), behind, ["id"], method="sampled", coalitions=700).values.collect()
+    assert {(r.id, r.feature): round(r.phi, 9) for r in again} == {(r.id, r.feature): round(r.phi, 9) for r in drawn.values.collect()}
+
+
+def test_scoring_one_column(spark):
+    df = frame(spark, np.arange(6.0)[:, None], np.arange(6.0) * 2)
+    got = explain_by_scoring(make_learner("linear_regression").fit(df), df.coalesce(1), df, ["id"])
+    assert got.values.count() == 6 and all(r.phi == pytest.approx(2 * (r.id - 2.5)) and r.standard_error == 0 for r in got.values.collect())
+    with pytest.raises(ValueError, match="method"):
+        explain_by_scoring(None, df, df, ["id"], method="other")
 
 
 def test_choice_of_method(data):
@@ -139,7 +161,7 @@ def test_groups_of_trees_add_up(spark, data, monkeypatch):
     df, x, _ = data
     model = make_learner("random_forest", "classification", {"n_estimators": 5, "max_depth": 3}).fit(df.withColumn("label", (F.col("label") > 0).cast("double")))
     once = explain_trees(model, df, ["id"])
-    monkeypatch.setattr("tablewright.operators.explain.MAX_LEAVES", 9)
+    monkeypatch.setattr("tablewright.operators.treeshap.MAX_NODES", 20)
     several = explain_trees(model, df, ["id"])
     for c in (0, 1):
         assert np.allclose(shares(once, c), shares(several, c), atol=1e-12)
