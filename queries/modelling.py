@@ -25,6 +25,7 @@ from tablewright.streaming.score import quarantine_stream, score_stream
 # Settings small enough for a query; the library's defaults are the full-size ones.
 SMALL = {"n_estimators": 5, "max_depth": 5}
 ONE_TREE = {"n_estimators": 1, "max_depth": 6, "max_features": "all", "bootstrap": False}
+FULL = {"max_features": "all", "bootstrap": False}  # a forest of the default size, every tree on all rows and columns
 ONE_STEP = {"n_estimators": 1, "max_depth": 6, "learning_rate": 1.0}
 
 GROUPED = [feature("l_returnflag", "categorical", "one-hot"), feature("l_linestatus", "categorical", "one-hot")]
@@ -80,9 +81,9 @@ def _grouped_model(name, model, task, params, target, sql):
 
 
 _late, _line, _price = ("late", "binary"), ("l_linenumber", "multiclass"), ("l_extendedprice", "continuous")
-_grouped_model("rf_classify", "random_forest", "classification", ONE_TREE, _late, MAJORITY.format(label=LATE))
-_grouped_model("rf_classify_multiclass", "random_forest", "classification", ONE_TREE, _line, MAJORITY.format(label="l_linenumber - 1"))
-_grouped_model("rf_regress", "random_forest", "regression", ONE_TREE, _price, GROUP_MEAN)
+_grouped_model("rf_classify", "random_forest", "classification", FULL, _late, MAJORITY.format(label=LATE))
+_grouped_model("rf_classify_multiclass", "random_forest", "classification", FULL, _line, MAJORITY.format(label="l_linenumber - 1"))
+_grouped_model("rf_regress", "random_forest", "regression", FULL, _price, GROUP_MEAN)
 _grouped_model("gbt_classify", "xgboost", "classification", ONE_STEP, _late, MAJORITY.format(label=LATE))
 _grouped_model("gbt_classify_multiclass", "xgboost", "classification", ONE_STEP, _line, MAJORITY.format(label="l_linenumber - 1"))
 _grouped_model("gbt_regress", "xgboost", "regression", ONE_STEP, _price, SHRUNK_MEAN)
@@ -154,7 +155,6 @@ _order_model("rf_classify_forest", "random_forest", "classification", SMALL, _st
 _order_model("rf_regress_forest", "random_forest", "regression", SMALL, _total)
 _order_model("gbt_classify_boosted", "xgboost", "classification", SMALL, _status)
 _order_model("gbt_regress_boosted", "xgboost", "regression", SMALL, _total)
-_order_model("svm_classify", "svm", "classification", {"kernel": "rbf", "n_components": 30, "max_iter": 15}, _status)
 _order_model("svm_regress", "svm", "regression", {"kernel": "linear"}, _total)
 
 
@@ -183,11 +183,37 @@ def predict_proba(spark, sf_dir):
     return out.select("o_orderkey", F.col("class").cast("long").alias("class"), rnd("probability", 4).alias("probability"))
 
 
-@query("logistic_penalised")
+ODD = feature("odd", "numeric")
+BITS = {"a": "CAST(l_quantity > 25 AS INT)", "b": "CAST(l_discount > 0.05 AS INT)"}
+
+
+@query("svm_classify", "SELECT o_orderkey, (o_custkey % 2)::DOUBLE AS label, (o_custkey % 2)::DOUBLE AS prediction FROM orders")
+def svm_classify(spark, sf_dir):
+    """Default settings on classes that one column tells apart: every row gets its own."""
+    o = table(spark, sf_dir, "orders").withColumns({"odd": F.col("o_custkey") % 2, "is_odd": F.col("o_custkey") % 2})
+    fitted, rows = rows_for(o, spec([ODD], ("is_odd", "binary"), "classification"), "o_orderkey")
+    return make_learner("svm", "classification").fit(rows, fitted.feature_names).predict(rows).select("o_orderkey", "label", "prediction")
+
+
+# Newton's method for the log loss plus half the squared coefficient (C = 1), on the counts of the two groups.
+@query(
+    "logistic_penalised",
+    """WITH RECURSIVE rows AS (SELECT o_orderkey, o_custkey % 2 AS x, CAST(o_totalprice > 150000 + 100000 * (o_custkey % 2) AS INT) AS y FROM orders),
+c AS (SELECT count(*) FILTER (x = 0) AS n0, count(*) FILTER (x = 0 AND y = 1) AS k0, count(*) FILTER (x = 1) AS n1, count(*) FILTER (x = 1 AND y = 1) AS k1 FROM rows),
+newton AS (SELECT 0 AS t, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b UNION ALL
+  SELECT t + 1, a - (h11 * ga - h01 * gb) / (h00 * h11 - h01 * h01), b - (h00 * gb - h01 * ga) / (h00 * h11 - h01 * h01) FROM (
+    SELECT t, a, b, n0 * p0 - k0 + n1 * p1 - k1 AS ga, n1 * p1 - k1 + b AS gb, n0 * p0 * (1 - p0) + n1 * p1 * (1 - p1) AS h00, n1 * p1 * (1 - p1) AS h01, n1 * p1 * (1 - p1) + 1 AS h11
+    FROM (SELECT *, 1 / (1 + exp(-a)) AS p0, 1 / (1 + exp(-a - b)) AS p1 FROM newton, c) WHERE t < 15)),
+best AS (SELECT a, b FROM newton WHERE t = 15)
+SELECT o_orderkey, x, round(1 / (1 + exp(-a - b * x)), 4) + 0.0 AS probability FROM rows, best""",
+)
 def logistic_penalised(spark, sf_dir):
-    fitted, rows = order_rows(spark, sf_dir)
-    model = make_learner("logistic_regression").fit(rows, fitted.feature_names)
-    return model.predict(rows).select("o_orderkey", "label", "prediction")
+    """The default penalty."""
+    o = table(spark, sf_dir, "orders").withColumns({"odd": F.col("o_custkey") % 2, "dear": (F.col("o_totalprice") > 150000 + 100000 * (F.col("o_custkey") % 2)).cast("int")})
+    fitted, rows = rows_for(o, spec([ODD], ("dear", "binary"), "classification"), "o_orderkey", "odd")
+    model = make_learner("logistic_regression", params={"tol": 1e-9}).fit(rows, fitted.feature_names)
+    out = model.predict_proba(rows, "o_orderkey", "odd").where(F.col("class") == 1)
+    return out.select("o_orderkey", F.col("odd").alias("x"), rnd("probability", 4).alias("probability"))
 
 
 TWO = [feature("l_quantity", "numeric"), feature("l_discount", "numeric")]
@@ -220,13 +246,21 @@ def predict(spark, sf_dir):
     return model.predict(rows).select("l_orderkey", "l_quantity", rnd("prediction", 4).alias("prediction"))
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    f"""WITH bits AS (SELECT l_extendedprice AS y, {BITS["a"]} AS a, {BITS["b"]} AS b FROM lineitem),
+m AS (SELECT a, b, count(*) AS n, avg(y) AS m FROM bits GROUP BY a, b), t AS (SELECT sum(n * m) / sum(n) AS m FROM m),
+ma AS (SELECT a, sum(n) AS n, sum(n * m) / sum(n) AS m FROM m GROUP BY a), mb AS (SELECT b, sum(n) AS n, sum(n * m) / sum(n) AS m FROM m GROUP BY b),
+g AS (SELECT (SELECT sum(n * (ma.m - t.m) ** 2) FROM ma, t) AS ga, (SELECT sum(n * (mb.m - t.m) ** 2) FROM mb, t) AS gb, (SELECT sum(n * (m.m - t.m) ** 2) FROM m, t) AS g),
+shares AS (SELECT CASE WHEN ga >= gb THEN ga ELSE g - gb END / g AS a FROM g)
+SELECT 'a' AS feature, round(a, 6) + 0.0 AS importance FROM shares UNION ALL SELECT 'b', round(1 - a, 6) + 0.0 FROM shares""",
+)
 def feature_importance(spark, sf_dir):
-    """The five most important features of a forest."""
-    fitted, rows = order_rows(spark, sf_dir)
-    model = make_learner("random_forest", "classification", SMALL).fit(rows, fitted.feature_names)
-    top = model.importances(spark).orderBy(F.desc("importance"), "position").limit(5)
-    return top.select("feature", rnd("importance").alias("importance"))
+    """A forest of the default size on two indicators: the shares of the spread that the first cut and those below it explain."""
+    li = table(spark, sf_dir, "lineitem").withColumns({k: F.expr(e) for k, e in BITS.items()})
+    fitted, rows = rows_for(li, spec([feature("a", "numeric"), feature("b", "numeric")], _price, "regression"))
+    model = make_learner("random_forest", "regression", FULL).fit(rows, fitted.feature_names)
+    return model.importances(spark).select("feature", rnd("importance").alias("importance"))
 
 
 # ------------------------------------------------------------------------- evaluation, folds, tuning
@@ -244,16 +278,17 @@ def evaluate_model(spark, sf_dir):
     return frame.select(rnd("rmse", 4).alias("rmse"), rnd("mae", 4).alias("mae"), rnd("r2").alias("r2"))
 
 
-FOLDS = """folded AS (SELECT *, CASE WHEN r < (n % 3) * (n // 3 + 1) THEN r // (n // 3 + 1) ELSE n % 3 + (r - (n % 3) * (n // 3 + 1)) // (n // 3) END AS fold,
+K = 5
+FOLDS = f"""folded AS (SELECT *, CASE WHEN r < (n % {K}) * (n // {K} + 1) THEN r // (n // {K} + 1) ELSE n % {K} + (r - (n % {K}) * (n // {K} + 1)) // (n // {K}) END AS fold,
   o_custkey + 0.0::DOUBLE AS x, o_totalprice AS y FROM ranked)"""
-FOLD_SCORES = f"""{RANKED}, {FOLDS}, k AS (SELECT unnest([0, 1, 2]) AS f),
+FOLD_SCORES = f"""{RANKED}, {FOLDS}, k AS (SELECT unnest({list(range(K))}) AS f),
 fits AS (SELECT f, regr_intercept(y, x) AS a, regr_slope(y, x) AS b, sum(x * y) / sum(x * x) AS b0 FROM folded, k WHERE fold != f GROUP BY f),
 errors AS (SELECT fold, y, y - a - b * x AS e, y - b0 * x AS e0 FROM folded JOIN fits ON fold = f),
-scores AS (SELECT fold, -sqrt(avg(e * e)) AS rmse, -avg(abs(e)) AS mae, 1 - avg(e * e) / var_pop(y) AS r2, 1 - avg(e0 * e0) / var_pop(y) AS r2_0 FROM errors GROUP BY fold)"""
+scores AS (SELECT fold, -sqrt(avg(e * e)) AS rmse, -sqrt(avg(e0 * e0)) AS rmse_0, -avg(abs(e)) AS mae, 1 - avg(e * e) / var_pop(y) AS r2, 1 - avg(e0 * e0) / var_pop(y) AS r2_0 FROM errors GROUP BY fold)"""
 CUST = [feature("o_custkey", "numeric")]
 
 
-def _folded(spark, sf_dir, k=3):
+def _folded(spark, sf_dir, k=K):
     o = table(spark, sf_dir, "orders")
     _, rows = rows_for(o, spec(CUST, _total, "regression"), "o_orderkey")
     return assign_folds(rows, k, "o_orderkey").select("features", "label", "fold")
@@ -297,13 +332,15 @@ def tune_grid(spark, sf_dir):
     return got.candidates.select("candidate", F.col("params")["fit_intercept"].alias("fit_intercept"), rnd("score").alias("score"))
 
 
-@query("tune_random")
+@query(
+    "tune_random",
+    f"""WITH {FOLD_SCORES} SELECT 0 AS candidate, 'False' AS fit_intercept, round(avg(rmse_0), 4) + 0.0 AS score, round(stddev_pop(rmse_0), 4) + 0.0 AS std FROM scores
+UNION ALL SELECT 1, 'True', round(avg(rmse), 4) + 0.0, round(stddev_pop(rmse), 4) + 0.0 FROM scores""",
+)
 def tune_random(spark, sf_dir):
-    """Two draws from the boosted grid, with few trees each."""
-    _, rows = order_rows(spark, sf_dir, [f for f in ORDER if f["name"] != "o_totalprice"], _total, "regression")
-    space = {**GRIDS["xgboost"], "n_estimators": [2, 4], "max_depth": [2, 3]}
-    got = tune(make_learner("xgboost", "regression"), assign_folds(rows, 2, "o_orderkey"), space, "random", n_iter=2)
-    return got.candidates.select("candidate", F.to_json("params").alias("params"), rnd("score").alias("score"))
+    """Ten draws from a space of two take both; scored by errors, over the default number of folds."""
+    got = tune(make_learner("linear_regression"), _folded(spark, sf_dir), {"fit_intercept": [False, True]}, "random", scoring="rmse")
+    return got.candidates.select("candidate", F.col("params")["fit_intercept"].alias("fit_intercept"), rnd("score", 4).alias("score"), rnd("std", 4).alias("std"))
 
 
 # ----------------------------------------------------------------------------------------- explanation
@@ -329,9 +366,6 @@ def shap_importance(spark, sf_dir):
     return importance(_linear_shares(spark, sf_dir)).select("feature", rnd("importance", 4).alias("importance"))
 
 
-BITS = {"a": "CAST(l_quantity > 25 AS INT)", "b": "CAST(l_discount > 0.05 AS INT)"}
-
-
 @query(
     "shap_tree",
     f"""WITH bits AS (SELECT l_orderkey, l_extendedprice AS y, {BITS["a"]} AS a, {BITS["b"]} AS b FROM lineitem),
@@ -347,7 +381,7 @@ def shap_tree(spark, sf_dir):
     """A forest of the default size on two indicators, every tree grown on all rows: four leaves, cut by the stronger indicator first."""
     li = table(spark, sf_dir, "lineitem").withColumns({k: F.expr(e) for k, e in BITS.items()})
     fitted, rows = rows_for(li, spec([feature("a", "numeric"), feature("b", "numeric")], _price, "regression"), "l_orderkey", "a", "b")
-    model = make_learner("random_forest", "regression", {"bootstrap": False, "max_features": "all"}).fit(rows, fitted.feature_names)
+    model = make_learner("random_forest", "regression", FULL).fit(rows, fitted.feature_names)
     values = explain_trees(model, rows, ["l_orderkey", "a", "b"]).values
     return values.select("l_orderkey", "a", "b", "feature", rnd("phi", 3).alias("phi"))
 

@@ -108,7 +108,7 @@ TASK_COLUMNS = ("l_linenumber", "l_quantity", "l_discount")
 @query(
     "detect_task",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count(DISTINCT {c}) AS "distinct", bool_and({c} = floor({c})) AS integral,
+        f"""SELECT '{c}' AS "column", least(count(DISTINCT {c}), 10) AS "distinct", bool_and({c} = floor({c})) AS integral,
 count(DISTINCT {c}) < 10 AND bool_and({c} = floor({c})) AS is_classification FROM lineitem"""
         for c in TASK_COLUMNS
     ),

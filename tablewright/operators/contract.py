@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.columns import as_category, as_flag, as_number, as_time, present, ref
+from tablewright.operators.stats import distinct_up_to
 from tablewright.spec import FeatureSpec, TableSpec
 
 
@@ -66,7 +67,8 @@ def check(df: DataFrame, spec: TableSpec, strict: bool = True, lenient: bool = F
     """(rule, column, n_bad, ok), one row per rule, from one scan.
 
     Nullable columns are checked on the rows that have a value; ``strict=False`` instead skips every check of
-    a nullable column as soon as it holds one NULL. A binary target has at most two distinct values.
+    a nullable column as soon as it holds one NULL. A binary target has at most two distinct values; it is looked at by itself, and
+    n_bad is its number of values, 3 standing for more than two.
     """
     absent = missing_columns(df, spec)
     if absent:
@@ -81,8 +83,8 @@ def check(df: DataFrame, spec: TableSpec, strict: bool = True, lenient: bool = F
             n_bad = F.when(F.col(f"m{i}") > 0, 0).otherwise(n_bad)
         lines.append((r.name, r.column, n_bad, n_bad == 0))
     if spec.target_type == "binary":
-        aggs.append(F.count_distinct(as_category(df, spec.target_name)).alias("classes"))
-        lines.append(("binary_target", spec.target_name, F.col("classes"), F.col("classes") <= 2))
+        classes = distinct_up_to(df, as_category(df, spec.target_name), 2)
+        lines.append(("binary_target", spec.target_name, F.lit(classes), F.lit(classes <= 2)))
     if not lines:
         return df.sparkSession.createDataFrame([], "rule string, column string, n_bad long, ok boolean")
     rows = [
@@ -99,7 +101,8 @@ def validate(df: DataFrame, spec: TableSpec, strict: bool = True, lenient: bool
         if row.ok:
             continue
         if row.rule == "binary_target":
-            raise ValueError(f"{row.column}: a binary target with {row.n_bad} classes")
+            classes = df.agg(F.count_distinct(as_category(df, row.column))).first()[0]
+            raise ValueError(f"{row.column}: a binary target with {classes} classes")
         broken = messages[(row.rule, row.column)]
         raise broken.error(f"{broken.message} ({row.n_bad} rows)")
     return True

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.stats import distinct_up_to
+
+FEW = 10  # fixed value: fewer distinct whole numbers than this are classes
 CLASSIFICATION = ("accuracy", "precision", "recall", "f1")
 REGRESSION = ("rmse", "mse", "mae", "r2")
 LOWER_IS_BETTER = ("rmse", "mse", "mae")
@@ -74,10 +77,11 @@ def is_classification(df: DataFrame, label: str = "label") -> bool:
 
 
 def detect_task(df: DataFrame, label: str = "label") -> DataFrame:
-    """One row (distinct, integral, is_classification): fewer than ten distinct values, all whole numbers."""
+    """One row (distinct, integral, is_classification): fewer than ten distinct values, all whole numbers. ``distinct`` is 10 for ten and
+    more, so that no values are shuffled to be counted."""
     y = F.col(label).cast("double")
-    facts = df.agg(F.count_distinct(y).alias("distinct"), F.every(y == F.floor(y)).alias("integral"))
-    return facts.withColumn("is_classification", (F.col("distinct") < 10) & F.coalesce("integral", F.lit(True)))
+    facts = df.agg(F.every(y == F.floor(y)).alias("integral")).select(F.lit(distinct_up_to(df, y, FEW - 1)).cast("long").alias("distinct"), "integral")
+    return facts.withColumn("is_classification", (F.col("distinct") < FEW) & F.coalesce("integral", F.lit(True)))
 
 
 def metric_frame(df: DataFrame, metrics: Sequence[str], label: str = "label", prediction: str = "prediction", average: str = "auto", by: Sequence[str] = ()) -> DataFrame:

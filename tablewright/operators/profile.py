@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.columns import as_category, as_number, dtype, is_numeric, present
-from tablewright.operators.stats import histogram, value_text
+from tablewright.operators.stats import distinct_up_to, histogram, value_text
 
 
 def summary(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -108,7 +108,7 @@ def top_values(df: DataFrame, k: int = 5, below: int = 20) -> DataFrame:
 def class_distribution(df: DataFrame, label: str = "label", split: str = "split", below: int = 20) -> DataFrame:
     """(split, label, n, pct) when the label has fewer than ``below`` classes, otherwise no rows."""
     counts = df.groupBy(split, label).agg(F.count(F.lit(1)).alias("n"))
-    if counts.agg(F.count_distinct(label)).first()[0] >= below:
+    if distinct_up_to(df, F.col(label), below - 1) >= below:
         return counts.select(split, label, "n", F.lit(None).cast("double").alias("pct")).limit(0)
     total = F.sum("n").over(Window.partitionBy(split))
     return counts.select(split, label, "n", (F.col("n") / total * 100).alias("pct"))

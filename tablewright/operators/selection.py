@@ -13,8 +13,9 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.foldstats import fold_scores
 from tablewright.operators.metrics import CLASSIFICATION, LOWER_IS_BETTER, REGRESSION, metric_frame
-from tablewright.operators.models import Learner, Trained
+from tablewright.operators.models import Learner, Trained, check_params, usable_params
 
 # Search spaces of the models that are tuned, and the number of folds and draws.
 GRIDS: dict[str, dict[str, list[Any]]] = {
@@ -40,6 +41,15 @@ def _fold_scores(learner: Learner, df: DataFrame, fold: int, metrics: Sequence[s
     return {m: -v if m in LOWER_IS_BETTER else v for m, v in values.items()}
 
 
+def _least_squares(learner: Learner, df: DataFrame, candidates: Sequence[dict[str, Any]], metrics: Sequence[str]) -> list[tuple[int, int, dict[str, float]]] | None:
+    """(candidate, fold, scores) of a linear regression from one pass over ``df``; None for other models and very wide tables."""
+    if learner.model_type != "linear_regression":
+        return None
+    settings = [check_params(learner.model_type, usable_params(learner.model_type, learner.with_params(p).params)) for p in candidates]
+    found = fold_scores(df.select("features", "label", "fold"), settings, metrics)
+    return found and [(k, f, {m: -v if m in LOWER_IS_BETTER else v for m, v in values.items()}) for k, f, values in found]
+
+
 def _usable(metrics: Sequence[str], task: str) -> list[str]:
     return [m for m in metrics if m in (CLASSIFICATION if task == "classification" else REGRESSION)]
 
@@ -56,12 +66,16 @@ def cross_validate(
     """(metric, score, std, folds) over the folds of ``df`` (columns features, label, fold).
 
     Higher is better throughout: class metrics are support-weighted, error metrics negated. Metrics that do not
-    suit the task are left out. One fit per fold serves all metrics. ``per_fold`` gives (fold, metric, score).
+    suit the task are left out. One fit per fold serves all metrics; least squares take one pass over all folds together.
+    ``per_fold`` gives (fold, metric, score).
     """
     spark = df.sparkSession
     use = _usable(metrics, learner.task)
     if not use:
         raise ValueError(f"no metric of {list(metrics)} suits {learner.task}")
+    if solved := _least_squares(learner, df, [{}], use):
+        scores = spark.createDataFrame([(f, m, values[m]) for _, f, values in solved for m in use], "fold int, metric string, score double")
+        return scores if per_fold else fold_summary(scores)
     table = df.select("features", "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         folds = sorted(r.fold for r in table.select("fold").distinct().collect())
@@ -122,16 +136,19 @@ def tune(
     spark = df.sparkSession
     table = df.select("features", "label", "fold").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        folds = sorted(r.fold for r in table.select("fold").distinct().collect())
         classes = _n_classes(table, learner.task)
-        jobs = [
-            lambda p=p, f=f: _fold_scores(learner.with_params(p), table, f, [scoring], classes)[scoring]
-            for p in candidates
-            for f in folds
-        ]
-        scores = run_parallel(spark, jobs, parallelism)
-        owners = [(i, p, f) for i, p in enumerate(candidates) for f in folds]
-        rows = [(i, {k: str(v) for k, v in p.items()}, f, float(s)) for (i, p, f), s in zip(owners, scores, strict=True)]
+        if solved := _least_squares(learner, table, candidates, [scoring]):
+            scored = [(i, f, values[scoring]) for i, f, values in solved]
+        else:
+            folds = sorted(r.fold for r in table.select("fold").distinct().collect())
+            jobs = [
+                lambda p=p, f=f: _fold_scores(learner.with_params(p), table, f, [scoring], classes)[scoring]
+                for p in candidates
+                for f in folds
+            ]
+            owners = [(i, f) for i in range(len(candidates)) for f in folds]
+            scored = [(i, f, float(s)) for (i, f), s in zip(owners, run_parallel(spark, jobs, parallelism), strict=True)]
+        rows = [(i, {k: str(v) for k, v in candidates[i].items()}, f, s) for i, f, s in scored]
         long = spark.createDataFrame(rows, "candidate int, params map<string,string>, fold int, score double")
         table_of = (
             long.groupBy("candidate")

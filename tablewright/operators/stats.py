@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # A built-in exact percentile holds every distinct value in one buffer; beyond this many, narrow first.
 EXACT_BUFFER_VALUES = 100_000
@@ -208,3 +210,22 @@ def _read_medians(df, columns, known, brackets, below) -> dict[str, float]:
     holds = [(F.col("upto") > F.col(r)) & (F.col("upto") - F.col("n") <= F.col(r)) for r in ("first", "last")]
     got = running.groupBy("feature").agg(*[F.max(F.when(h, F.col("value.d"))).alias(r) for h, r in zip(holds, ("a", "b"), strict=True)])
     return {r.feature: (r.a + r.b) / 2 for r in got.collect()}
+
+
+def distinct_up_to(df: DataFrame, column: Column, k: int) -> int:
+    """The number of distinct values of a column other than null, or k + 1 if there are more than k. A task keeps k + 1 values at
+    most and shuffles no others."""
+    one = df.select(column.alias("v")).where("v IS NOT NULL")
+    kind = one.schema["v"].dataType
+
+    def few(batches):
+        held: dict = {}
+        nan = float("nan")  # one object, so that it is one key
+        for b in batches:
+            for v in b.column(0).unique().to_pylist() if len(held) <= k else ():
+                held.setdefault(v if v == v else nan, None)
+                if len(held) > k:
+                    break
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), to_arrow_type(kind))], ["v"])
+
+    return one.mapInArrow(few, one.schema).distinct().limit(k + 1).count()
