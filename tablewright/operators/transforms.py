@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tablewright.functions.columns import as_category, as_flag, as_number, as_time, category_text, is_numeric, key_text, present, ref
 from tablewright.functions.storage import cut_lineage
 from tablewright.operators.stats import exact_medians, histogram, modes, moments, value_text
-from tablewright.operators.text import MAX_TERMS, Vocabulary, fit_vocabulary, weigh
+from tablewright.operators.text import MAX_TERMS, Vocabulary, fit_vocabularies, weigh
 from tablewright.spec import FeatureSpec, TableSpec
 
 CONSTANT_VOCABULARY = 100_000  # larger category sets are joined, not held as constants
@@ -140,12 +140,15 @@ def fit_transforms(df: DataFrame, spec: TableSpec, with_target: bool = True, onl
             raise ValueError(f"Column '{name}' has no values to learn from")
     medians = exact_medians(df, {n: numbers[n] for n in by_median}, stats)
 
+    written = [f for f in features if f.type == "text"]
+    training = spec.training
+    terms = fit_vocabularies(df, [ref(f.name).cast("string") for f in written], training.get("max_features", MAX_TERMS), training.get("min_df", 1)) if written else []
+    terms_of = {f.name: v for f, v in zip(written, terms, strict=True)}
     for f in features:
         if f.type == "numeric":
             fitted[f.name] = _fit_number(f, stats[f.name], medians.get(f.name), common.get(f.name))
         elif f.type == "text":
-            text = ref(f.name).cast("string")
-            v = fit_vocabulary(df, text, spec.training.get("max_features", MAX_TERMS), spec.training.get("min_df", 1))
+            v = terms_of[f.name]
             fitted[f.name] = Fitted(f.name, f.kind, terms=v.terms, documents=v.documents, containing=v.containing)
         else:
             if f.name not in common:
