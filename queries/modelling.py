@@ -575,6 +575,29 @@ def scored_stream(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "event_type", rnd("prediction", 5).alias("prediction"))
 
 
+@query(
+    "score_stream_routed",
+    """WITH coded AS (SELECT *, dense_rank() OVER (ORDER BY event_type) - 1.0 AS code FROM events),
+m AS (SELECT covar_pop(user_id, user_id) AS aa, covar_pop(code, code) AS bb, covar_pop(user_id, code) AS ab, covar_pop(user_id, value) AS ay, covar_pop(code, value) AS b_y, avg(user_id) AS ma, avg(code) AS mb, avg(value) AS my FROM coded),
+c AS (SELECT *, (ay * bb - b_y * ab) / (aa * bb - ab * ab) AS ca, (b_y * aa - ay * ab) / (aa * bb - ab * ab) AS cb FROM m)
+SELECT event_id, CASE WHEN event_id % 10 != 0 AND event_id % 7 != 3 THEN round(my + ca * (user_id - ma) + cb * (code - mb), 4) + 0.0 END AS prediction,
+  concat_ws(',', CASE WHEN event_id % 10 = 0 THEN 'numeric:user_id' END, CASE WHEN event_id % 7 = 3 THEN 'unseen:event_type' END) AS problems FROM coded, c""",
+)
+def scored_stream_routed(spark, sf_dir):
+    """Events with made bad numbers and labels, a third of them twice: the good ones are scored once, the bad ones go to a sink of their own."""
+    ev = table(spark, sf_dir, "events")
+    fitted, rows = rows_for(ev, spec([feature("user_id", "numeric"), feature("event_type", "categorical", "label")], ("value", "continuous"), "regression"))
+    model = make_learner("linear_regression").fit(rows, fitted.feature_names)
+    k = F.col("event_id")
+    dirty = _stream(spark, sf_dir, "events").withColumns({"user_id": F.when(k % 10 == 0, "oops").otherwise(F.col("user_id").cast("string")), "event_type": F.when(k % 7 == 3, "strange").otherwise(F.col("event_type"))})
+    twice = dirty.withColumn("copy", F.explode(F.when(k % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("copy")
+    base = new_path(spark, "routed")
+    score_stream(twice, model, fitted, f"{base}/good", f"{base}/checkpoint", ["event_id"], once=True, event_key=["event_id"], event_time="ts", late="1 hour", bad=f"{base}/bad").awaitTermination()
+    good = spark.read.parquet(f"{base}/good").select("event_id", rnd("prediction", 4).alias("prediction"), F.lit("").alias("problems"))
+    bad = spark.read.parquet(f"{base}/bad").select("event_id", F.lit(None).cast("double").alias("prediction"), F.array_join("problems", ",").alias("problems"))
+    return good.unionByName(bad)
+
+
 @query(
     "score_labels",
     """WITH best AS (SELECT o_orderpriority, o_orderstatus AS predicted FROM orders GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY count(*) DESC, o_orderstatus) = 1)

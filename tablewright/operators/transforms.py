@@ -277,6 +277,24 @@ class FittedTable:
     def n_classes(self) -> int:
         return self.fitted[TARGET].size if TARGET in self.fitted else 0
 
+    def unseen(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``unseen_labels``: names of the label-encoded columns whose value was never seen in fitting. Codes kept as a table
+        are looked up by a join."""
+        out, marks = df, []
+        for i, b in enumerate(self.blocks):
+            if b.kind != "label":
+                continue
+            text = F.coalesce(category_text(df, b.name), F.lit(b.fill))
+            if b.categories is not None:
+                strange = ~F.array_contains(F.array(*[F.lit(c) for c in b.categories]), text)
+            else:
+                out = self._join_codes(out.withColumn(f"__t_{i}", text), b, f"__t_{i}", f"__c_{i}")
+                strange = F.col(f"__c_{i}").isNull()
+            out = out.withColumn(f"__u_{i}", strange)
+            marks.append(F.when(F.col(f"__u_{i}"), F.lit(f"unseen:{b.name}")))
+        named = F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>")
+        return out.select(*[ref(c) for c in df.columns], named.alias("unseen_labels"))
+
     def scalars(self, df: DataFrame) -> dict[str, Column]:
         """Block columns that are plain expressions, by name: everything but category codes and text."""
         return {n: c for b in self.blocks for n, c in zip(b.block_names, _expressions(df, b), strict=False)}

@@ -108,6 +108,27 @@ def test_each_event_once(spark, houses):
     assert spark.read.parquet(out).count() == 200
 
 
+def test_stream_goes_on_past_bad_rows(spark):
+    """Unreadable numbers, labels never seen and values out of bounds are routed; a batch done again changes nothing."""
+    from tablewright.operators.models import make_learner
+    from tablewright.operators.transforms import fit_transforms
+    from tests.conftest import make_spec
+
+    known = spark.createDataFrame([(i, str(i), "abc"[i % 3], float(i)) for i in range(30)], "id long, n string, c string, y double")
+    wanted = make_spec([{"name": "n", "type": "numeric", "constraints": {"max": 100}}, ("c", "categorical", "label")], ("y", "continuous"))
+    fitted = fit_transforms(known, wanted)
+    model = make_learner("linear_regression").fit(fitted.transform(known, label="label"), fitted.feature_names)
+    rows = [(1, "5", "a"), (2, "x", "a"), (3, "7", "z"), (4, "y", "z"), (5, "900", "b"), (6, "8", "c")]
+    source, base = new_path(spark, "mixed"), new_path(spark, "routed")
+    spark.createDataFrame(rows, "id long, n string, c string").repartition(2).write.parquet(source)
+    for _ in range(2):
+        stream = spark.readStream.schema("id long, n string, c string").option("maxFilesPerTrigger", 1).parquet(source)
+        score_stream(stream, model, fitted, f"{base}/good", f"{base}/c{_}", ["id"], once=True, bad=f"{base}/bad").awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(f"{base}/good").collect()) == [1, 6]
+    bad = {r.id: r.problems for r in spark.read.parquet(f"{base}/bad").collect()}
+    assert bad == {2: ["numeric:n"], 3: ["unseen:c"], 4: ["numeric:n", "unseen:c"], 5: ["constraint:n"]}
+
+
 def test_stream_quarantine(spark, houses):
     source = new_path(spark, "dirty")
     houses.withColumn("pool", F.when(F.col("id") % 4 == 0, "maybe").otherwise(F.col("pool"))).repartition(2).write.parquet(source)
