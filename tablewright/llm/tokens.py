@@ -12,7 +12,6 @@ import hashlib
 import os
 import re
 import struct
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +34,9 @@ TOGETHER = 256  # texts tokenised at a time
 SEGMENT_SCHEMA = "part int, seq int, first_doc long, last_doc long, n_docs int, ids_before long, n_ids long, body binary"
 
 
-#: Pieces that the tokenizer's splitter never joins: runs of letters and digits, runs of other signs.
-_PIECES = re.compile(r"[^\W_]+|(?:[^\w\s]|_)+")
+#: Between an ASCII letter or digit and another ASCII sign the tokenizer's splitter always cuts. Beside other characters it may not:
+#: lower-casing can give a mark that goes with the sign behind it, and Unicode tables differ.
+_CUTS = re.compile(r"(?<=[A-Za-z0-9])(?=[!-/:-@\[-`{-~])|(?<=[!-/:-@\[-`{-~])(?=[A-Za-z0-9])")
 #: Words where that is not so plain: apostrophes begin contractions, ``<|`` special tokens, and Python knows more white space.
 _WHOLE = re.compile(r"'|<\||\s")
 
@@ -44,7 +44,7 @@ _WHOLE = re.compile(r"'|<\||\s")
 class WordCache:
     """Ids of a text put together from the ids of its words, and those from their pieces.
 
-    The tokenizer's normaliser and splitter never look across white space, nor from a letter to a sign beside it, so a
+    The tokenizer's normaliser and splitter never look across white space, nor from an ASCII letter to an ASCII sign beside it, so a
     text's ids are those of its pieces in order. Words and pieces repeat; each is tokenised once while the cache holds it. The cache
     is emptied when it is full, so memory is bounded.
     """
@@ -67,9 +67,9 @@ class WordCache:
         if core.isalpha():  # ASCII letters and nothing else, the usual case
             return [core, word[len(core) :]] if len(core) < len(word) else [word]
         text = word.decode()
-        if text.isalpha() or _WHOLE.search(text) or not unicodedata.is_normalized("NFC", text):
+        if text.isalpha() or _WHOLE.search(text):
             return [word]
-        return [p.encode() for p in _PIECES.findall(text)]
+        return [p.encode() for p in _CUTS.split(text)]
 
     def _one_by_one(self, pieces: list[bytes]) -> None:
         found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
@@ -96,16 +96,14 @@ class WordCache:
         """The ids of several texts, each as little-endian unsigned 32-bit integers without an end id."""
         known = self.known
         split = [self.words(t) for t in some]
-        held = [list(map(known.get, words)) for words in split]
-        new = {w for words, found in zip(split, held, strict=True) if None in found for w, ids in zip(words, found, strict=True) if ids is None}
+        if len(known) > CACHED_WORDS:
+            known.clear()
+        new = set().union(*split).difference(known)
         if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
             parts = {w: self.pieces(w) for w in new}
             self._learn_pieces([p for p in {p for x in parts.values() for p in x} if p not in known])
             known.update((w, b"".join([known[p] for p in x])) for w, x in parts.items() if len(x) != 1)
-            held = [[known[w] if ids is None else ids for w, ids in zip(words, found, strict=True)] if None in found else found for words, found in zip(split, held, strict=True)]
-        return [b"".join(x) for x in held]
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 def tokenizer_cache(path: str) -> WordCache:

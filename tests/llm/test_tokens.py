@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -23,6 +24,15 @@ def test_ids_are_the_librarys(direct):
     assert tokens.tokenizer_cache(PATH).serialized([None]) == [b""]
 
 
+def test_random_strings(direct):
+    """Letters whose lower case is more than a letter, marks, and letters that Unicode tables know differently, beside signs."""
+    draw = random.Random(11)
+    letters, signs = "aZéİßΣςᲉᲊꟲ̇́ж漢ⅷ½²_9", ".,;:!?'\"()-/«»…—“ \t\xa0\u200b"
+    some = ["".join(draw.choice(draw.choice((letters, signs, "abcXYZ İ.,"))) for _ in range(draw.randint(1, 14))) for _ in range(50_000)]
+    some += ["ALİ.", "VALİ, geldi", "(Lİ)", "nasılsın ALİ?"]
+    assert tokens.tokenizer_cache(PATH).serialized(some) == [direct(t) for t in some]
+
+
 def test_segment():
     docs = [(None, b"", 0), (3, b"abc", 1), (9, b"", 0)]
     import zstandard
