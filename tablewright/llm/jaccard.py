@@ -5,8 +5,10 @@ of the first ``n - ceil(T n) + 1`` shingles of both in any common order, so clas
 order puts very common shingles last. A block is a *signature tree*: its leaves are classes with a token bitmap and a size, its
 nodes the OR of the bitmaps below and their size range. Two nodes whose bitmaps and sizes cannot reach the needed overlap
 are dropped with everything below them; so are nodes that already lie in one group. The block's root class is tried
-first (that alone settles copies of one text), then dual traversals of the trees find the pairs that are left, a slice of them first. What the bounds
-let through is verified on the whole sets. No link between different sets is lost, no pair inside a known group is looked at.
+first (that alone settles copies of one text). Then dual traversals of the trees find the pairs that are left; of each block only
+their members go on, a pair's in the first block that it shares, and come together with their whole sets in one task for a block, which
+gives the links that join two groups. A block of m classes gives at most m rows in every step, however many of its pairs are similar.
+No link between different sets is lost, no pair inside a known group is looked at.
 """
 
 from __future__ import annotations
@@ -19,51 +21,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.base import cut_lineage, stored, texts, worker_cache
+from tablewright.llm.base import cut_lineage, stored
+from tablewright.llm.bytewords import mix
+from tablewright.llm.linking import PERCENT, by_block, confirmed, in_parts, joining_links, sets_of
 
 SHINGLE = 5
-PERCENT = 80  # 100 * intersection >= PERCENT * union
 BITMAP_WORDS = 16  # 1,024 bits
 LEAF, FANOUT = 64, 4
 BLOCK = 1024  # classes of one tree; larger blocks are pairs of trees
 SALTS = 32
-SLICES = 16  # one slice of the pairs that trees leave over is verified first: most groups that belong together are then joined
+PART = 16 << 20  # bytes of the sets of a block that one task holds; larger blocks are pairs of parts
 #: Shingles are called common by the count in one document of SAMPLED; there are at most MOST_COMMON of them. Which ones are
 #: called common changes the order in which shingles are tried, and so the work, but never the result.
 SAMPLED, COMMON_COUNT, MOST_COMMON = 16, 12, 500_000
-_CACHED = 300_000  # hashes of words that a Python worker keeps
 FILTER_WORDS = 1 << 18  # of 64 bits; what passes this filter of ids is looked at exactly afterwards
 
-_MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _CACHED:
-            self.clear()
-        v = self[word] = xxhash.xxh3_64_intdigest(word)
-        return v
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def shingles(text: str | None, hashes: dict) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles; with fewer than SHINGLE words, one hash of the whole sequence."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []  # of bytes: both know A-Z and ASCII white space only
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    size = min(SHINGLE, len(h))
-    n = len(h) - size + 1
-    out = np.full(n, size, np.uint64)
-    for k in range(size):
-        out = _mix(out + h[k : k + n] * _MULTIPLIERS[k])
-    out.sort()
-    return out[np.concatenate([[True], out[1:] != out[:-1]])]
+ROWS, PAIRS = 1000, 10_000  # texts that are made sets of together, and pairs whose bitmaps are compared together
 
 
 def prefix_size(n: int) -> int:
@@ -190,10 +163,10 @@ def _common(docs: DataFrame) -> np.ndarray:
     """Hashes of very common shingles, sorted; at most MOST_COMMON."""
 
     def each(batches):
-        hashes = worker_cache("shingles", _WordHashes)
         for b in batches:
-            for t in texts(b.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(shingles(t, hashes).view(np.int64))], ["h"])
+            for at in range(0, b.num_rows, ROWS):
+                sets = sets_of(b.column(0).slice(at, ROWS), SHINGLE)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["h"])
 
     few = docs.where(F.pmod(F.xxhash64("i"), F.lit(SAMPLED)) == 0).select("t").mapInArrow(each, "h long")
     counts = few.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_COUNT)
@@ -206,16 +179,15 @@ def _sets(docs: DataFrame, common: np.ndarray) -> DataFrame:
     the prefix are the shingles that the set is entered under. The rest of a set is not kept."""
 
     def each(batches):
-        hashes = worker_cache("shingles", _WordHashes)
         for b in batches:
-            rows = []
-            for t in texts(b.column(1)):
-                s = shingles(t, hashes)
-                last = np.isin(s, common, assume_unique=True) if len(common) else np.zeros(len(s), bool)
-                first = np.concatenate([s[~last], s[last]])[: prefix_size(len(s)) if len(s) else 0]
-                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), bitmap(s).tobytes(), first.tobytes()))
-            n, *rest = zip(*rows, strict=True) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in rest]], ["doc_id", "n_shingles", "set_key", "bits", "prefix"])
+            for at in range(0, b.num_rows, ROWS):
+                rows = []
+                for s in sets_of(b.column(1).slice(at, ROWS), SHINGLE):
+                    last = np.isin(s, common, assume_unique=True) if len(common) else np.zeros(len(s), bool)
+                    first = np.concatenate([s[~last], s[last]])[: prefix_size(len(s)) if len(s) else 0]
+                    rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), bitmap(s).tobytes(), first.tobytes()))
+                n, *rest = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, ROWS), pa.array(n, pa.int64()), *[pa.array(x, pa.binary()) for x in rest]], ["doc_id", "n_shingles", "set_key", "bits", "prefix"])
 
     return docs.mapInArrow(each, "doc_id long, n_shingles long, set_key binary, bits binary, prefix binary")
 
@@ -340,7 +312,7 @@ def _bounded(pairs: DataFrame, able: DataFrame) -> DataFrame:
 
 
 def _positions(i: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    h = _mix(i.astype(np.int64).view(np.uint64))
+    h = mix(i.astype(np.int64).view(np.uint64))
     for k in (np.uint64(0), np.uint64(32)):
         part = h >> k
         yield ((part >> np.uint64(6)) % np.uint64(FILTER_WORDS)).astype(np.int64), np.uint64(1) << (part % np.uint64(64))
@@ -368,54 +340,52 @@ def _passes(wanted: np.ndarray, i: np.ndarray) -> np.ndarray:
     return ok
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose whole sets are similar enough. Texts are not moved: a filter of fixed size tells which of them to make sets of."""
-    pairs = cut_lineage(pairs)
-    if pairs.isEmpty():
-        return pairs
-    wanted = _id_filter(pairs)
+def _whole_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(i, s): the whole sets of the documents whose ids are in the columns a and b, and of a few others. Texts are not moved: a
+    filter of fixed size tells which of them to make sets of."""
+    wanted = _id_filter(ids)
 
     def each(batches):
-        hashes = worker_cache("shingles", _WordHashes)
         for b in batches:
             i = b.column(0).to_numpy(zero_copy_only=False)
             at = np.flatnonzero(_passes(wanted, i))
-            sets = [shingles(b.column(1)[k].as_py(), hashes).tobytes() for k in at.tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(i[at], pa.int64()), pa.array(sets, pa.binary())], ["i", "s"])
-
-    sets = stored(docs.where("i IS NOT NULL").mapInArrow(each, "i long, s binary"), "pair-sets")
-
-    def overlap(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            if len(s) > len(t):
-                s, t = t, s
-            at = np.searchsorted(t, s)
-            both = int(np.count_nonzero(t[np.minimum(at, len(t) - 1)] == s)) if len(s) else 0
-            out.append(both > 0 and 100 * both >= PERCENT * (len(s) + len(t) - both))
-        return pa.array(out, pa.bool_())
-
-    linked = F.arrow_udf(overlap, "boolean")
+            for k in range(0, len(at), ROWS):
+                some = at[k : k + ROWS]
+                sets = [s.tobytes() for s in sets_of(b.column(1).take(pa.array(some)), SHINGLE)]
+                yield pa.RecordBatch.from_arrays([pa.array(i[some], pa.int64()), pa.array(sets, pa.binary())], ["i", "s"])
+
+    return stored(docs.where("i IS NOT NULL").mapInArrow(each, "i long, s binary"), "pair-sets")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs whose whole sets are similar enough."""
+    pairs = cut_lineage(pairs)
+    if pairs.isEmpty():
+        return pairs
+    sets = _whole_sets(pairs, docs)
+    linked = F.arrow_udf(confirmed, "boolean")
     found = pairs.join(sets.select(F.col("i").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("i").alias("b"), F.col("s").alias("sb")), "b")
     return found.where(linked("sa", "sb")).select("a", "b").distinct()
 
 
-def _in_slice(a: np.ndarray, b: np.ndarray, first: bool) -> np.ndarray:
-    """Whether pairs belong to the slice that is looked at first, or to the rest."""
-    h = _mix(np.maximum(a, b).view(np.uint64) * _MULTIPLIERS[0] + np.minimum(a, b).view(np.uint64))
-    return (h % np.uint64(SLICES) == 0) == first
+def _tree_members(members: DataFrame, able: DataFrame, known: DataFrame) -> DataFrame:
+    """(key, id) of the classes of a block that are in a pair of different known groups which dual traversal of the block's trees leaves
+    over, and of which no earlier block holds both. Most members are in no such pair: what a class's blocks are is only looked up for the
+    others, and those are gone through once more."""
+    classes = _classes(able, "bits")
+    near = stored(_looked_through(members, classes, known, False), "near-members")
+    return near if near.isEmpty() else _looked_through(near, classes, known, True)
 
 
-def _tree_pairs(members: DataFrame, able: DataFrame, known: DataFrame, first: bool) -> DataFrame:
-    """Pairs (a, b) of different known groups that dual traversals of the blocks' trees leave over, of one slice of all pairs."""
-    classes = _classes(able, "bits")
+def _looked_through(members: DataFrame, classes: DataFrame, known: DataFrame, first_only: bool) -> DataFrame:
+    """(key, id) of members of pairs that the trees leave over; with ``first_only``, of pairs that no earlier block of ``members`` holds."""
     grouped = members.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_blocks = grouped.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
     parts = open_blocks.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("parts"))
     rows = grouped.join(parts, "key").join(classes.select("id", "n_shingles", "bits"), "id")
-    part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    rows = rows.withColumn("part", part)
+    if first_only:
+        rows = rows.join(members.groupBy("id").agg(F.sort_array(F.collect_list("key")).alias("keys")), "id")  # of the class's prefix at most
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     # a block larger than one tree: every pair of its parts is one task's work
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     rows = rows.withColumn("other", other).withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
@@ -430,23 +400,41 @@ def _tree_pairs(members: DataFrame, able: DataFrame, known: DataFrame, first: bo
                 continue
             new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
             whole, rest = t.slice(0, new[-1]), t.slice(new[-1]).combine_chunks().to_batches()[0]
-            yield from _block_pairs(whole, new, first)
+            yield from _block_members(whole.combine_chunks(), new)
         if rest is not None:
-            yield from _block_pairs(pa.Table.from_batches([rest]), np.array([0, rest.num_rows]), first)
+            yield from _block_members(pa.Table.from_batches([rest]), np.array([0, rest.num_rows]))
 
-    ordered = rows.select("key", "i", "j", "part", "id", F.col("component").alias("group"), "n_shingles", "bits").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return ordered.mapInArrow(join, "a long, b long").where("a != b").distinct()
+    ordered = rows.select("key", "i", "j", "part", "id", F.col("component").alias("group"), "n_shingles", "bits", *["keys"] * first_only).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return ordered.mapInArrow(join, "key long, id long").distinct()
 
 
-def _block_pairs(t: pa.Table, starts: np.ndarray, first: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs, of one slice, of the blocks in ``t`` that begin at ``starts`` (the last of these is the end)."""
+def _block_members(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(key, id) of the members of the pairs that the blocks in ``t`` leave over; blocks begin at ``starts`` (the last of these is the end)."""
     if not t.num_rows:
         return
-    ids, sizes, groups, part, i, j = (t.column(c).to_numpy() for c in ("id", "n_shingles", "group", "part", "i", "j"))
+    key, ids, sizes, groups, part, i, j = (t.column(c).to_numpy() for c in ("key", "id", "n_shingles", "group", "part", "i", "j"))
     own = _Bitmaps(t.column("bits"))
     bits = own.tables[BITMAP_WORDS] if BITMAP_WORDS in own.tables else np.stack([folded(x, BITMAP_WORDS) for x in own.tables[int(own.width.min())]])
+    first_only = "keys" in t.column_names
+    if first_only:
+        lists = t.column("keys").combine_chunks()
+        first_key, all_keys = lists.offsets.to_numpy(), lists.values.to_numpy()
+    near = np.zeros(t.num_rows, bool)
+
+    def look(p: np.ndarray, q: np.ndarray) -> None:
+        for at in range(0, len(p), PAIRS):
+            x, y = p[at : at + PAIRS], q[at : at + PAIRS]
+            new = ~(near[x] & near[y])
+            x, y = x[new], y[new]
+            if len(x):
+                fit = own.may_link(x, y, sizes)
+                x, y = x[fit], y[fit]
+            if len(x) and first_only:
+                fit = ~_shared_before(key[x], first_key, all_keys, x, y)
+                x, y = x[fit], y[fit]
+            near[x] = near[y] = True
+
     counts = np.diff(starts)
-    u, v = [], []
     for m in np.unique(counts).tolist():
         of = starts[:-1][counts == m]
         if m <= LEAF:  # trees of one leaf: all of a size together
@@ -455,8 +443,7 @@ def _block_pairs(t: pa.Table, starts: np.ndarray, first: bool) -> Iterator[pa.Re
                 some = of[at : at + max(1, 200_000 // max(1, len(x)))]
                 p, q = (some[:, None] + x).ravel(), (some[:, None] + y).ravel()
                 ok = (groups[p] != groups[q]) & ((i[p] == j[p]) | (part[p] != part[q])) & (100 * np.minimum(sizes[p], sizes[q]) >= PERCENT * np.maximum(sizes[p], sizes[q]))
-                u.append(p[ok])
-                v.append(q[ok])
+                look(p[ok], q[ok])
             continue
         for start in of.tolist():
             at = np.arange(start, start + m)
@@ -464,17 +451,52 @@ def _block_pairs(t: pa.Table, starts: np.ndarray, first: bool) -> Iterator[pa.Re
             if len(left) and len(right):
                 one = SignatureTree(sizes[left], bits[left], groups[left])
                 two = one if i[start] == j[start] else SignatureTree(sizes[right], bits[right], groups[right])
+                u, v, held = [], [], 0
                 for x, y in dual_traversal(one, two):
                     u.append(left[x])
                     v.append(right[y])
-    if u:
-        p, q = np.concatenate(u), np.concatenate(v)
-        of = _in_slice(ids[p], ids[q], first)
-        p, q = p[of], q[of]
-        of = own.may_link(p, q, sizes)
-        p, q = ids[p[of]], ids[q[of]]
-        pairs = np.unique(np.stack([np.maximum(p, q), np.minimum(p, q)], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                    held += len(x)
+                    if held > 4 * PAIRS:
+                        look(np.concatenate(u), np.concatenate(v))
+                        u, v, held = [], [], 0
+                if u:
+                    look(np.concatenate(u), np.concatenate(v))
+    at = np.flatnonzero(near)
+    if len(at):
+        yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(ids[at])], ["key", "id"])
+
+
+def _shared_before(key: np.ndarray, first: np.ndarray, keys: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """For pairs of rows met in the block ``key``, whether both have a smaller key too. Row r's keys are keys[first[r]:first[r + 1]]."""
+
+    def spread(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = first[rows + 1] - first[rows]
+        pair = np.repeat(np.arange(len(rows)), n)
+        at = np.repeat(first[rows], n) + np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
+        smaller = keys[at] < key[pair]
+        return pair[smaller], keys[at][smaller]
+
+    (pair_p, key_p), (pair_q, key_q) = spread(p), spread(q)
+    out = np.zeros(len(p), bool)
+    if len(key_p) and len(key_q):
+        names, codes = np.unique(np.concatenate([key_p, key_q]), return_inverse=True)
+        here = pair_p * len(names) + codes[: len(key_p)]
+        out[pair_p[np.isin(here, pair_q * len(names) + codes[len(key_p) :])]] = True
+    return out
+
+
+def _tree_links(members: DataFrame, able: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) that join different known groups; all that trees leave over is compared on whole sets."""
+    near = stored(_tree_members(members, able, known), "near")
+    if near.isEmpty():
+        return known.sparkSession.createDataFrame([], "a long, b long")
+    sets = _whole_sets(near.select(F.col("id").alias("a"), F.col("id").alias("b")), docs)
+    sizes = able.groupBy("doc_id").agg(F.max("n_shingles").alias("n")).withColumnRenamed("doc_id", "id")
+    whole = near.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")).join(sizes, "id")
+    dealt = in_parts(whole, 8 * F.col("n"), PART).select("key", "i", "j", "part", "id", "component")
+    met = dealt.join(sets.select(F.col("i").alias("id"), "s"), "id").select("key", "i", "j", "part", "id", "component", "s")
+    sorted_rows = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return sorted_rows.mapInArrow(by_block(joining_links, "a long, b long"), "a long, b long").distinct()
 
 
 def join_groups(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -500,9 +522,8 @@ def join_groups(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     wide = rooted.groupBy("key").agg(F.count("*").alias("m"), F.max("salt").alias("s")).where("m > IF(s > 0, 2, 1)").select("key")
     in_wide = rooted.join(wide, "key")
     members = stored(in_wide.select("key", "id").unionByName(in_wide.select("key", F.col("root").alias("id"))).distinct(), "members")
-    for first in (True, False):
-        more = _verified(_tree_pairs(members, able, known, first), docs)
-        known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    more = _tree_links(members, able, known, docs)
+    known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     named = able.groupBy("set_key").agg(F.min("doc_id").alias("node"))
     placed = named.join(known, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))

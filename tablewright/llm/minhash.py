@@ -16,26 +16,24 @@ less than 1e-6. Links are always confirmed on the whole sets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm import linking
 from tablewright.llm.base import cut_lineage, stored
-from tablewright.llm.bytewords import WORD_BYTES, column_bytes, mix, word_hashes
+from tablewright.llm.bytewords import mix
 from tablewright.llm.jaccard import _id_filter, _passes, components
+from tablewright.llm.linking import PERCENT
 
 SHINGLE = 4
-PERCENT = 80  # 100 * intersection >= PERCENT * union
 BANDS, ROWS = 36, 5
 COORDINATES = BANDS * ROWS
 #: Coordinates whose lowest bytes are equal, at least, in signatures that are looked at further: 5.5 deviations below what 0.8 expects.
 ALIKE = 114
 STEP = np.uint32(0x9E3779B1)  # one step round the circle
-TOGETHER = 4 << 20  # bytes of text whose words are hashed at once
 STRETCH = 1 << 15  # shingles that go through the second permutation at once
 PART = 16 << 20  # bytes of the sets of a bucket that one task holds; larger buckets are pairs of parts
 
@@ -44,31 +42,7 @@ _SEED = np.uint64(0x51AFD7ED558CCD)
 
 
 def sets_of(texts: pa.Array) -> list[np.ndarray]:
-    """The sorted distinct hashes of every text's shingles. A text of fewer words has one, of its whole sequence; without words, none."""
-    data, at = column_bytes(texts)
-    out: list[np.ndarray] = []
-    begin, n = 0, len(texts)
-    while begin < n:  # some texts at a time
-        end = max(begin + 1, int(np.searchsorted(at, at[begin] + TOGETHER, side="right")) - 1)
-        h, counts = word_hashes(data[at[begin] : at[end]], at[begin : end + 1] - at[begin], WORD_BYTES)
-        ends = np.cumsum(counts)
-        whole = max(0, len(h) - SHINGLE + 1)
-        full = np.full(whole, SHINGLE, np.uint64)
-        for k in range(SHINGLE):
-            full = mix(full + h[k : k + whole] * _MULTIPLIERS[k])
-        for c, e in zip(counts.tolist(), ends.tolist()):
-            if c >= SHINGLE:
-                s = np.sort(full[e - c : e - SHINGLE + 1])
-                out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
-            elif c:
-                x = np.array([c], np.uint64)
-                for k in range(c):
-                    x = mix(x + h[e - c + k : e - c + k + 1] * _MULTIPLIERS[k])
-                out.append(x)
-            else:
-                out.append(np.empty(0, np.uint64))
-        begin = end
-    return out
+    return linking.sets_of(texts, SHINGLE)
 
 
 def _second_permutation(x: np.ndarray, held: np.ndarray) -> None:
@@ -169,64 +143,17 @@ def _whole_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
     return stored(docs.where("i IS NOT NULL").mapInArrow(each, "i long, s binary"), "minhash-sets")
 
 
-def _linked(both, na, nb):
-    return (both > 0) & (100 * both >= PERCENT * (na + nb - both))
-
-
-def _confirmed(a: pa.Array, b: pa.Array) -> pa.Array:
-    out = []
-    for x, y in zip(a, b, strict=True):
-        s, t = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-        if len(s) > len(t):
-            s, t = t, s
-        both = int(np.count_nonzero(t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s)) if len(s) else 0
-        out.append(bool(_linked(both, len(s), len(t))))
-    return pa.array(out, pa.bool_())
-
-
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose whole sets are similar enough."""
     pairs = cut_lineage(pairs)
     if pairs.isEmpty():
         return pairs
     sets = _whole_sets(pairs, docs)
-    linked = F.arrow_udf(_confirmed, "boolean")
+    linked = F.arrow_udf(linking.confirmed, "boolean")
     found = pairs.join(sets.select(F.col("i").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("i").alias("b"), F.col("s").alias("sb")), "b")
     return found.where(linked("sa", "sb")).select("a", "b").distinct()
 
 
-def _by_block(work, schema: str):
-    """A function of the rows of one (key, i, j) each, for rows that come sorted by them."""
-    names = [f.split()[0] for f in schema.split(", ")]
-
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        rest: list[pa.RecordBatch] = []  # the block that may go on in the next batch
-        last = None
-
-        def out(rows: pa.Table):
-            found = work(rows)
-            if found is not None and len(found[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names)
-
-        for b in batches:
-            if not b.num_rows:
-                continue
-            key, i, j = (b.column(c).to_numpy(zero_copy_only=False) for c in range(3))
-            new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            cuts = [0, *new.tolist(), b.num_rows]
-            for x, y in zip(cuts[:-1], cuts[1:]):
-                at = (key[x], i[x], j[x])
-                if rest and at != last:
-                    yield from out(pa.Table.from_batches(rest).combine_chunks())
-                    rest = []
-                rest.append(b.slice(x, y - x))
-                last = at
-        if rest:
-            yield from out(pa.Table.from_batches(rest).combine_chunks())
-
-    return run
-
-
 def _near_another_group(t: pa.Table) -> tuple | None:
     """(key, id) of the rows whose signature is near one of another group. Rows of part i meet those of part j."""
     n, group, part = (t.column(c).to_numpy() for c in ("n_shingles", "component", "part"))
@@ -251,44 +178,8 @@ def _near_another_group(t: pa.Table) -> tuple | None:
     return t.column("key").to_numpy()[found], t.column("id").to_numpy()[found]
 
 
-def _joining_links(t: pa.Table) -> tuple | None:
-    """(a, b): links between rows of different groups by their whole sets, as many as join the groups that links reach, no more."""
-    ids, group, part = t.column("id").to_numpy(), t.column("component").to_numpy().copy(), t.column("part").to_numpy()
-    if (group == group[0]).all():
-        return None
-    i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("s")]
-    n = np.array([len(s) for s in sets], np.int64)
-    starts = np.concatenate([[0], np.cumsum(n)[:-1]])
-    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    names, counts = np.unique(group, return_counts=True)
-    mark = np.zeros(int(codes.max()) + 1, np.int64)
-    a, b = [], []
-    for at in np.flatnonzero(group != names[counts.argmax()]).tolist():
-        ok = (group != group[at]) & (100 * np.minimum(n, n[at]) >= PERCENT * np.maximum(n, n[at]))
-        if i != j:
-            ok &= part != part[at]
-        if not ok.any():
-            continue
-        own = codes[starts[at] : starts[at] + n[at]]
-        mark[own] = 1
-        both = np.add.reduceat(mark[codes], starts)
-        mark[own] = 0
-        for k in np.flatnonzero(ok & _linked(both, n, n[at])).tolist():
-            if group[k] != group[at]:
-                a.append(max(ids[k], ids[at]))
-                b.append(min(ids[k], ids[at]))
-                group[group == group[k]] = group[at]
-    return a, b
-
-
 def _in_parts(rows: DataFrame, size) -> DataFrame:
-    """Rows (key, id, ...) with i, j, part: a bucket whose rows have over PART bytes is cut into parts, and every pair of parts is one
-    task's work."""
-    parts = rows.groupBy("key").agg(F.greatest(F.ceil(F.sum(size) / PART), F.lit(1)).cast("int").alias("parts"))
-    cut = rows.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return cut.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
+    return linking.in_parts(rows, size, PART)
 
 
 def _second_look(members: DataFrame, classes: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
@@ -298,7 +189,7 @@ def _second_look(members: DataFrame, classes: DataFrame, known: DataFrame, docs:
     rows = grouped.join(undecided, "key").join(classes.select("id", "n_shingles", "sign"), "id")
     dealt = _in_parts(rows, F.lit(COORDINATES)).select("key", "i", "j", "part", "id", "component", "n_shingles", "sign")
     sorted_rows = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    near = stored(sorted_rows.mapInArrow(_by_block(_near_another_group, "key long, id long"), "key long, id long").distinct(), "near")
+    near = stored(sorted_rows.mapInArrow(linking.by_block(_near_another_group, "key long, id long"), "key long, id long").distinct(), "near")
     if near.isEmpty():
         return known.sparkSession.createDataFrame([], "a long, b long")
     sets = _whole_sets(near.select(F.col("id").alias("a"), F.col("id").alias("b")), docs)
@@ -307,7 +198,7 @@ def _second_look(members: DataFrame, classes: DataFrame, known: DataFrame, docs:
     dealt = _in_parts(whole, 8 * F.col("n_shingles")).select("key", "i", "j", "part", "id", "component")
     met = dealt.join(sets.select(F.col("i").alias("id"), "s"), "id").select("key", "i", "j", "part", "id", "component", "s")
     sorted_rows = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return sorted_rows.mapInArrow(_by_block(_joining_links, "a long, b long"), "a long, b long").distinct()
+    return sorted_rows.mapInArrow(linking.by_block(linking.joining_links, "a long, b long"), "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

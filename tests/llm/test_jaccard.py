@@ -4,9 +4,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tablewright.llm import jaccard
+from tablewright.llm import jaccard, linking
 from tablewright.llm.queries import QUERIES
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -110,6 +111,22 @@ def test_traversal_finds_every_pair():
             assert (a, b) in found
 
 
+def test_rows_of_a_block_grow_with_its_members():
+    """Near copies, each in a group of its own, all of whose pairs the bounds let through: a block gives its members once, and the exact step
+    one link less than it has members."""
+    draw = np.random.default_rng(3)
+    base = draw.integers(0, 2**63, 300).astype(np.uint64)
+    for m in (100, 400):
+        sets = [np.unique(np.concatenate([base[:285], draw.integers(0, 2**63, 15).astype(np.uint64)])) for _ in range(m)]
+        zero, ids = np.zeros(m, np.int64), np.arange(m)
+        table = pa.table({"key": zero + 9, "i": zero, "j": zero, "part": zero, "id": ids, "group": ids, "n_shingles": [len(s) for s in sets], "bits": pa.array([jaccard.bitmap(s).tobytes() for s in sets], pa.binary())})
+        assert sum(b.num_rows for b in jaccard._block_members(table, np.array([0, m]))) == m
+        keyed = table.append_column("keys", pa.array([[5, 9]] * m))
+        assert not sum(b.num_rows for b in jaccard._block_members(keyed, np.array([0, m])))  # the block of key 5 holds them all
+        whole = table.append_column("component", pa.array(ids)).append_column("s", pa.array([s.tobytes() for s in sets], pa.binary()))
+        assert len(linking.joining_links(whole)[0]) == m - 1
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     want = brute([(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()])

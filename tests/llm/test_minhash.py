@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tablewright.llm import minhash
+from tablewright.llm import linking, minhash
 from tablewright.llm.queries import QUERIES
 from tests.llm import test_jaccard
 
@@ -119,7 +119,7 @@ def test_second_look_gives_linear_rows():
         sets = [np.sort(np.concatenate([base[:380], draw.integers(0, 2**63, 20).astype(np.uint64)])) for _ in range(m)]
         ids = np.arange(m)
         table = pa.table({"key": np.zeros(m, int), "i": np.zeros(m, int), "j": np.zeros(m, int), "part": np.zeros(m, int), "id": ids, "component": ids, "s": pa.array([s.tobytes() for s in sets], pa.binary())})
-        rows[m] = len(minhash._joining_links(table)[0])
+        rows[m] = len(linking.joining_links(table)[0])
     assert rows == {40: 39, 160: 159}
 
 
