@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 from collections.abc import Callable, Iterable
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.functions.storage import cut_lineage, new_path
 
-__all__ = ["WORDS", "cut_lineage", "new_path", "stored", "struct_array", "texts", "worker_cache"]
+__all__ = ["WORDS", "cut_lineage", "new_path", "no_cache", "stored", "struct_array", "texts", "worker_cache"]
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -30,6 +31,18 @@ def worker_cache(key, make: Callable):
     return _held[key]
 
 
+def no_cache() -> None:
+    """Frees what this Python worker keeps of an operator that it ran before, and gives back what its allocators hold unused: a worker
+    serves tasks of all operators, and what one leaves behind counts beside the next one's."""
+    if _held:
+        _held.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def texts(column: pa.Array) -> Iterable[str | None]:
     """One text at a time, so that a batch of long texts is not held twice."""
     return (x.as_py() for x in column)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.base import cut_lineage, stored
+from tablewright.llm.base import cut_lineage, no_cache, stored
 from tablewright.llm.bytewords import mix
 from tablewright.llm.linking import PERCENT, by_block, confirmed, in_parts, joining_links, sets_of
 
@@ -36,7 +36,7 @@ PART = 16 << 20  # bytes of the sets of a block that one task holds; larger bloc
 SAMPLED, COMMON_COUNT, MOST_COMMON = 16, 12, 500_000
 FILTER_WORDS = 1 << 18  # of 64 bits; what passes this filter of ids is looked at exactly afterwards
 
-ROWS, PAIRS = 1000, 10_000  # texts that are made sets of together, and pairs whose bitmaps are compared together
+ROWS, PAIRS = 500, 10_000  # texts that are made sets of together, and pairs whose bitmaps are compared together
 
 
 def prefix_size(n: int) -> int:
@@ -163,6 +163,7 @@ def _common(docs: DataFrame) -> np.ndarray:
     """Hashes of very common shingles, sorted; at most MOST_COMMON."""
 
     def each(batches):
+        no_cache()
         for b in batches:
             for at in range(0, b.num_rows, ROWS):
                 sets = sets_of(b.column(0).slice(at, ROWS), SHINGLE)
@@ -179,6 +180,7 @@ def _sets(docs: DataFrame, common: np.ndarray) -> DataFrame:
     the prefix are the shingles that the set is entered under. The rest of a set is not kept."""
 
     def each(batches):
+        no_cache()
         for b in batches:
             for at in range(0, b.num_rows, ROWS):
                 rows = []
@@ -346,6 +348,7 @@ def _whole_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
     wanted = _id_filter(ids)
 
     def each(batches):
+        no_cache()
         for b in batches:
             i = b.column(0).to_numpy(zero_copy_only=False)
             at = np.flatnonzero(_passes(wanted, i))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.bytewords import WORD_BYTES, column_bytes, mix, word_hashes
 
 PERCENT = 80  # 100 * intersection >= PERCENT * union
-TOGETHER = 4 << 20  # bytes of text whose words are hashed at once
+TOGETHER = 2 << 20  # bytes of text whose words are hashed at once
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
