@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 from tablewright.llm.base import texts, worker_cache
 
 SPACE = "▁"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000  # of a generation; there are two
+FILTER_BITS = 18  # of a table that tells most substrings that are no piece, before the keys are probed
+PAIR_BITS = 20  # of the table of neighbouring pieces
 CELLS = 500_000  # substrings looked at together
-TOGETHER = 1_500_000  # characters encoded at a time
+TOGETHER = 1_000_000  # characters encoded at a time
 LONG_WORD = 512  # characters from which a word of a merge model is merged by itself
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LENGTH = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -56,11 +58,13 @@ class PieceModel:
         self.keys, self.scores, self.ids = hashes[order], scores[order], np.array(plain, np.int64)[order]
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces have one hash")
+        self.maybe = np.zeros(1 << FILTER_BITS, bool)
+        self.maybe[self.keys >> np.uint64(64 - FILTER_BITS)] = True
         breaks = "" if any("\n" in p for p in pieces) else "\n"  # no piece holds a line break: words end there too
         self.words = re.compile((r"\n|" if breaks else "") + rf" *[^ {breaks}]+| +").findall
-        self.surface = [b"" if model.is_control(i) else bytes([int(model.id_to_piece(i)[1:-1], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace(SPACE, " ").encode() for i in range(n)]
-        self.surface[self.unknown] = " ⁇ ".encode()
+        self.surface = surfaces(model)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the generation before; words met again come back from it
         self.inside = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}  # two characters that no piece holds side by side are a cut
         self.id_at = np.append(self.ids, -1).astype(np.int32)
         self.merges = merges
@@ -86,6 +90,7 @@ class PieceModel:
                     self.made[k] = False
                 else:
                     self.rank[k], self.left[k], self.right[k] = order[k], place[parts[0]], place[parts[1]]
+        self.pairs, self.pair_right = np.full(1 << PAIR_BITS, np.iinfo(np.uint64).max, np.uint64), np.zeros(1 << PAIR_BITS, bool)
         self.length = np.array([len(p) for p in pieces] + [1], np.int64)
         raw = self.keys - self.length[:-1].astype(np.uint64) * _LENGTH
         self.raw = np.append(raw, np.uint64(0))
@@ -124,15 +129,27 @@ class PieceModel:
         return (parts if len(whole) == 1 else None) if last else whole
 
     def _neighbours(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether merging the texts of pieces ``a`` and ``b`` side by side leaves the cut between them."""
+        """Whether merging the texts of pieces ``a`` and ``b`` side by side leaves the cut between them. Pairs met before are looked up in
+        a table of fixed size, one pair a slot."""
+        pair = a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
+        slot = (pair * _BASE) >> np.uint64(64 - PAIR_BITS)
+        right = self.pair_right[slot]
+        new = np.flatnonzero(self.pairs[slot] != pair)
+        if len(new):
+            right[new] = self._uncrossed(a[new], b[new])
+            slot = slot[new]
+            self.pairs[slot], self.pair_right[slot] = pair[new], right[new]
+        return right
+
+    def _uncrossed(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         right, live = np.ones(len(a), bool), np.flatnonzero((a < len(self.keys)) & (b < len(self.keys)))
         a, b = a[live], b[live]
         limit = np.full(len(a), np.iinfo(np.int64).max)
         while len(live):
             n = self.length[a] + self.length[b]
             key = self.raw[a] * self.power[np.minimum(self.length[b], self.longest + 1)] + self.raw[b] + n.astype(np.uint64) * _LENGTH
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            crossed = (n <= self.longest) & (self.keys[at] == key) & (self.merge_rank[at] < limit)
+            hit, at = self._probe(key)
+            crossed = (n <= self.longest) & hit & (self.merge_rank[at] < limit)
             right[live[crossed]] = False
             ra, rb = self.rank[a], self.rank[b]
             go = ~crossed & ((ra >= 0) | (rb >= 0))
@@ -142,6 +159,16 @@ class PieceModel:
             a, b = np.where(first, self.right[a], a), np.where(first, b, self.left[b])
         return right
 
+    def _probe(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(hit, place) of hashes among the sorted keys."""
+        hit = self.maybe[keys >> np.uint64(64 - FILTER_BITS)]
+        some = keys[hit]
+        at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+        place = np.zeros(keys.shape, np.int64)
+        place[hit] = at
+        hit[hit] = self.keys[at] == some
+        return hit, place
+
     @staticmethod
     def _hash_of(piece: str) -> np.uint64:
         h = np.uint64(0)
@@ -162,40 +189,43 @@ class PieceModel:
         for m in range(1, most + 1):
             power[m] = power[m - 1] * _BASE
         none = len(self.keys)
-        found, score = [None], [None]
+        found, score, fits = [None], [None], [None]
         for m in range(1, most + 1):
             key = h[:, m:] - h[:, :-m] * power[m] + np.uint64(m) * _LENGTH
-            at = np.minimum(np.searchsorted(self.keys, key.ravel()), none - 1).reshape(key.shape)
-            hit = self.keys[at] == key
+            hit, at = self._probe(key)
             if self.merges:
                 hit &= self.made[at]
-            found.append(np.where(hit, at, none))
-            score.append(np.where(hit, self.scores[at], self.unknown_score if m == 1 else -np.inf))
+                fits.append(hit if m > 1 else np.ones_like(hit))
+            else:
+                score.append(np.where(hit, self.scores[at], self.unknown_score if m == 1 else -np.inf))
+            found.append(np.where(hit, at, none).astype(np.int32))
         back = np.zeros((k, n + 1), np.int16)
         best = np.full((k, n + 1), -np.inf)
         best[:, 0] = 0
-        tail = np.full((k, n + 1), none)  # the last piece of each prefix
+        tail = np.full((k, n + 1), none, np.int32)  # the last piece of each prefix
         for j in range(1, n + 1):
             lengths = range(min(most, j), 0, -1)  # the longest first: it wins among equals
-            options = np.stack([(0.0 if self.merges else best[:, j - m]) + score[m][:, j - m] for m in lengths], axis=1)
             if self.merges:
-                options = np.where(options > -np.inf, 0.0, -np.inf)
+                options = np.stack([fits[m][:, j - m] for m in lengths], axis=1)
                 if j > 1:
-                    row, col = np.nonzero(options == 0)
+                    row, col = np.nonzero(options)
                     start = j - (lengths[0] - col)
                     part = start > 0
                     row, col, start = row[part], col[part], start[part]
-                    last = np.empty(len(row), np.int64)
+                    last = np.empty(len(row), np.int32)
                     for m in lengths:
-                        of = start == j - m
+                        of = np.flatnonzero(start == j - m)
                         last[of] = found[m][row[of], j - m]
                     wrong = ~self._neighbours(tail[row, start], last)
-                    options[row[wrong], col[wrong]] = -np.inf
+                    options[row[wrong], col[wrong]] = False
+            else:
+                options = np.stack([best[:, j - m] + score[m][:, j - m] for m in lengths], axis=1)
             choice = options.argmax(axis=1)
-            best[:, j] = options[np.arange(k), choice]
+            if not self.merges:
+                best[:, j] = options[np.arange(k), choice]
             back[:, j] = lengths[0] - choice
-            for m in lengths:
-                of = back[:, j] == m
+            for m in np.unique(back[:, j]).tolist():
+                of = np.flatnonzero(back[:, j] == m)
                 tail[of, j] = found[m][of, j - m]
         out, count, at = np.full((k, n), -1, np.int32), np.zeros(k, np.int64), np.full(k, n)
         rows = np.arange(k)
@@ -247,23 +277,36 @@ class PieceModel:
 
     def encode(self, some: list[str | None]) -> list[bytes]:
         """The ids of several texts, each as little-endian unsigned 32-bit integers; none for null and empty texts."""
-        known = self.known
         split = [self.words(" " + t) if t else [] for t in some]
-        held = [list(map(known.get, words)) for words in split]
-        new = {w for words, found in zip(split, held, strict=True) if None in found for w, ids in zip(words, found, strict=True) if ids is None}
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = set().union(*split).difference(known)
         if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
+            again = new.intersection(older)
+            known.update([(w, older[w]) for w in again])
+            new -= again
             cut = {w: (w[:-1], w[-1]) for w in new if len(w) > 1 and w[-1] in ".,;:!?" and w[-2:] not in self.inside and w[-2] != " "}
             self._learn(list({p for w in new for p in cut.get(w, (w,)) if p not in known}))
             known.update((w, known[a] + known[b]) for w, (a, b) in cut.items())
-            held = [[known[w] if ids is None else ids for w, ids in zip(words, found, strict=True)] if None in found else found for words, found in zip(split, held, strict=True)]
-        return [b"".join(x) for x in held]
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def decode(self, ids: bytes) -> str:
-        """The text of ids. The space that encoding put in front is taken off; a SPACE sign in the text comes back as a space."""
-        data = b"".join([self.surface[i] for i in np.frombuffer(ids, "<u4").tolist()])
-        return data.removeprefix(b" ").decode("utf-8", "replace")
+        return decoded(self.surface, ids)
+
+
+def surfaces(model) -> list[bytes]:
+    """What each id of a library's model stands for."""
+    n = model.get_piece_size()
+    out = [b"" if model.is_control(i) else bytes([int(model.id_to_piece(i)[1:-1], 16)]) if model.is_byte(i) else model.id_to_piece(i).replace(SPACE, " ").encode() for i in range(n)]
+    out[model.unk_id()] = " ⁇ ".encode()
+    return out
+
+
+def decoded(surface: list[bytes], ids: bytes) -> str:
+    """The text of ids. The space that encoding put in front is taken off; a SPACE sign in the text comes back as a space."""
+    data = b"".join([surface[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    return data.removeprefix(b" ").decode("utf-8", "replace")
 
 
 def piece_model(path: str, merges: bool = True) -> PieceModel:
@@ -300,11 +343,17 @@ def with_ids(df: DataFrame, model: str, text: str = "text", name: str = "ids", m
     return df.withColumn(name, F.arrow_udf(encode, "binary").asNondeterministic()(F.col(text)))  # so that it runs once, however often it is read
 
 
+def _surfaces_of(path: str) -> list[bytes]:
+    import sentencepiece
+
+    return surfaces(sentencepiece.SentencePieceProcessor(model_file=path))
+
+
 def with_text(df: DataFrame, model: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """``df`` with the text of its ids; null ids give null."""
 
     def decode(column: pa.Array) -> pa.Array:
-        m = piece_model(model)
-        return pa.array([None if x is None else m.decode(x) for x in texts(column)], pa.string())
+        surface = worker_cache(("surfaces", model), lambda: _surfaces_of(model))
+        return pa.array([None if x is None else decoded(surface, x) for x in texts(column)], pa.string())
 
     return df.withColumn(name, F.arrow_udf(decode, "string").asNondeterministic()(F.col(ids)))
