@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from tablewright.operators.metrics import classification_metrics, evaluate, is_classification, metric_frame, regression_metrics
+from tablewright.operators.metrics import classification_metrics, detect_task, evaluate, is_classification, metric_frame, regression_metrics
 from tablewright.operators.models import make_learner
 from tablewright.operators.selection import compare_models, cross_validate, draw, grid, iteration_summary, suggest_improvements, tune
 from tablewright.operators.split import assign_folds
@@ -147,3 +147,9 @@ def test_single_class_fold(spark):
     df = df.withColumn("fold", F.col("fold").cast("int"))
     got = cross_validate(make_learner("logistic_regression"), df, ["accuracy", "f1"])
     assert got.count() == 2
+
+
+def test_task_detection_counts_all_values(spark):
+    df = spark.createDataFrame([(float(a),) for a in [*range(37), 5]] + [(None,)], "label double")
+    got = detect_task(df).first()
+    assert (got.distinct, got.integral, got.is_classification) == (37, True, False)
