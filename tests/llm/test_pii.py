@@ -83,3 +83,17 @@ def test_native_and_query(spark, capsys):
     for r in df.collect():
         listed = ",".join(f"{k}:{a}:{b}" for a, _, b, k in brute(texts[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest() and set(filter(None, listed.split(","))) <= set(r.spans.split(","))
+
+
+def test_trees_learn_from_every_text(spark):
+    """Each of 4,100 texts has one candidate; long texts have some too."""
+    texts = [f"call +1 202 555 {i:04d} now" if i % 2 else f"order {i:04d}-1234567 end" for i in range(4100)]
+    texts += [f"{'x ' * 40_000} call +1 303 555 {i:04d}" for i in range(3)]
+    seen = []
+    kept = pii.cut_lineage
+    pii.cut_lineage = lambda df: seen.append(kept(df)) or seen[-1]
+    try:
+        pii.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    finally:
+        pii.cut_lineage = kept
+    assert seen[0].select("_h").distinct().count() == len(texts)
