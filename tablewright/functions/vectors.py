@@ -1,13 +1,27 @@
-"""Feature vectors as they reach Python tasks: Arrow structs of type, size, indices and values."""
+"""Feature vectors as they reach Python tasks: Arrow structs of type, size, indices and values, or lists of all entries if there are few."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
+NARROW = 64  # entries of a vector that goes as a list: Spark writes it to Arrow several times faster than the struct
 
-def matrix(column: pa.StructArray, wanted: np.ndarray) -> np.ndarray:
+
+def entries(column: str, size: int) -> Column:
+    """The column for a Python task that reads it with ``matrix``."""
+    return vector_to_array(column) if size <= NARROW else F.col(column)
+
+
+def matrix(column: pa.StructArray | pa.ListArray, wanted: np.ndarray) -> np.ndarray:
     """The wanted entries of every vector, one row a vector. Sparse vectors are never made dense beyond those."""
+    if pa.types.is_list(column.type):
+        if not len(column) or not len(wanted):
+            return np.zeros((len(column), len(wanted)))
+        return column.values.to_numpy(zero_copy_only=False)[column.offsets.to_numpy()[:-1, None] + wanted[None, :]]
     kind, _, indices, values = column.flatten()
     n, out = len(column), np.zeros((len(column), len(wanted)))
     if not n or not len(wanted):

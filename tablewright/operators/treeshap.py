@@ -6,7 +6,8 @@ passes. A walk down the tree carries the product for a batch of rows at the poin
 way back the sums of the leaves below give every edge its part. A node is visited once, however many leaves lie below.
 
 Trees are rows of a table, packed on the cluster from the stored nodes. They reach the tasks by the same shuffle as the rows to be
-explained, ahead of them; the driver sees none of them. Only the columns that the trees cut by are looked at.
+explained, ahead of them; the driver sees none of them. Trees of few nodes together go to the tasks as constants, and no row is shuffled.
+Only the columns that the trees cut by are looked at.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.storage import new_path
-from tablewright.functions.vectors import matrix
+from tablewright.functions.vectors import entries, matrix
 from tablewright.operators.boosting import BoostedTrees
 
 MAX_NODES = 2_000_000  # of the trees that a task holds, some 200 MB; more trees take more passes
+CONSTANT_NODES = 20_000  # trees of so many nodes together, some 2 MB, are constants
+KNOWN_SHARES = 1 << 20  # numbers that a task remembers of rows it has explained
 ROWS = 512  # that walk a tree together
 _NODE = "struct<node: int, feature: int, cut: double, categories: array<double>, left: int, right: int, cover: double, value: array<double>>"
 
@@ -96,12 +99,14 @@ def _nodes_of_spark(trained, spark: SparkSession) -> tuple[DataFrame, int]:
     of_classes = trained.learner.task == "classification"
     value = F.transform(stats, lambda v: v / F.aggregate(stats, F.lit(0.0), lambda a, b: a + b) / n) if of_classes else F.array(F.col("prediction") / n)
     split, inner = F.col("split"), F.col("leftChild") >= 0
+    # numbers of rows: by weight, where a row stands for several
+    cover = F.aggregate(stats, F.lit(0.0), lambda a, b: a + b) if of_classes else F.get(stats, F.lit(0))
     categorical = inner & (split["numCategories"] >= 0)
     node = F.struct(
         F.col("id").alias("node"), F.when(inner, split["featureIndex"]).otherwise(-1).alias("feature"),
         F.when(inner & ~categorical, F.get(split["leftCategoriesOrThreshold"], F.lit(0))).otherwise(0.0).alias("cut"),
         F.when(categorical, split["leftCategoriesOrThreshold"]).alias("categories"),
-        F.col("leftChild").alias("left"), F.col("rightChild").alias("right"), F.col("rawCount").cast("double").alias("cover"), value.alias("value"),
+        F.col("leftChild").alias("left"), F.col("rightChild").alias("right"), cover.alias("cover"), value.alias("value"),
     )
     nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
     return nodes.select(F.col("treeID").alias("tree"), F.lit(-1).alias("of_class"), node.cast(_NODE).alias("node")), trained.model.numClasses if of_classes else 1
@@ -130,13 +135,28 @@ def _unpacked(of_class: int, nodes: pa.Scalar) -> PackedTree:
     return PackedTree(of_class, plain["feature"], plain["cut"], categories, plain["left"], plain["right"], plain["cover"], value)
 
 
-def shares(trees: Sequence[PackedTree], x: np.ndarray, column: dict[int, int], classes: int) -> np.ndarray:
-    """Sums over the trees for every row; equal rows are explained once."""
+def shares(trees: Sequence[PackedTree], x: np.ndarray, column: dict[int, int], classes: int, known: dict[bytes, np.ndarray] | None = None) -> np.ndarray:
+    """Sums over the trees for every row; equal rows are explained once, and not again if they are ``known`` from other rows of the task."""
     different, back = np.unique(x, axis=0, return_inverse=True)
     phi = np.zeros((len(different), classes, x.shape[1]))
-    for at in range(0, len(different), ROWS):
+    known = {} if known is None else known
+    keys = [r.tobytes() for r in different]
+    new = []
+    for i, k in enumerate(keys):
+        if k in known:
+            phi[i] = known[k]
+        else:
+            new.append(i)
+    for at in range(0, len(new), ROWS):
+        some = new[at : at + ROWS]
+        part = np.zeros((len(some), classes, x.shape[1]))
         for t in trees:
-            t.add_shares(different[at : at + ROWS], column, phi[at : at + ROWS])
+            t.add_shares(different[some], column, part)
+        phi[some] = part
+    if (len(known) + len(new)) * classes * x.shape[1] > KNOWN_SHARES:
+        known.clear()
+    if len(new) * classes * x.shape[1] <= KNOWN_SHARES:
+        known.update((keys[i], phi[i].copy()) for i in new)
     return phi[back.ravel()]
 
 
@@ -174,7 +194,11 @@ def tree_contributions(trained, df: DataFrame, keep: Sequence[str]) -> tuple[Dat
         groups[-1].append(tree)
         held += n
     names = [f"__k{i}" for i in range(len(keep))]
-    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keep, names, strict=True)], F.col("features").alias("__x"), F.array().cast("array<double>").alias("__phi"))
+    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keep, names, strict=True)], entries("features", trained.n_features).alias("__x"), F.array().cast("array<double>").alias("__phi"))
+    if held <= CONSTANT_NODES and len(groups) == 1:
+        packed = trees.orderBy("tree").select("of_class", "nodes").toArrow().to_batches()
+        rows = _add_constant(rows, [_unpacked(c.as_py(), n) for b in packed for c, n in zip(b.column(0), b.column(1), strict=True)], used, classes)
+        groups = []
     for group in groups:
         rows = _add(rows, trees.where(F.col("tree").isin(group)), used, classes)
         if group is not groups[-1]:  # the next pass starts from stored sums, so a task holds one group of trees
@@ -195,6 +219,24 @@ def tree_contributions(trained, df: DataFrame, keep: Sequence[str]) -> tuple[Dat
     return out, base, classes
 
 
+def _list_of(phi: np.ndarray, size: int) -> pa.ListArray:
+    ends = np.arange(0, len(phi) * size + 1, size, dtype=np.int32) if size else np.zeros(len(phi) + 1, np.int32)
+    return pa.ListArray.from_arrays(ends, np.ascontiguousarray(phi).ravel())
+
+
+def _add_constant(rows: DataFrame, trees: list[PackedTree], used: list[int], classes: int) -> DataFrame:
+    """``_add`` for few nodes: rows are explained where they are."""
+    column, wanted, size = {f: i for i, f in enumerate(used)}, np.array(used, np.int64), classes * len(used)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, np.ndarray] = {}
+        for b in batches:
+            phi = shares(trees, matrix(b.column("__x"), wanted), column, classes, known).reshape(b.num_rows, size)
+            yield pa.RecordBatch.from_arrays([_list_of(phi, size) if c == "__phi" else b.column(c) for c in b.schema.names], b.schema.names)
+
+    return rows.mapInArrow(add, rows.schema)
+
+
 def _add(rows: DataFrame, trees: DataFrame, used: list[int], classes: int) -> DataFrame:
     """The rows with the trees' shares added to ``__phi``: classes after one another, each with the used features."""
     spark = rows.sparkSession
@@ -208,6 +250,7 @@ def _add(rows: DataFrame, trees: DataFrame, used: list[int], classes: int) -> Da
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[PackedTree] = []
+        known: dict[bytes, np.ndarray] = {}
         part = None
         for batch in batches:
             here, first = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("__part", "__first"))
@@ -216,19 +259,18 @@ def _add(rows: DataFrame, trees: DataFrame, used: list[int], classes: int) -> Da
                 if a == b:
                     continue
                 if here[a] != part:
-                    held, part = [], here[a]
+                    held, known, part = [], {}, here[a]
                 some = batch.slice(a, b - a)
                 if not first[a]:
                     held += [_unpacked(c.as_py(), n) for c, n in zip(some.column("of_class"), some.column("nodes"), strict=True)]
                     continue
                 # a slice's lists start anywhere; one copy makes them plain
                 some = pa.Table.from_batches([some]).combine_chunks().to_batches()[0]
-                phi = shares(held, matrix(some.column("__x"), wanted), column, classes).reshape(b - a, size)
+                phi = shares(held, matrix(some.column("__x"), wanted), column, classes, known).reshape(b - a, size)
                 before = some.column("__phi").flatten().to_numpy(zero_copy_only=False)
                 if before.size:
                     phi = phi + before.reshape(b - a, size)
-                ends = np.arange(0, (b - a) * size + 1, size, dtype=np.int32) if size else np.zeros(b - a + 1, np.int32)
-                sums = pa.ListArray.from_arrays(ends, np.ascontiguousarray(phi).ravel())
+                sums = _list_of(phi, size)
                 yield pa.RecordBatch.from_arrays([sums if c == "__phi" else some.column(c) for c in names], names)
 
     return both.repartition(parts, "__part").sortWithinPartitions("__part", "__first").mapInArrow(add, schema)
