@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.storage import new_path
-from tablewright.functions.vectors import matrix, width
+from tablewright.functions.vectors import entries, matrix, width
 
 # Defaults of the parameters users may leave out.
 DEFAULTS = {
@@ -154,8 +154,8 @@ def _cuts_of(v: np.ndarray, w: np.ndarray, bins: int) -> np.ndarray:
     return v[last] + (v[last + 1] - v[last]) / 2
 
 
-def find_cuts(df: DataFrame, bins: int) -> list[np.ndarray]:
-    """The cuts of every feature, from one pass. A task sums up a feature in POINTS weighted values at most; the summaries of one
+def find_cuts(df: DataFrame, bins: int, weight: str | None = None) -> list[np.ndarray]:
+    """The cuts of every feature, from one pass. A row counts as many times as ``weight`` says. A task sums up a feature in POINTS weighted values at most; the summaries of one
     feature meet in one task."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,11 +165,12 @@ def find_cuts(df: DataFrame, bins: int) -> list[np.ndarray]:
                 continue
             column, n = b.column(0), width(b.column(0))
             held = held or [(np.empty(0), np.empty(0))] * n
+            each = b.column(1).to_numpy()
             for at in range(0, n, 256):
                 x = matrix(column, np.arange(at, min(n, at + 256)))
                 for k in range(x.shape[1]):
                     v, w = held[at + k]
-                    held[at + k] = _summary(np.concatenate([v, x[:, k]]), np.concatenate([w, np.ones(len(x))]), 4 * POINTS)
+                    held[at + k] = _summary(np.concatenate([v, x[:, k]]), np.concatenate([w, each]), 4 * POINTS)
         for f, (v, w) in enumerate(held):
             v, w = _summary(v, w, POINTS)
             yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([v.tobytes()], pa.binary()), pa.array([w.tobytes()], pa.binary())], ["feature", "v", "w"])
@@ -183,12 +184,17 @@ def find_cuts(df: DataFrame, bins: int) -> list[np.ndarray]:
         for f, (v, w) in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([_cuts_of(v, w, bins).tobytes()], pa.binary())], ["feature", "cuts"])
 
-    rows = df.select("features").mapInArrow(sums, "feature int, v binary, w binary").repartition("feature").mapInArrow(merged, "feature int, cuts binary").collect()
+    rows = df.select("features", _weights(weight)).mapInArrow(sums, "feature int, v binary, w binary").repartition("feature").mapInArrow(merged, "feature int, cuts binary").collect()
     return [np.frombuffer(r.cuts) for r in sorted(rows, key=lambda r: r.feature)]
 
 
-def _binned(df: DataFrame, cuts: list[np.ndarray], seed: int, held_out) -> DataFrame:
-    """(y, bins, draw, held): bin numbers of all features as bytes, a number drawn for the row, and whether it is held out."""
+def _weights(weight: str | None):
+    return (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("weight")
+
+
+def _binned(df: DataFrame, cuts: list[np.ndarray], seed: int, held_out, weight: str | None = None) -> DataFrame:
+    """(y, bins, draw, held, weight): bin numbers of all features as bytes, a number drawn for the row, whether it is held out, and how
+    many times it counts."""
     kind = np.uint8 if max(map(len, cuts), default=0) < 256 else np.uint16
     features = np.arange(len(cuts))
 
@@ -200,11 +206,11 @@ def _binned(df: DataFrame, cuts: list[np.ndarray], seed: int, held_out) -> DataF
                 for k in range(x.shape[1]):
                     out[:, at + k] = np.searchsorted(cuts[at + k], x[:, k], side="left")
             bins = pa.array([r.tobytes() for r in out], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(1), bins, b.column(2), b.column(3)], ["y", "bins", "draw", "held"])
+            yield pa.RecordBatch.from_arrays([b.column(1), bins, *b.columns[2:]], ["y", "bins", "draw", "held", "weight"])
 
     draw = F.xxhash64(F.monotonically_increasing_id(), F.lit(seed))
-    given = df.select("features", F.col("label").cast("double").alias("y"), draw.alias("draw"), (held_out if held_out is not None else F.lit(False)).alias("held"))
-    return given.mapInArrow(each, "y double, bins binary, draw long, held boolean")
+    given = df.select("features", F.col("label").cast("double").alias("y"), draw.alias("draw"), (held_out if held_out is not None else F.lit(False)).alias("held"), _weights(weight))
+    return given.mapInArrow(each, "y double, bins binary, draw long, held boolean, weight double")
 
 
 def _bin_matrix(column: pa.Array, features: int, kind) -> np.ndarray:
@@ -267,11 +273,12 @@ def _histograms(r: _Round):
                 continue
             y, held = b.column(0).to_numpy(zero_copy_only=False), b.column(3).to_numpy(zero_copy_only=False)
             x = _bin_matrix(b.column(1), n_features, r.kind)
-            margin = r.margins(x, b.column(4).flatten().to_numpy(zero_copy_only=False).reshape(len(y), trees))
-            each = losses(r.task, r.classes, margin, y)
-            loss += each[held].sum(), held.sum(), each[~held].sum(), (~held).sum()
+            margin = r.margins(x, b.column(5).flatten().to_numpy(zero_copy_only=False).reshape(len(y), trees))
+            weight = b.column(4).to_numpy(zero_copy_only=False)
+            each = losses(r.task, r.classes, margin, y) * weight
+            loss += each[held].sum(), weight[held].sum(), each[~held].sum(), weight[~held].sum()
             use = ~held & _chosen(b.column(2).to_numpy(zero_copy_only=False), r.subsample, r.number, r.seed)
-            x, (g, h) = x[use], gradients(r.task, r.classes, margin[use], y[use])
+            x, (g, h) = x[use], (d * weight[use, None] for d in gradients(r.task, r.classes, margin[use], y[use]))
             for k, (tree, nodes) in enumerate(zip(r.growing, r.active, strict=True)):
                 if not nodes:
                     continue
@@ -383,10 +390,10 @@ def _with_margins(rows: DataFrame, r: _Round, spark: SparkSession, path: str) ->
         for b in batches:
             if not b.num_rows:
                 continue
-            stored = b.column(4).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, trees)
+            stored = b.column(5).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, trees)
             margin = r.margins(_bin_matrix(b.column(1), n_features, r.kind), stored)
             ends = np.arange(0, margin.size + 1, trees, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.ListArray.from_arrays(ends, np.ascontiguousarray(margin).ravel())], b.schema.names)
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.ListArray.from_arrays(ends, np.ascontiguousarray(margin).ravel())], b.schema.names)
 
     rows.mapInArrow(each, rows.schema).write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
@@ -450,7 +457,7 @@ class BoostedTrees:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds prediction, and for classes rawPrediction and probability."""
-        margin = self._margin()(F.col("features"))
+        margin = self._margin()(entries("features", self.numFeatures))
         if self.task == "regression":
             return df.withColumn("prediction", F.get(margin, F.lit(0)))
         out = df.withColumn("__margin", margin)
@@ -494,6 +501,7 @@ class Boosting:
     seed: int = 42
     held_out: Any = None
     patience: int | None = None
+    weight: str | None = None  # column that says how many times a row counts
 
     def _of(self, name: str):
         return self.params[name] if self.params.get(name) is not None else DEFAULTS[name]
@@ -508,28 +516,28 @@ class Boosting:
         return int(self._of("max_depth"))
 
     def fit(self, df: DataFrame) -> BoostedTrees:
-        return fit_boosted(df, self.task, self.classes, self.params, self.seed, self.held_out, self.patience)
+        return fit_boosted(df, self.task, self.classes, self.params, self.seed, self.held_out, self.patience, self.weight)
 
 
-def fit_boosted(df: DataFrame, task: str, classes: int, params: dict[str, Any], seed: int = 42, held_out=None, patience: int | None = None) -> BoostedTrees:
+def fit_boosted(df: DataFrame, task: str, classes: int, params: dict[str, Any], seed: int = 42, held_out=None, patience: int | None = None, weight: str | None = None) -> BoostedTrees:
     """Boost ``df`` (features, label). ``held_out`` marks rows that only measure the loss after each round; with ``patience``, boosting
-    stops after so many rounds without a better one and keeps the rounds up to the best."""
+    stops after so many rounds without a better one and keeps the rounds up to the best. A row counts as many times as the column ``weight`` says."""
     p = {**DEFAULTS, **{k: v for k, v in params.items() if v is not None}}
     spark = df.sparkSession
-    cuts = find_cuts(df, int(p["max_bins"]))
+    cuts = find_cuts(df, int(p["max_bins"]), weight)
     if not cuts:
         raise ValueError("no rows to fit on")
     bins = [len(c) + 1 for c in cuts]
     trees = classes if task == "classification" and classes > 2 else 1
     folder = new_path(spark, "boosting")
-    binned = _binned(df, cuts, seed, held_out)
+    binned = _binned(df, cuts, seed, held_out, weight)
     binned.write.parquet(f"{folder}/bins")
     binned = spark.read.schema(binned.schema).parquet(f"{folder}/bins")
     if p["base_score"] is not None:
         score = float(p["base_score"])
         base = [float(np.log(score / (1 - score)))] if task == "classification" and trees == 1 else [score] * trees
     else:
-        base = [float(binned.where("NOT held").agg(F.avg("y")).first()[0] or 0.0)] if task == "regression" else [0.0] * trees
+        base = [float(binned.where("NOT held").agg(F.sum(F.col("y") * F.col("weight")) / F.sum("weight")).first()[0] or 0.0)] if task == "regression" else [0.0] * trees
     rows = binned.withColumn("margin", F.array(*[F.lit(b) for b in base]))
     rng = np.random.default_rng(seed)
     kind = np.uint8 if max(bins) <= 256 else np.uint16

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import time
 import warnings
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from typing import Any
 
@@ -21,6 +21,7 @@ from tablewright.functions.columns import portable_hash
 from tablewright.functions.storage import ensure_checkpoints
 from tablewright.operators import boosting
 from tablewright.operators.boosting import BoostedTrees
+from tablewright.operators.condense import WEIGHT, condensed, different_rows, worth_it
 from tablewright.operators.svm import EPSILON, RandomFeatures, fit_svr, scale_gamma
 from tablewright.spec import ITERATION_KEYS, MODELS_BY_TASK
 
@@ -154,12 +155,25 @@ class Learner:
             return one if classes <= 2 else OneVsRest(classifier=one, parallelism=min(classes, 4))
         return None
 
+    def takes_weights(self) -> bool:
+        """Whether equal rows may be fitted as one with their number: nothing is drawn or held out by the row, and no bound counts rows."""
+        p = usable_params(self.model_type, self.params)
+        if self.model_type == "random_forest":
+            shared = _forest_params(p, self.seed, True)
+            return not shared["bootstrap"] and shared["subsamplingRate"] == 1 and shared["minInstancesPerNode"] == 1
+        if self.model_type == "xgboost":
+            return not self.params.get("early_stopping") and float(p.get("subsample") or 1.0) >= 1
+        return self.model_type == "svm" and self.task == "classification"
+
     def fit(self, df: DataFrame, feature_names: list[str] | None = None, rows: int | None = None, classes: int | None = None, key: str | None = None) -> Trained:
         """Fit on columns ``features`` and ``label``. A boosted model with ``validation_split`` holds rows out by the column ``key``."""
         started = time.time()
         ensure_checkpoints(df.sparkSession)
-        if rows is None or (classes is None and self.task == "classification"):
-            facts = df.agg(F.count(F.lit(1)).alias("n"), F.max("label").alias("top")).first()
+        weighted = self.takes_weights()
+        if weighted or rows is None or (classes is None and self.task == "classification"):
+            more = [F.count("label").alias("given"), different_rows(self.task).alias("different")] if weighted else []
+            facts = df.agg(F.count(F.lit(1)).alias("n"), F.max("label").alias("top"), *more).first()
+            weighted = weighted and facts.given == facts.n and facts.top == facts.top and worth_it(facts.n, facts.different)
             rows, classes = facts.n, classes if classes is not None else int(facts.top) + 1 if facts.top is not None else 0
         if not rows:
             raise ValueError("no rows to fit on")
@@ -170,8 +184,13 @@ class Learner:
                 gamma, width = scale_gamma(df)
                 given = p.get("gamma", "scale")
                 front = RandomFeatures(gamma if given == "scale" else 1.0 / width if given == "auto" else float(given), width, int(p.get("n_components", 200)), self.seed)
-                df = front.transform(df)
         estimator = self.estimator(rows, classes or 2, df, key)
+        if weighted:
+            # a forest has no more bins than rows
+            df = condensed(df, self.task, facts.different, estimator.getMaxBins() if self.model_type == "random_forest" else 1)
+            estimator = replace(estimator, weight=WEIGHT) if self.model_type == "xgboost" else estimator.setWeightCol(WEIGHT)
+        if front is not None:
+            df = front.transform(df)
         if estimator is None:
             model = fit_svr(df, C=float(p.get("C", 1.0)), epsilon=float(p.get("epsilon", EPSILON)), max_iter=int(p.get("max_iter", 100)))
         else:

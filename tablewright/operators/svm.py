@@ -10,6 +10,7 @@ import warnings
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
@@ -17,6 +18,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.functions.vectors import matrix
+
 EPSILON = 0.1  # fixed value: width of the regressor's tube
 SMOOTHING = (0.1, 0.01, 0.001)  # the loss is quadratic over these shares of the target's deviation, in turn
 MEMORY = 10  # past steps the optimiser keeps
@@ -39,10 +42,11 @@ class RandomFeatures:
         b = rng.uniform(0.0, 2 * np.pi, self.outputs)
         size = np.sqrt(2.0 / self.outputs)
 
-        @F.pandas_udf("array<double>")
-        def project(x: pd.Series) -> pd.Series:
-            return pd.Series(list(size * np.cos(np.stack(x.to_list()) @ w + b))) if len(x) else x
+        def each(x: pa.Array) -> pa.Array:
+            out = size * np.cos(matrix(x, np.arange(self.inputs)) @ w + b)
+            return pa.ListArray.from_arrays(np.arange(0, out.size + 1, self.outputs, dtype=np.int32), out.ravel())
 
+        project = F.arrow_udf(each, "array<double>")
         return df.withColumn(column, array_to_vector(project(vector_to_array(column))))
 
 
