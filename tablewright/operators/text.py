@@ -19,6 +19,7 @@ from tablewright.functions.storage import cut_lineage
 MAX_TERMS = 100  # fixed value: default vocabulary size
 MOST_RECOUNTED = 100_000  # candidates of a column that one recount takes
 ATTEMPTS = 2  # with summaries, the second eight times as large
+TOGETHER = 1 << 18  # terms of a batch that a task looks at together
 
 
 @dataclass(frozen=True)
@@ -54,6 +55,17 @@ class Summary:
             self.error += cut
 
 
+def in_runs(texts: pa.ListArray, most: int) -> Iterator[pa.ListArray]:
+    """The texts' terms in runs of whole texts with ``most`` terms at most, but for a longer text, which is a run by itself. What a task
+    makes of a run is small beside the batch, however many texts Spark sends together."""
+    ends = texts.offsets.to_numpy()
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] + most, side="right")) - 1)
+        yield texts.slice(at, end - at)
+        at = end
+
+
 def _summaries(df: DataFrame, texts: Sequence[Column], most: int) -> tuple[DataFrame, list[int], list[int]]:
     """(column, term, n) of every column's summary, kept, with each column's error and the number of its terms."""
     columns = len(texts)
@@ -62,7 +74,9 @@ def _summaries(df: DataFrame, texts: Sequence[Column], most: int) -> tuple[DataF
         held = [Summary({}) for _ in range(columns)]
         for b in batches:
             for k, s in enumerate(held):
-                s.add(b.column(k).flatten(), most)
+                terms = b.column(k).flatten()
+                for at in range(0, len(terms), TOGETHER):
+                    s.add(terms.slice(at, TOGETHER), most)
         for k, s in enumerate(held):
             terms = [None, *s.counts]  # the null carries the error
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(terms), pa.int32()), pa.array(terms, pa.string()), pa.array([s.error, *s.counts.values()], pa.int64())], ["column", "term", "n"])
@@ -85,15 +99,15 @@ def _recounted(df: DataFrame, texts: Sequence[Column], wanted: Sequence[Sequence
         for b in batches:
             rows += b.num_rows
             for k, w in enumerate(sets):
-                if not len(w) or not b.num_rows:
+                if not len(w):
                     continue
-                terms = b.column(k)
-                at = pc.index_in(terms.flatten(), w)
-                owner = np.repeat(np.arange(b.num_rows), np.diff(terms.offsets.to_numpy()))
-                hit = at.is_valid().to_numpy(zero_copy_only=False)
-                place = at.fill_null(0).to_numpy(zero_copy_only=False)[hit].astype(np.int64)
-                totals[k] += np.bincount(place, minlength=len(w))
-                within[k] += np.bincount(np.unique(owner[hit] * len(w) + place) % len(w), minlength=len(w))
+                for terms in in_runs(b.column(k), TOGETHER):
+                    at = pc.index_in(terms.flatten(), w)
+                    owner = np.repeat(np.arange(len(terms)), np.diff(terms.offsets.to_numpy()))
+                    hit = at.is_valid().to_numpy(zero_copy_only=False)
+                    place = at.fill_null(0).to_numpy(zero_copy_only=False)[hit].astype(np.int64)
+                    totals[k] += np.bincount(place, minlength=len(w))
+                    within[k] += np.bincount(np.unique(owner[hit] * len(w) + place) % len(w), minlength=len(w))
         found = [(k, i, int(totals[k][i]), int(within[k][i])) for k in range(len(sets)) for i in np.flatnonzero(totals[k]).tolist()]
         columns = list(zip(*[(-1, 0, rows, 0), *found], strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["column", "at", "total", "containing"])

@@ -50,3 +50,17 @@ def test_summary_bounds():
     exact = Counter(words)
     assert len(s.counts) <= 180 and 0 < s.error <= len(words) / 40
     assert all(s.counts.get(w, 0) <= n <= s.counts.get(w, 0) + s.error for w, n in exact.items())
+
+
+def test_terms_are_looked_at_in_runs_of_whole_texts(spark, monkeypatch):
+    """However many texts Spark sends together, a task's arrays are those of a run."""
+    texts = pa.array([["a", "b"], [], ["c"] * 7, ["d"], ["e", "f"], []], pa.list_(pa.string())).slice(1)
+    runs = [r.to_pylist() for r in T.in_runs(texts, 3)]
+    assert [len(r) for r in runs] == [1, 1, 3] and sum(runs, []) == texts.to_pylist()
+    assert [*T.in_runs(texts.slice(0, 0), 3)] == []
+
+    monkeypatch.setattr(T, "TOGETHER", 50)
+    rows = [(f"w{i % 7:02d} " * (1 + i % 90) + f"x{i}",) for i in range(400)]
+    found = fit_vocabularies(spark.createDataFrame(rows, "a string").coalesce(1), [F.col("a")], 7)[0]
+    terms, within = wanted([r[0] for r in rows], 7, 1)
+    assert found.terms == terms and found.containing == [within[t] for t in terms] and found.documents == 400
