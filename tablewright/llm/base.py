@@ -23,10 +23,10 @@ _held: dict = {}
 
 def worker_cache(key, make: Callable):
     """What this Python worker keeps from one task to the next under ``key``. A worker serves tasks of all operators, so it keeps
-    only what the operator it last ran made: memory is that of one cache, not the sum of all."""
+    only what the operator it last ran made, and gives back what that one's allocators left unused: memory is that of one operator, not
+    the sum of all."""
     if key not in _held:
-        _held.clear()
-        gc.collect()
+        no_cache()
         _held[key] = make()
     return _held[key]
 

@@ -1,7 +1,7 @@
 import re
 
 import corpus_pipeline
-from tablewright.llm import fmindex
+from tablewright.llm import base, fmindex
 from tests.llm.test_jaccard import brute as groups
 from tests.llm.test_pii import brute as personal
 
@@ -30,3 +30,18 @@ def test_odd_rows(spark, odd_docs, no_docs):
         out = stage(spark, odd_docs, "/root/testdata/sf0.001")
         assert name == "piece_ids" or out.columns == odd_docs.columns
         assert out.count() <= odd_docs.count() and stage(spark, no_docs, "/root/testdata/sf0.001").count() == 0
+
+
+def test_one_python_step_a_task(spark, odd_docs):
+    """Two Python steps in one task are two workers, each with the memory of its operator, and both stay for the stages after it."""
+    for name, stage in corpus_pipeline.STAGES:
+        plan = stage(spark, odd_docs, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert name == "near_duplicates" or plan.count("ArrowEvalPython") <= 1, name
+
+
+def test_workers_give_back_what_the_operator_before_left(monkeypatch):
+    freed = []
+    monkeypatch.setattr(base, "no_cache", lambda: freed.append(1) or base._held.clear())
+    base._held.clear()
+    assert [base.worker_cache(k, lambda: 7) for k in ("a", "a", "b")] == [7, 7, 7] and len(freed) == 2
+    base._held.clear()
