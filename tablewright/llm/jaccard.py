@@ -143,20 +143,23 @@ def dual_traversal(a: SignatureTree, b: SignatureTree) -> Iterator[tuple[np.ndar
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the edges (a, b): the smallest node that links reach. Each round hooks the neighbours
-    of a node onto their smallest, first those above it, then those below; minima are combined before they are shuffled."""
+    of a node onto their smallest, first those above it, then those below; minima are combined before they are shuffled. Rounds end
+    as soon as every node hangs on one that hangs on none, which one small aggregate tells."""
     e = cut_lineage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
-    seen = None
-    while True:
+    while not _settled(e):
         both = e.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(e.select(F.col("v").alias("x"), F.col("u").alias("y")))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
         up = both.where("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = up.groupBy("u").agg(F.min("v").alias("m"))
         down = up.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         e = cut_lineage(down)
-        state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        seen = tuple(state)
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def _settled(e: DataFrame) -> bool:
+    """Whether of the distinct edges (u, v) with u > v no node has two that lead down, or one that does and one that comes from above."""
+    ends = e.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(e.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down + up > 1 AND down > 0").isEmpty()
 
 
 def _common(docs: DataFrame) -> np.ndarray:

@@ -131,3 +131,15 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     want = brute([(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()])
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op5_jaccard"](spark, sf).collect()} == want
+
+
+@pytest.mark.parametrize(("edges", "looks"), [([(5, 1), (1, 4), (9, 7), (5, 1)], 1), ([(1, 2), (2, 3), (3, 4)], 9), ([], 1)])
+def test_components_end_when_all_is_settled(spark, monkeypatch, edges, looks):
+    """Stars, as copies of one text give them, take no round; every round is several shuffles."""
+    made = []
+    monkeypatch.setattr(jaccard, "cut_lineage", lambda df, cut=jaccard.cut_lineage: made.append(1) or cut(df))
+    top = {}
+    for a, b in edges * 3:
+        top[a] = top[b] = min(a, b, top.get(a, a), top.get(b, b))
+    found = [tuple(r) for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()]
+    assert sorted(found) == sorted(top.items()) and len(made) <= looks
