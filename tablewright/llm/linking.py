@@ -127,10 +127,18 @@ def joining_links(t: pa.Table) -> tuple | None:
     return a, b
 
 
-def in_parts(rows: DataFrame, size: Column, most: int) -> DataFrame:
-    """Rows (key, id, ...) with i, j, part: a block whose rows have over ``most`` bytes is cut into parts, and every pair of parts is
-    one task's work."""
-    parts = rows.groupBy("key").agg(F.greatest(F.ceil(F.sum(size) / most), F.lit(1)).cast("int").alias("parts"))
-    cut = rows.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+def parts_of(size: Column, most: int) -> Column:
+    """Into how many parts a block is cut: one for every ``most`` bytes of its rows. An aggregate."""
+    return F.greatest(F.ceil(F.sum(size) / most), F.lit(1)).cast("int")
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows (key, id, parts, ...) with i, j, part: every pair of a block's parts is one task's work."""
+    cut = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return cut.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")})
+
+
+def in_parts(rows: DataFrame, size: Column, most: int) -> DataFrame:
+    """Rows (key, id, ...) with i, j, part: a block whose rows have over ``most`` bytes is cut into parts."""
+    return dealt(rows.join(rows.groupBy("key").agg(parts_of(size, most).alias("parts")), "key"))

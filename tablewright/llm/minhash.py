@@ -155,7 +155,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _near_another_group(t: pa.Table) -> tuple | None:
-    """(key, id) of the rows whose signature is near one of another group. Rows of part i meet those of part j."""
+    """(key, id, component, n_shingles) of the rows whose signature is near one of another group. Rows of part i meet those of part j."""
     n, group, part = (t.column(c).to_numpy() for c in ("n_shingles", "component", "part"))
     if (group == group[0]).all():
         return None
@@ -175,28 +175,25 @@ def _near_another_group(t: pa.Table) -> tuple | None:
             if len(hit):
                 near[hit] = near[at] = True
     found = np.flatnonzero(near)
-    return t.column("key").to_numpy()[found], t.column("id").to_numpy()[found]
-
-
-def _in_parts(rows: DataFrame, size) -> DataFrame:
-    return linking.in_parts(rows, size, PART)
+    return tuple(t.column(c).to_numpy()[found] for c in ("key", "id", "component", "n_shingles"))
 
 
 def _second_look(members: DataFrame, classes: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) between different groups that share a bucket."""
+    """Links (a, b) between different groups that share a bucket. What is read more than once is stored: in one large query, the driver
+    would plan every copy of it anew after each stage."""
     grouped = members.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    undecided = grouped.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    grouped = stored(grouped, "grouped-members")
+    bounds = [F.min("component").alias("low"), F.max("component").alias("high"), linking.parts_of(F.lit(COORDINATES), PART).alias("parts")]
+    undecided = grouped.groupBy("key").agg(*bounds).where("low <> high").select("key", "parts")
     rows = grouped.join(undecided, "key").join(classes.select("id", "n_shingles", "sign"), "id")
-    dealt = _in_parts(rows, F.lit(COORDINATES)).select("key", "i", "j", "part", "id", "component", "n_shingles", "sign")
-    sorted_rows = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    near = stored(sorted_rows.mapInArrow(linking.by_block(_near_another_group, "key long, id long"), "key long, id long").distinct(), "near")
+    sorted_rows = linking.dealt(rows).select("key", "i", "j", "part", "id", "component", "n_shingles", "sign").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    schema = "key long, id long, component long, n_shingles long"
+    near = stored(sorted_rows.mapInArrow(linking.by_block(_near_another_group, schema), schema).distinct(), "near")
     if near.isEmpty():
         return known.sparkSession.createDataFrame([], "a long, b long")
     sets = _whole_sets(near.select(F.col("id").alias("a"), F.col("id").alias("b")), docs)
-    whole = near.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    whole = whole.join(classes.select("id", "n_shingles"), "id")
-    dealt = _in_parts(whole, 8 * F.col("n_shingles")).select("key", "i", "j", "part", "id", "component")
-    met = dealt.join(sets.select(F.col("i").alias("id"), "s"), "id").select("key", "i", "j", "part", "id", "component", "s")
+    cut = linking.in_parts(near, 8 * F.col("n_shingles"), PART).select("key", "i", "j", "part", "id", "component")
+    met = cut.join(sets.select(F.col("i").alias("id"), "s"), "id").select("key", "i", "j", "part", "id", "component", "s")
     sorted_rows = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return sorted_rows.mapInArrow(linking.by_block(linking.joining_links, "a long, b long"), "a long, b long").distinct()
 
@@ -219,7 +216,7 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     buckets = stored(entries.groupBy("key").agg(F.min("id").alias("root"), F.count("*").alias("m")).where("m > 1"), "buckets")
     members = stored(entries.join(buckets, "key"), "members")
     tries = members.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")).distinct()
-    known = components(_verified(_looked_alike(tries, classes), docs))
+    known = stored(components(_verified(_looked_alike(tries, classes), docs)), "groups")
     # in buckets of two, the tries hold the only pair
     more = _second_look(members.where("m > 2").select("key", "id"), classes, known, docs)
     known = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))

@@ -132,3 +132,16 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     want = brute([(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()])
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op11_minhash"](spark, sf).collect()} == want
+
+
+def test_no_query_copies_its_inputs(odd_docs, monkeypatch):
+    """The driver plans a query anew after each of its stages, all copies of a part that is read more than once included."""
+    joins, store = {}, minhash.stored
+
+    def counted(df, name):
+        joins[name] = df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+        return store(df, name)
+
+    monkeypatch.setattr(minhash, "stored", counted)
+    check(odd_docs)
+    assert joins["near"] <= 2 and max(joins.values()) <= 4, joins
