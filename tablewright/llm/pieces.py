@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Callable
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -319,15 +319,28 @@ def piece_model(path: str, merges: bool = True) -> PieceModel:
     return worker_cache(("pieces", path, merges), make)
 
 
-def _grouped(column: pa.Array, of: Callable[[list], list]) -> list:
-    out, held, size = [], [], 0
+def _runs(column: pa.Array) -> Iterator[list]:
+    """The values of a column, so many at a time that they have TOGETHER characters or bytes."""
+    held, size = [], 0
     for t in texts(column):
         held.append(t)
         size += len(t or "")
         if size >= TOGETHER:
-            out += of(held)
+            yield held
             held, size = [], 0
-    return out + of(held)
+    if held:
+        yield held
+
+
+def _encoder(model: str, merges: bool):
+    def encode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            for some in _runs(column):  # each goes back by itself: a worker never holds the ids of a whole batch
+                with np.errstate(over="ignore"):
+                    ids = pa.array(piece_model(model, merges).encode(some), pa.binary())
+                yield ids
+
+    return encode
 
 
 def with_ids(df: DataFrame, model: str, text: str = "text", name: str = "ids", merges: bool = True) -> DataFrame:
@@ -336,11 +349,7 @@ def with_ids(df: DataFrame, model: str, text: str = "text", name: str = "ids", m
     Null and empty texts have no ids. Repeated rows stay; a column called ``name`` is replaced.
     """
 
-    def encode(column: pa.Array) -> pa.Array:
-        with np.errstate(over="ignore"):
-            return pa.array(_grouped(column, piece_model(model, merges).encode), pa.binary())
-
-    return df.withColumn(name, F.arrow_udf(encode, "binary").asNondeterministic()(F.col(text)))  # so that it runs once, however often it is read
+    return df.withColumn(name, F.arrow_udf(_encoder(model, merges), "binary").asNondeterministic()(F.col(text)))  # so that it runs once, however often it is read
 
 
 def _surfaces_of(path: str) -> list[bytes]:
@@ -349,11 +358,16 @@ def _surfaces_of(path: str) -> list[bytes]:
     return surfaces(sentencepiece.SentencePieceProcessor(model_file=path))
 
 
-def with_text(df: DataFrame, model: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """``df`` with the text of its ids; null ids give null."""
+def _decoder(model: str):
+    def decode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            for some in _runs(column):
+                surface = worker_cache(("surfaces", model), lambda: _surfaces_of(model))
+                yield pa.array([None if x is None else decoded(surface, x) for x in some], pa.string())
+
+    return decode
 
-    def decode(column: pa.Array) -> pa.Array:
-        surface = worker_cache(("surfaces", model), lambda: _surfaces_of(model))
-        return pa.array([None if x is None else decoded(surface, x) for x in texts(column)], pa.string())
 
-    return df.withColumn(name, F.arrow_udf(decode, "string").asNondeterministic()(F.col(ids)))
+def with_text(df: DataFrame, model: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
+    """``df`` with the text of its ids; null ids give null."""
+    return df.withColumn(name, F.arrow_udf(_decoder(model), "string").asNondeterministic()(F.col(ids)))

@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import functions as F
@@ -50,3 +51,12 @@ def test_columns(odd_docs, no_docs):
 
 def test_query(spark):
     assert QUERIES["op8_pieces"](spark, "/root/testdata/sf0.001").where("not same_text").count() == 0
+
+
+def test_a_batch_goes_back_in_runs():
+    """A worker holds the ids or the text of about TOGETHER characters, not of a whole Arrow batch."""
+    rows = [None, "", *["one two three " * 20_000] * 12, None]
+    parts = list(pieces._encoder(PATH, True)(iter([pa.array(rows, pa.string()), pa.array([], pa.string()), pa.array(["x"])])))
+    assert sum(map(len, parts)) == len(rows) + 1 and max(len(p) for p in parts) <= 6
+    back = list(pieces._decoder(PATH)(iter([pa.array([x.as_py() for p in parts for x in p] + [None], pa.binary())])))
+    assert max(len(p) for p in back) < 12 and [x.as_py() for p in back for x in p] == [t or "" for t in rows] + ["x", None]
