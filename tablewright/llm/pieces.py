@@ -2,7 +2,7 @@
 
 A text becomes words (a space goes with the word after it; no piece of the model reaches from one word into the next).
 New words are grouped by length, and all words of a length advance together, one character at a time: every substring's
-hash is looked up among the sorted hashes of the pieces, the best way to each prefix is a maximum over piece lengths, and the
+hash is looked up among the hashes of the pieces, the best way to each prefix is a maximum over piece lengths, and the
 length that gave it is the way back. Characters that no piece holds are given as bytes.
 
 In a unigram model a way is worth the sum of its scores. In a model of byte-pair merges it is worth something only if no
@@ -22,17 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.base import texts, worker_cache
+from tablewright.llm.base import struct_array, texts, worker_cache
 
 SPACE = "▁"
 CACHED_WORDS = 150_000  # of a generation; there are two
-FILTER_BITS = 18  # of a table that tells most substrings that are no piece, before the keys are probed
+BUCKET_BITS = 19  # of the hash of a piece, by which the pieces are looked up
 PAIR_BITS = 20  # of the table of neighbouring pieces
 CELLS = 500_000  # substrings looked at together
 TOGETHER = 1_000_000  # characters encoded at a time
 LONG_WORD = 512  # characters from which a word of a merge model is merged by itself
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LENGTH = np.uint64(0xC2B2AE3D27D4EB4F)
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 
 
 class PieceModel:
@@ -54,12 +55,15 @@ class PieceModel:
         scores = np.array([model.get_score(i) for i in plain], np.float64)
         self.unknown_score = float(scores.min()) - 10
         hashes = np.array([self._hash_of(p) for p in pieces], np.uint64)
-        order = np.argsort(hashes)
-        self.keys, self.scores, self.ids = hashes[order], scores[order], np.array(plain, np.int64)[order]
-        if (self.keys[1:] == self.keys[:-1]).any():
+        if len(np.unique(hashes)) < len(hashes):
             raise ValueError("two pieces have one hash")
-        self.maybe = np.zeros(1 << FILTER_BITS, bool)
-        self.maybe[self.keys >> np.uint64(64 - FILTER_BITS)] = True
+        order = np.argsort(hashes * _SPREAD)
+        self.keys, self.scores, self.ids = hashes[order], scores[order], np.array(plain, np.int64)[order]
+        self.none = len(self.keys)  # the place of what is no piece
+        bucket = (self.keys * _SPREAD) >> np.uint64(64 - BUCKET_BITS)
+        self.first = np.full(1 << BUCKET_BITS, self.none, np.int32)  # of a bucket: the place of its first key
+        self.first[bucket[::-1]] = np.arange(self.none, dtype=np.int32)[::-1]
+        self.goes_on = np.append(bucket[1:] == bucket[:-1], False)  # whether the next key is in the same bucket
         breaks = "" if any("\n" in p for p in pieces) else "\n"  # no piece holds a line break: words end there too
         self.words = re.compile((r"\n|" if breaks else "") + rf" *[^ {breaks}]+| +").findall
         self.surface = surfaces(model)
@@ -81,7 +85,6 @@ class PieceModel:
         self.left, self.right = np.full(len(pieces) + 1, -1, np.int64), np.full(len(pieces) + 1, -1, np.int64)
         order = np.empty(len(pieces), np.int64)
         order[by_score] = np.arange(len(pieces))
-        self.merge_rank = order
         self.made = np.ones(len(pieces) + 1, bool)  # pieces that merging their own text gives; the last entry is an unknown character
         for p, k in place.items():
             if len(p) > 1:
@@ -90,13 +93,17 @@ class PieceModel:
                     self.made[k] = False
                 else:
                     self.rank[k], self.left[k], self.right[k] = order[k], place[parts[0]], place[parts[1]]
-        self.pairs, self.pair_right = np.full(1 << PAIR_BITS, np.iinfo(np.uint64).max, np.uint64), np.zeros(1 << PAIR_BITS, bool)
-        self.length = np.array([len(p) for p in pieces] + [1], np.int64)
-        raw = self.keys - self.length[:-1].astype(np.uint64) * _LENGTH
-        self.raw = np.append(raw, np.uint64(0))
-        self.power = np.ones(self.longest + 2, np.uint64)
-        for m in range(1, self.longest + 2):
-            self.power[m] = self.power[m - 1] * _BASE
+        self.merge_rank = np.append(order, np.iinfo(np.int64).max)
+        self.whole = np.where(self.made, np.arange(len(pieces) + 1), self.none).astype(np.int32)
+        self.pairs = np.full(1 << PAIR_BITS, np.iinfo(np.uint64).max, np.uint64)
+        length = np.array([len(p) for p in pieces] + [1], np.uint64)
+        self.hash = np.append(self.keys, np.uint64(0))
+        self.length_hash = length * _LENGTH
+        self.raw = self.hash - self.length_hash
+        power = np.ones(self.longest + 1, np.uint64)
+        for m in range(1, self.longest + 1):
+            power[m] = power[m - 1] * _BASE
+        self.shift = power[length]
 
     def _merged(self, word: str, last: bool = False):
         """The word's characters merged, best score first, of equals the first place. With ``last``, the parts of the merge that
@@ -130,44 +137,46 @@ class PieceModel:
 
     def _neighbours(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging the texts of pieces ``a`` and ``b`` side by side leaves the cut between them. Pairs met before are looked up in
-        a table of fixed size, one pair a slot."""
-        pair = a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
+        a table of fixed size, one pair a slot: the pair, and the answer in the lowest bit."""
+        pair = a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64) << np.uint64(1)
         slot = (pair * _BASE) >> np.uint64(64 - PAIR_BITS)
-        right = self.pair_right[slot]
-        new = np.flatnonzero(self.pairs[slot] != pair)
+        kept = self.pairs[slot] ^ pair
+        right = kept == 1
+        new = np.flatnonzero(kept > 1)
         if len(new):
-            right[new] = self._uncrossed(a[new], b[new])
-            slot = slot[new]
-            self.pairs[slot], self.pair_right[slot] = pair[new], right[new]
+            right[new] = found = self._uncrossed(a[new], b[new])
+            self.pairs[slot[new]] = pair[new] | found.astype(np.uint64)
         return right
 
     def _uncrossed(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        right, live = np.ones(len(a), bool), np.flatnonzero((a < len(self.keys)) & (b < len(self.keys)))
+        right, live = np.ones(len(a), bool), np.flatnonzero((a < self.none) & (b < self.none))
         a, b = a[live], b[live]
         limit = np.full(len(a), np.iinfo(np.int64).max)
         while len(live):
-            n = self.length[a] + self.length[b]
-            key = self.raw[a] * self.power[np.minimum(self.length[b], self.longest + 1)] + self.raw[b] + n.astype(np.uint64) * _LENGTH
-            hit, at = self._probe(key)
-            crossed = (n <= self.longest) & hit & (self.merge_rank[at] < limit)
+            at = self._places(self.raw[a] * self.shift[b] + self.length_hash[a] + self.hash[b])
+            crossed = self.merge_rank[at] < limit
             right[live[crossed]] = False
             ra, rb = self.rank[a], self.rank[b]
-            go = ~crossed & ((ra >= 0) | (rb >= 0))
+            go = np.flatnonzero(~crossed & ((ra >= 0) | (rb >= 0)))
             live, a, b, ra, rb = live[go], a[go], b[go], ra[go], rb[go]
             first = ra > rb  # undo the later merge; of one piece twice, the second
             limit = np.where(first, ra, rb + 1)
             a, b = np.where(first, self.right[a], a), np.where(first, b, self.left[b])
         return right
 
-    def _probe(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(hit, place) of hashes among the sorted keys."""
-        hit = self.maybe[keys >> np.uint64(64 - FILTER_BITS)]
-        some = keys[hit]
-        at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
-        place = np.zeros(keys.shape, np.int64)
-        place[hit] = at
-        hit[hit] = self.keys[at] == some
-        return hit, place
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        """The places of hashes among the keys; ``none`` of those that are no piece's."""
+        out = np.full(keys.size, self.none, np.int32)
+        keys = keys.ravel()
+        at = self.first[(keys * _SPREAD) >> np.uint64(64 - BUCKET_BITS)]
+        left = np.flatnonzero(at != self.none)
+        at, key = at[left], keys[left]
+        while len(left):
+            same = self.keys[at] == key
+            out[left[same]] = at[same]
+            more = np.flatnonzero(~same & self.goes_on[at])
+            left, at, key = left[more], at[more] + 1, key[more]
+        return out
 
     @staticmethod
     def _hash_of(piece: str) -> np.uint64:
@@ -182,66 +191,66 @@ class PieceModel:
         the places left over, and how many of a row count."""
         k, n = chars.shape
         most = min(self.longest, n)
-        h = np.zeros((k, n + 1), np.uint64)
+        code = chars.T.astype(np.uint64) + np.uint64(1)
+        h = np.zeros((n + 1, k), np.uint64)
         power = np.ones(most + 1, np.uint64)
         for j in range(n):
-            h[:, j + 1] = h[:, j] * _BASE + chars[:, j].astype(np.uint64) + np.uint64(1)
+            h[j + 1] = h[j] * _BASE + code[j]
         for m in range(1, most + 1):
             power[m] = power[m - 1] * _BASE
-        none = len(self.keys)
-        found, score, fits = [None], [None], [None]
+        found = np.full((most + 1, n, k), self.none, np.int32)  # by length and first character
         for m in range(1, most + 1):
-            key = h[:, m:] - h[:, :-m] * power[m] + np.uint64(m) * _LENGTH
-            hit, at = self._probe(key)
-            if self.merges:
-                hit &= self.made[at]
-                fits.append(hit if m > 1 else np.ones_like(hit))
-            else:
-                score.append(np.where(hit, self.scores[at], self.unknown_score if m == 1 else -np.inf))
-            found.append(np.where(hit, at, none).astype(np.int32))
-        back = np.zeros((k, n + 1), np.int16)
-        best = np.full((k, n + 1), -np.inf)
-        best[:, 0] = 0
-        tail = np.full((k, n + 1), none, np.int32)  # the last piece of each prefix
-        for j in range(1, n + 1):
-            lengths = range(min(most, j), 0, -1)  # the longest first: it wins among equals
-            if self.merges:
-                options = np.stack([fits[m][:, j - m] for m in lengths], axis=1)
-                if j > 1:
-                    row, col = np.nonzero(options)
-                    start = j - (lengths[0] - col)
-                    part = start > 0
-                    row, col, start = row[part], col[part], start[part]
-                    last = np.empty(len(row), np.int32)
-                    for m in lengths:
-                        of = np.flatnonzero(start == j - m)
-                        last[of] = found[m][row[of], j - m]
-                    wrong = ~self._neighbours(tail[row, start], last)
-                    options[row[wrong], col[wrong]] = False
-            else:
-                options = np.stack([best[:, j - m] + score[m][:, j - m] for m in lengths], axis=1)
-            choice = options.argmax(axis=1)
-            if not self.merges:
-                best[:, j] = options[np.arange(k), choice]
-            back[:, j] = lengths[0] - choice
-            for m in np.unique(back[:, j]).tolist():
-                of = np.flatnonzero(back[:, j] == m)
-                tail[of, j] = found[m][of, j - m]
+            at = self._places(h[m:] - h[:-m] * power[m] + np.uint64(m) * _LENGTH)
+            found[m, : n - m + 1] = (self.whole[at] if self.merges else at).reshape(-1, k)
+        back = self._ways_of_merges(found) if self.merges else self._ways_of_scores(found)
         out, count, at = np.full((k, n), -1, np.int32), np.zeros(k, np.int64), np.full(k, n)
         rows = np.arange(k)
         while len(rows):
-            m = back[rows, at[rows]].astype(np.int64)
+            m = back[at[rows], rows].astype(np.int64)
             start = at[rows] - m
-            ids = np.empty(len(rows), np.int32)
-            for length in np.unique(m).tolist():
-                of = m == length
-                ids[of] = self.id_at[found[length][rows[of], start[of]]]
             count[rows] += 1
-            out[rows, n - count[rows]] = ids
+            out[rows, n - count[rows]] = self.id_at[found[m, start, rows]]
             at[rows] = start
             rows = rows[start > 0]
         return out, count
 
+    def _ways_of_merges(self, found: np.ndarray) -> np.ndarray:
+        """The length of the last piece of each prefix (a row; a column is a word): the piece that is right with the one before it."""
+        most, n, k = found.shape[0] - 1, *found.shape[1:]
+        fits = found != self.none
+        fits[1] = True
+        length, start, word = np.nonzero(fits)
+        order = np.argsort((length + start).astype(np.int16), kind="stable")  # by end; the longest last: it wins among equals
+        piece, length, start, word = found[fits][order], length[order], start[order], word[order]
+        stops = np.cumsum(np.bincount(length + start, minlength=n + 1))
+        back = np.zeros((n + 1, k), np.int16)
+        tail = np.full((n + 1, k), self.none, np.int32)  # the last piece of each prefix
+        for j in range(1, n + 1):
+            i, e = stops[j - 1], stops[j]
+            right = np.ones(e - i, bool)
+            inner = i + np.searchsorted(length[i:e], j)  # before it: those with a piece before them
+            right[: inner - i] = self._neighbours(tail[start[i:inner], word[i:inner]], piece[i:inner])
+            of = i + np.flatnonzero(right)
+            longest = min(most, j)
+            back[j], tail[j] = longest, found[longest, j - longest]
+            back[j, word[of]], tail[j, word[of]] = length[of], piece[of]
+        return back
+
+    def _ways_of_scores(self, found: np.ndarray) -> np.ndarray:
+        """The length of the last piece of each prefix (a row; a column is a word) in the way of the highest sum of scores."""
+        most, n, k = found.shape[0] - 1, *found.shape[1:]
+        score = np.append(self.scores, -np.inf)[found]
+        score[1][found[1] == self.none] = self.unknown_score
+        back = np.zeros((n + 1, k), np.int16)
+        best = np.zeros((n + 1, k))
+        for j in range(1, n + 1):
+            lengths = range(min(most, j), 0, -1)  # the longest first: it wins among equals
+            options = np.stack([best[j - m] + score[m, j - m] for m in lengths])
+            choice = options.argmax(axis=0)
+            best[j] = options[choice, np.arange(k)]
+            back[j] = lengths[0] - choice
+        return back
+
     def _learn(self, words: list[str]) -> None:
         by_length: dict[int, list[str]] = {}
         for w in words:
@@ -305,7 +314,7 @@ def surfaces(model) -> list[bytes]:
 
 def decoded(surface: list[bytes], ids: bytes) -> str:
     """The text of ids. The space that encoding put in front is taken off; a SPACE sign in the text comes back as a space."""
-    data = b"".join([surface[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    data = b"".join(map(surface.__getitem__, np.frombuffer(ids, "<u4").tolist()))
     return data.removeprefix(b" ").decode("utf-8", "replace")
 
 
@@ -371,3 +380,27 @@ def _decoder(model: str):
 def with_text(df: DataFrame, model: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """``df`` with the text of its ids; null ids give null."""
     return df.withColumn(name, F.arrow_udf(_decoder(model), "string").asNondeterministic()(F.col(ids)))
+
+
+def _round_trip(path: str, merges: bool):
+    kind = pa.struct([("ids", pa.binary()), ("decoded", pa.string())])
+
+    def there_and_back(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            for some in _runs(column):
+                model = piece_model(path, merges)
+                with np.errstate(over="ignore"):
+                    ids = model.encode(some)
+                yield struct_array([(x, model.decode(x)) for x in ids], kind)
+
+    return there_and_back
+
+
+def round_trip(df: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", merges: bool = True) -> DataFrame:
+    """``df`` with the ids of every whole text and the text of those ids: what ``with_text`` gives after ``with_ids``.
+
+    One Python step does both, so a task has one Python worker, and it keeps the model from one task to the next. In two steps a task has
+    two workers, which change roles between tasks; each then drops the model or makes it anew and learns its words again.
+    """
+    both = F.arrow_udf(_round_trip(model, merges), "ids binary, decoded string").asNondeterministic()
+    return df.withColumn(ids, both(F.col(text))).withColumns({ids: F.col(ids)["ids"], decoded: F.col(ids)["decoded"]})

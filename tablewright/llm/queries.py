@@ -101,7 +101,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document to ids of pieces and back."""
     model = tokenizer("piece_bpe_32k.model")
-    back = pieces.with_text(pieces.with_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    back = pieces.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
     text = F.coalesce(F.regexp_replace("text", pieces.SPACE, " "), F.lit(""))
     return back.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), (F.col("decoded") == text).alias("same_text"))
 

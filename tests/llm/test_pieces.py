@@ -60,3 +60,25 @@ def test_a_batch_goes_back_in_runs():
     assert sum(map(len, parts)) == len(rows) + 1 and max(len(p) for p in parts) <= 6
     back = list(pieces._decoder(PATH)(iter([pa.array([x.as_py() for p in parts for x in p] + [None], pa.binary())])))
     assert max(len(p) for p in back) < 12 and [x.as_py() for p in back for x in p] == [t or "" for t in rows] + ["x", None]
+
+
+def test_round_trip_is_one_python_step(spark, odd_docs, no_docs):
+    """Two steps in one task are two workers that change roles between tasks: each then makes the model anew."""
+    both = pieces.with_text(pieces.with_ids(odd_docs, PATH), PATH)
+    back = pieces.round_trip(odd_docs.withColumn("decoded", F.lit(1)), PATH).select(both.columns)
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, both.collect()))
+    assert pieces.round_trip(no_docs, PATH).count() == 0
+    plan = QUERIES["op8_pieces"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_pieces_are_found_by_bucket():
+    """Single characters have neighbouring hashes; they must not fill one bucket."""
+    model = pieces.piece_model(PATH)
+    with np.errstate(over="ignore"):
+        assert (model._places(model.keys) == np.arange(model.none)).all() and (model._places(model.keys ^ np.uint64(1 << 63)) == model.none).all()
+    run = longest = 0
+    for more in model.goes_on.tolist():
+        run = run + 1 if more else 0
+        longest = max(longest, run)
+    assert longest < 8
