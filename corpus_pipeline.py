@@ -43,13 +43,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document, and whether they read back as its text.
-
-    The ids are written before they are read back: in one pass, every task would hold the Python workers of both steps at once.
-    """
-    model = tokenizer("piece_bpe_32k.model")
-    ids = stored(pieces.with_ids(docs.select("doc_id", "lang", "source", "text"), model), "pieces")
-    back = pieces.with_text(ids, model)
+    """Ids of every document, and whether they read back as its text."""
+    back = pieces.round_trip(docs.select("doc_id", "lang", "source", "text"), tokenizer("piece_bpe_32k.model"))
     text = F.coalesce(F.regexp_replace("text", pieces.SPACE, " "), F.lit(""))
     return back.select("doc_id", "lang", "source", (F.length("ids") / 4).cast("long").alias("n_ids"), "ids", (F.col("decoded") == text).alias("same_text"))
 

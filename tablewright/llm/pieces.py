@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from tablewright.llm.base import struct_array, texts, worker_cache
 
 SPACE = "▁"
-CACHED_WORDS = 150_000  # of a generation; there are two
+CACHED_WORDS = 50_000  # of a generation; there are two
 BUCKET_BITS = 19  # of the hash of a piece, by which the pieces are looked up
 PAIR_BITS = 20  # of the table of neighbouring pieces
-CELLS = 500_000  # substrings looked at together
+CELLS = 200_000  # substrings looked at together
 TOGETHER = 1_000_000  # characters encoded at a time
 LONG_WORD = 512  # characters from which a word of a merge model is merged by itself
 _BASE = np.uint64(0x9E3779B97F4A7C15)

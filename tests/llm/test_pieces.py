@@ -82,3 +82,12 @@ def test_pieces_are_found_by_bucket():
         run = run + 1 if more else 0
         longest = max(longest, run)
     assert longest < 8
+
+
+def test_words_kept_are_few():
+    """Two workers an executor hold them beside whatever the stages before left in its memory."""
+    with np.errstate(over="ignore"):
+        model = pieces.PieceModel(PATH)
+        for a in range(0, 160_000, 10_000):
+            model.encode([" ".join(map(str, range(a, a + 10_000)))])
+    assert len(model.known) + len(model.older) <= 2 * 60_000

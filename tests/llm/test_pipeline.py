@@ -45,3 +45,11 @@ def test_workers_give_back_what_the_operator_before_left(monkeypatch):
     base._held.clear()
     assert [base.worker_cache(k, lambda: 7) for k in ("a", "a", "b")] == [7, 7, 7] and len(freed) == 2
     base._held.clear()
+
+
+def test_ids_are_read_back_in_the_step_that_makes_them(spark, odd_docs, monkeypatch):
+    """A second Python step would be a second stage over a stored copy, beside the workers of the first."""
+    stored = []
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df, name: stored.append(name) or df)
+    plan = corpus_pipeline.piece_ids(spark, odd_docs, "")._jdf.queryExecution().optimizedPlan().toString()
+    assert stored == [] and plan.count("ArrowEvalPython") == 1
