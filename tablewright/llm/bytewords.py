@@ -57,13 +57,13 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of all texts and where each begins (one more: the end). Nulls are empty."""
+    """The bytes of all texts, or of all binary values, and where each begins (one more: the end). Null texts are empty."""
     if not len(column):
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
     if column.null_count:
         column = column.fill_null("")
     _, places, data = column.buffers()
-    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    kind = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
     at = np.frombuffer(places, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.empty(0, np.uint8), at - at[0]
 

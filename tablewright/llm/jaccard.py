@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.base import cut_lineage, no_cache, stored
-from tablewright.llm.bytewords import mix
+from tablewright.llm.bytewords import column_bytes, mix
 from tablewright.llm.linking import PERCENT, by_block, confirmed, in_parts, joining_links, sets_of
 
 SHINGLE = 5
@@ -37,6 +37,7 @@ SAMPLED, COMMON_COUNT, MOST_COMMON = 16, 12, 500_000
 FILTER_WORDS = 1 << 18  # of 64 bits; what passes this filter of ids is looked at exactly afterwards
 
 ROWS, PAIRS = 500, 10_000  # texts that are made sets of together, and pairs whose bitmaps are compared together
+ENTRIES = 1 << 16  # entries that are made together, but for one class that has more
 
 
 def prefix_size(n: int) -> int:
@@ -162,6 +163,11 @@ def _settled(e: DataFrame) -> bool:
     return ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down + up > 1 AND down > 0").isEmpty()
 
 
+def _among(s: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which of ``s`` are in ``common``, which is sorted: the work grows with ``s``, and with ``common`` only by its logarithm."""
+    return common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s if len(common) else np.zeros(len(s), bool)
+
+
 def _common(docs: DataFrame) -> np.ndarray:
     """Hashes of very common shingles, sorted; at most MOST_COMMON."""
 
@@ -188,7 +194,7 @@ def _sets(docs: DataFrame, common: np.ndarray) -> DataFrame:
             for at in range(0, b.num_rows, ROWS):
                 rows = []
                 for s in sets_of(b.column(1).slice(at, ROWS), SHINGLE):
-                    last = np.isin(s, common, assume_unique=True) if len(common) else np.zeros(len(s), bool)
+                    last = _among(s, common)
                     first = np.concatenate([s[~last], s[last]])[: prefix_size(len(s)) if len(s) else 0]
                     rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), bitmap(s).tobytes(), first.tobytes()))
                 n, *rest = zip(*rows, strict=True)
@@ -208,30 +214,21 @@ def _entries(classes: DataFrame, common: np.ndarray) -> DataFrame:
 
     def each(batches):
         for b in batches:
-            for i, n, prefix in zip(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2), strict=True):
-                keys = np.frombuffer(prefix.as_buffer(), np.uint64)
-                hot = np.isin(keys, common) if len(common) else np.zeros(len(keys), bool)
-                salt = np.where(hot, 1 + (int(i) * 2654435761 >> 7) % SALTS, 0).astype(np.int8)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(salt), pa.array(np.full(len(keys), i, np.int64)), pa.array(np.full(len(keys), n, np.int32))], ["key", "salt", "id", "n"])
-
-    return classes.select("id", "n_shingles", "prefix").mapInArrow(_packed(each), "key long, salt byte, id long, n int")
-
-
-def _packed(each, rows: int = 20_000):
-    """Joins small batches to larger ones."""
-
-    def run(batches):
-        held, size = [], 0
-        for b in each(batches):
-            held.append(b)
-            size += b.num_rows
-            if size >= rows:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, size = [], 0
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-    return run
+            i, n = (b.column(k).to_numpy(zero_copy_only=False) for k in range(2))
+            data, at = column_bytes(b.column(2))
+            keys, at = data.view(np.uint64), at // 8
+            begin = 0
+            while begin < len(i):  # some classes at a time
+                end = max(begin + 1, int(np.searchsorted(at, at[begin] + ENTRIES, side="right")) - 1)
+                some, counts = keys[at[begin] : at[end]], np.diff(at[begin : end + 1])
+                own = np.repeat(i[begin:end], counts)
+                part = (own.view(np.uint64) * np.uint64(2654435761) >> np.uint64(7)) % np.uint64(SALTS)
+                salt = np.where(_among(some, common), 1 + part.astype(np.int8), 0)
+                yield _batch(schema, some.view(np.int64), salt, own, np.repeat(n[begin:end], counts))
+                begin = end
+
+    schema = "key long, salt byte, id long, n int"
+    return classes.select("id", "n_shingles", "prefix").mapInArrow(each, schema)
 
 
 def _rooted(entries: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -143,3 +144,31 @@ def test_components_end_when_all_is_settled(spark, monkeypatch, edges, looks):
         top[a] = top[b] = min(a, b, top.get(a, a), top.get(b, b))
     found = [tuple(r) for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()]
     assert sorted(found) == sorted(top.items()) and len(made) <= looks
+
+
+def test_entries_hold_every_prefix_shingle(spark):
+    rng = np.random.default_rng(3)
+    common = np.sort(rng.integers(0, 1 << 64, 300, np.uint64))
+    sizes = {-5: 3, 0: 0, 7: jaccard.ENTRIES + 10, 8: 1, 1 << 60: 40}
+    prefixes = {i: rng.choice(common, n) if n < 50 and i % 2 else rng.integers(0, 1 << 64, n, np.uint64) for i, n in sizes.items()}
+    rows = [(i, 5 * len(s), bytearray(s.tobytes())) for i, s in prefixes.items()]
+    got = jaccard._entries(spark.createDataFrame(rows, "id long, n_shingles long, prefix binary").coalesce(1), common).toPandas()
+    assert len(got) == sum(sizes.values())
+    for i, s in prefixes.items():
+        own = got[got["id"] == i]
+        assert sorted(own["key"]) == sorted(s.view(np.int64).tolist()) and (own["n"] == 5 * len(s)).all()
+    hot = np.isin(got["key"].to_numpy(np.int64).view(np.uint64), common)
+    assert hot.any() and (got["salt"][~hot] == 0).all() and got["salt"][hot].between(1, jaccard.SALTS).all()
+
+
+def test_work_for_a_document_does_not_grow_with_the_common_shingles(spark):
+    docs = spark.range(0, 2000, 1, 1).selectExpr("id AS i", "concat_ws(' ', 'a b c d e', id, id + 1) AS t")
+
+    def took(common):
+        start = time.monotonic()
+        assert jaccard._entries(jaccard._classes(jaccard._sets(docs, common), "prefix"), common).count() == 2000
+        return time.monotonic() - start
+
+    few = took(np.empty(0, np.uint64))
+    many = took(np.sort(np.random.default_rng(1).integers(0, 1 << 64, jaccard.MOST_COMMON, np.uint64)))
+    assert many < few + 10  # with a pass over all common shingles for each text: minutes
