@@ -84,7 +84,7 @@ _late, _line, _price = ("late", "binary"), ("l_linenumber", "multiclass"), ("l_e
 _grouped_model("rf_classify", "random_forest", "classification", FULL, _late, MAJORITY.format(label=LATE))
 _grouped_model("rf_classify_multiclass", "random_forest", "classification", FULL, _line, MAJORITY.format(label="l_linenumber - 1"))
 _grouped_model("rf_regress", "random_forest", "regression", FULL, _price, GROUP_MEAN)
-_grouped_model("gbt_classify", "xgboost", "classification", ONE_STEP, _late, MAJORITY.format(label=LATE))
+_grouped_model("gbt_classify", "xgboost", "classification", {}, _late, MAJORITY.format(label=LATE))
 _grouped_model("gbt_classify_multiclass", "xgboost", "classification", ONE_STEP, _line, MAJORITY.format(label="l_linenumber - 1"))
 _grouped_model("gbt_regress", "xgboost", "regression", ONE_STEP, _price, SHRUNK_MEAN)
 
